@@ -280,5 +280,221 @@ def report_sql() -> dict[str, str]:
     return sql
 
 
+
+def letters(number: str, width: int) -> str:
+    return f"translate(lpad(CAST({number} AS VARCHAR), {width}, '0'), '0123456789', 'abcdefghij')"
+
+
+def normal(text: str) -> str:
+    return f"regexp_replace(replace(replace(replace(lower(strip_accents({text})), 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), '[^a-z]', '', 'g')"
+
+
+FIRST, SECOND, RUN = (f"TIMESTAMP '2024-0{m}-01 00:00:00'" for m in (1, 2, 3))
+SPELLED = letters("c_custkey", 9)
+CITY_NAME = f"'Cidáde ' || upper({SPELLED}[1]) || substr({SPELLED}, 2)"
+COUNTRY_SPELLED = letters("s_nationkey", 2)
+
+BRONZE = f"""
+grain AS (
+  SELECT o_custkey AS ck, c_nationkey AS cn, trade_date, flag, s_nationkey AS nk, left(p_type, 4) AS hc,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS DECIMAL(38,2)) AS fob, CAST(sum(CAST(l_quantity AS DECIMAL(20,2))) AS DECIMAL(38,2)) AS kg
+  FROM (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date, CASE WHEN l_linestatus = 'O' THEN 'exp' ELSE 'imp' END AS flag FROM lineitem)
+  JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
+  GROUP BY ALL),
+bronze AS (
+  SELECT flag, CASE WHEN ck % 97 = 0 THEN NULL WHEN ck % 89 = 0 THEN 'Sem Cadastro' ELSE 'CIDADE ' || upper({letters('ck', 9)}) || ' - ' || upper({letters('cn', 2)}) END AS city,
+         trade_date, 'NACAO ' || upper({letters('nk', 2)}) AS country, CASE WHEN ck % 83 <> 0 THEN hc END AS hc,
+         CASE WHEN copy = 2 AND ck % 70 = 0 THEN '0' WHEN copy = 2 THEN CAST(CAST(fob + 1 AS DECIMAL(38,2)) AS VARCHAR) WHEN ck % 79 <> 0 THEN CAST(fob AS VARCHAR) END AS fob,
+         CAST(kg AS VARCHAR) AS kg, CASE WHEN copy = 2 THEN {SECOND} ELSE {FIRST} END AS stamp
+  FROM grain, (VALUES (1), (2)) v(copy) WHERE copy = 1 OR ck % 10 = 0),
+newest AS (
+  SELECT * FROM bronze QUALIFY row_number() OVER (PARTITION BY flag, city, trade_date, country, hc ORDER BY stamp DESC, fob DESC NULLS LAST, kg DESC NULLS LAST) = 1),
+city_names AS (SELECT CAST(c_custkey AS VARCHAR) AS id, {normal(CITY_NAME + " || ' - ' || upper(" + letters('c_nationkey', 2) + ") || ' '")} AS n FROM customer),
+country_names AS (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS id, {normal("'Nação ' || " + COUNTRY_SPELLED)} AS n FROM supplier),
+silver AS (
+  SELECT trade_date, coalesce(c.id, 'N/A') AS city_id, left(coalesce(p.id, 'N/A'), 4) AS trade_country_id, coalesce(hc, '0000') AS product_category_id,
+         CAST(fob AS DECIMAL(20,2)) AS fob_value, CAST(kg AS DECIMAL(20,2)) AS net_weight, flag AS trade_flag, stamp AS ingested_at, stamp AS loaded_at, {RUN} AS processed_at
+  FROM newest LEFT JOIN city_names c ON {normal('city')} = c.n LEFT JOIN country_names p ON {normal('country')} = p.n
+  WHERE CAST(coalesce(fob, '0') AS DECIMAL(20,2)) > 0 AND CAST(coalesce(kg, '0') AS DECIMAL(20,2)) > 0)
+"""
+CITIES = f"""
+cities AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS city_id, {CITY_NAME} AS city_name, n_name AS state_name, upper({letters('c_nationkey', 2)}) AS uf,
+         {CITY_NAME} || ' - ' || upper({letters('c_nationkey', 2)}) || ' ' AS city_uf, CASE WHEN r_regionkey < 4 THEN r_name ELSE 'Não se aplica' END AS region,
+         {SECOND} AS ingested_at, {SECOND} AS loaded_at, {RUN} AS processed_at
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)
+"""
+COUNTRIES = f"""
+countries AS (
+  SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS country_id, 'Nação ' || upper({COUNTRY_SPELLED}[1]) || substr({COUNTRY_SPELLED}, 2) AS country_name,
+         {SECOND} AS ingested_at, {SECOND} AS loaded_at, {RUN} AS processed_at FROM supplier)
+"""
+PRODUCTS = """
+products AS (SELECT DISTINCT left(p_type, 4) AS product_category_id, p_type AS product_category_name, 'Parts of type ' || lower(p_type) AS product_category_description FROM part)
+"""
+FACT = f"""
+fact AS (
+  SELECT trade_date, city_id, trade_country_id, product_category_id, fob_value, CAST(fob_value * ratio AS DECIMAL(38,4)) AS fob_value_real, net_weight, trade_flag, {RUN} AS created_at
+  FROM silver LEFT JOIN ratios ON trade_date = cpi_date)
+"""
+
+
+def indices(source: str) -> str:
+    """The index CTEs over another relation holding trade_date."""
+    return TRADES[TRADES.index("idx AS") : TRADES.index("trades AS")].strip().rstrip(",").replace("FROM lines", f"FROM {source}")
+
+
+def nulls(table: str, label: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS table_name, 'not_null' AS test, '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {table}"
+        for c in columns
+    )
+
+
+def uniques(table: str, label: str, columns: list[str]) -> str:
+    keys = ", ".join(columns)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return (
+        f"SELECT '{label}', 'unique', '{keys}', CAST(count(*) AS BIGINT) FROM "
+        f"(SELECT {keys} FROM {table} WHERE {known} GROUP BY {keys} HAVING count(*) > 1)"
+    )
+
+
+def orphans(table: str, label: str, column: str, parent: str, key: str) -> str:
+    return (
+        f"SELECT '{label}', 'relationships', '{column}', CAST(count(*) AS BIGINT) FROM {table} c "
+        f"WHERE c.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
+    )
+
+
+SILVER_COLUMNS = "trade_date city_id trade_country_id product_category_id fob_value net_weight trade_flag ingested_at loaded_at processed_at".split()
+CITY_COLUMNS = "city_id city_name state_name uf city_uf region ingested_at loaded_at processed_at".split()
+FACT_KEY = "trade_date city_id trade_country_id product_category_id trade_flag".split()
+
+
+def pipeline_sql() -> dict[str, str]:
+    side = lambda f: f"(SELECT * FROM silver WHERE trade_flag = '{f}')"
+    silver_cpi = f"idx2 AS (SELECT cpi_date, cpi AS cpi_value, {FIRST} AS ingested_at, {FIRST} AS loaded_at, {RUN} AS processed_at FROM idx)"
+    dates = "lines AS (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date FROM lineitem)"
+    grain = (
+        "SELECT trade_date, CAST(ck AS VARCHAR) AS city_id, CAST(nk AS VARCHAR) AS trade_country_id, hc AS product_category_id, flag AS trade_flag, "
+        "CAST(fob AS DECIMAL(20,2)) AS fob_value, CAST(kg AS DECIMAL(20,2)) AS net_weight FROM grain"
+    )
+    files = (
+        "files AS (SELECT flow, min(trade_date) AS date_from, max(trade_date) AS date_to, 'trade_' || flow || '_' || strftime(min(trade_date), '%Y%m') || '_' "
+        "|| strftime(max(trade_date), '%Y%m') || '.parquet' AS path FROM (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date, "
+        "CASE WHEN l_linestatus = 'O' THEN 'export' ELSE 'import' END AS flow FROM lineitem) GROUP BY flow, year(trade_date))"
+    )
+    plan = (
+        "o AS (SELECT o_orderpriority AS flow, CAST(date_trunc('month', o_orderdate) AS DATE) AS d FROM orders), "
+        "last AS (SELECT flow, max(d) AS last_date, max(d) FILTER (WHERE flow = '1-URGENT' OR (flow = '2-HIGH' AND d < DATE '1997-01-01') "
+        "OR (flow = '3-MEDIUM' AND d < DATE '1998-04-01')) AS mark FROM o GROUP BY flow), "
+        "plan AS (SELECT flow, CASE WHEN mark IS NULL THEN 'first' WHEN last_date > mark THEN 'next' ELSE 'skip' END AS action, "
+        "CASE WHEN mark IS NULL THEN DATE '1993-01-01' WHEN last_date > mark THEN CAST(mark + INTERVAL 1 MONTH AS DATE) END AS date_from, "
+        "CASE WHEN mark IS NULL OR last_date > mark THEN last_date END AS date_to FROM last)"
+    )
+    upsert = (
+        "SELECT c_custkey, c_name, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(20,2)) + CASE WHEN c_mktsegment = 'BUILDING' THEN 100 ELSE 0 END AS DECIMAL(20,2)) AS c_acctbal, "
+        "c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN 'raised' END AS note FROM customer UNION ALL "
+        "SELECT -c_custkey - 1, c_name, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(20,2)) + 100 AS DECIMAL(20,2)), c_mktsegment, 'raised' FROM customer WHERE c_mktsegment = 'BUILDING'"
+    )
+    gold_tests = " UNION ALL ".join(
+        [
+            nulls("fact", "fact_trades", [c for c in "trade_date city_id trade_country_id product_category_id fob_value net_weight trade_flag created_at".split()]),
+            uniques("fact", "fact_trades", FACT_KEY),
+            orphans("fact", "fact_trades", "city_id", "(SELECT city_id FROM cities UNION ALL SELECT 'N/A')", "city_id"),
+            orphans("fact", "fact_trades", "trade_country_id", "(SELECT country_id FROM countries UNION ALL SELECT 'N/A')", "country_id"),
+            orphans("fact", "fact_trades", "product_category_id", "products", "product_category_id"),
+            nulls("(SELECT city_id, city_name, state_name, uf, city_uf, region, processed_at AS created_at FROM cities UNION ALL SELECT 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', NULL)", "dim_cities", CITY_COLUMNS[:6] + ["created_at"]),
+            uniques("cities", "dim_cities", ["city_id"]),
+            nulls("(SELECT country_id, country_name, processed_at AS created_at FROM countries UNION ALL SELECT 'N/A', 'N/A', NULL)", "dim_countries", ["country_id", "country_name", "created_at"]),
+            uniques("countries", "dim_countries", ["country_id"]),
+            nulls("products", "dim_product_categories", ["product_category_id", "product_category_name", "product_category_description"]),
+            uniques("products", "dim_product_categories", ["product_category_id"]),
+        ]
+    )
+    silver_tests = " UNION ALL ".join(
+        [
+            nulls(side("exp"), "silver_exports", SILVER_COLUMNS),
+            uniques(side("exp"), "silver_exports", FACT_KEY),
+            nulls(side("imp"), "silver_imports", SILVER_COLUMNS),
+            uniques(side("imp"), "silver_imports", FACT_KEY),
+            nulls("cities", "silver_cities", CITY_COLUMNS),
+            uniques("cities", "silver_cities", ["city_id"]),
+            nulls("countries", "silver_countries", ["country_id", "country_name", "ingested_at", "loaded_at", "processed_at"]),
+            uniques("countries", "silver_countries", ["country_id"]),
+            nulls("idx2", "silver_cpi", ["cpi_date", "cpi_value", "ingested_at", "loaded_at", "processed_at"]),
+            uniques("idx2", "silver_cpi", ["cpi_date"]),
+        ]
+    )
+    line_columns = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+    order_tests = " UNION ALL ".join(
+        [
+            nulls("lineitem", "lineitem", line_columns),
+            uniques("orders", "orders", ["o_orderkey"]),
+            uniques("lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
+            orphans("lineitem", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+            orphans("customer", "customer", "c_nationkey", "nation", "n_nationkey"),
+            orphans("(SELECT * FROM orders WHERE o_orderpriority <> '5-LOW')", "orders", "o_custkey", "(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')", "c_custkey"),
+        ]
+    )
+    early = indices("(SELECT * FROM lines WHERE trade_date <= DATE '2000-12-01')").replace("idx", "idx0").replace("latest AS (", "latest0 AS (").replace("idx0, latest)", "idx0, latest0)").replace("ratios AS", "ratios0 AS")
+    since = "DATE '2000-12-01'"
+    return {
+        "silver_exports": f"WITH {BRONZE} SELECT * FROM silver WHERE trade_flag = 'exp'",
+        "silver_imports": f"WITH {BRONZE} SELECT * FROM silver WHERE trade_flag = 'imp'",
+        "silver_exports_incremental": f"WITH {BRONZE} SELECT * FROM silver WHERE trade_flag = 'exp' AND trade_date >= {since}",
+        "silver_cities": f"WITH {CITIES} SELECT * FROM cities",
+        "silver_countries": f"WITH {COUNTRIES} SELECT * FROM countries",
+        "silver_index": f"WITH {dates}, {indices('lines')}, {silver_cpi} SELECT * FROM idx2",
+        "fact_trades": f"WITH {BRONZE}, {dates}, {indices('lines')}, {FACT} SELECT * FROM fact",
+        "fact_trades_incremental": (
+            f"WITH {BRONZE}, {dates}, {indices('lines')}, {early}, g AS ({grain}) "
+            f"SELECT trade_date, city_id, trade_country_id, product_category_id, fob_value, CAST(fob_value * r.ratio AS DECIMAL(38,4)) AS fob_value_real, net_weight, trade_flag, {RUN} AS created_at "
+            f"FROM g LEFT JOIN ratios r ON trade_date = r.cpi_date WHERE trade_date >= {since} UNION ALL "
+            f"SELECT trade_date, city_id, trade_country_id, product_category_id, fob_value, CAST(fob_value * r.ratio AS DECIMAL(38,4)), net_weight, trade_flag, {FIRST} "
+            f"FROM g LEFT JOIN ratios0 r ON trade_date = r.cpi_date WHERE trade_date < {since}"
+        ),
+        "dim_cities_insert_only": "SELECT c_custkey AS city_id, CASE WHEN c_mktsegment = 'MACHINERY' THEN upper(c_name) ELSE c_name END AS city_name, c_mktsegment FROM customer",
+        "dim_countries": f"WITH {COUNTRIES} SELECT country_id, country_name, processed_at AS created_at FROM countries",
+        "dim_product_categories": f"WITH {PRODUCTS} SELECT * FROM products",
+        "quality_silver": f"WITH {BRONZE}, {CITIES}, {COUNTRIES}, {dates}, {indices('lines')}, {silver_cpi} {silver_tests}",
+        "quality_gold": f"WITH {BRONZE}, {CITIES}, {COUNTRIES}, {PRODUCTS}, {dates}, {indices('lines')}, {FACT} {gold_tests}",
+        "quality_orders": order_tests,
+        "normalized_documents": f"SELECT doc_id, {normal('text')} AS normalized FROM documents",
+        "ambiguous_customer_names": f"SELECT normalized, count(DISTINCT c_custkey) AS members FROM (SELECT {normal('c_name')} AS normalized, c_custkey FROM customer) GROUP BY 1 HAVING count(DISTINCT c_custkey) > 1",
+        "trade_response_records": "SELECT CAST(event_id AS VARCHAR) AS id, event_type AS text, props FROM events",
+        "index_response_records": "SELECT CAST(event_id AS VARCHAR) AS year, event_type AS period, CAST(user_id AS VARCHAR) AS value FROM events WHERE event_type <> 'error'",
+        "landing_manifest": f"WITH {files} SELECT path, 'trade_' || flow AS \"table\", flow, date_from, date_to, '030' || CAST(k AS VARCHAR) AS heading_code FROM files, range(1, 9) r(k)",
+        "pending_files": f"WITH {files} SELECT path, flow, date_from, date_to FROM files WHERE date_to >= DATE '1999-01-01'",
+        "flow_marks": "SELECT CASE WHEN l_linestatus = 'O' THEN 'exp' ELSE 'imp' END AS trade_flag, CAST(date_trunc('month', max(l_shipdate)) AS DATE) AS mark FROM lineitem GROUP BY 1",
+        "ingestion_plan": f"WITH {plan} SELECT * FROM plan",
+        "load_windows": (
+            f"WITH {plan}, starts AS (SELECT *, unnest(generate_series(year(date_from), least(1998, year(date_to)), 5)) AS y, true AS long FROM plan WHERE date_from IS NOT NULL "
+            "UNION ALL SELECT *, unnest(generate_series(greatest(1999, year(date_from)), year(date_to), 1)), false FROM plan WHERE date_from IS NOT NULL), "
+            "ends AS (SELECT *, CASE WHEN long THEN least(y + 4, 1998, year(date_to)) ELSE y END AS e FROM starts) "
+            "SELECT flow, action, date_from, date_to, CAST(y AS VARCHAR) || '-01' AS window_from, "
+            "CASE WHEN e < year(date_to) THEN CAST(e AS VARCHAR) || '-12' ELSE strftime(date_to, '%Y-%m') END AS window_to FROM ends"
+        ),
+        "index_windows": (
+            "SELECT flow, end_year, CAST(1992 AS INTEGER) AS start_year, CAST(b AS INTEGER) AS block_from, CAST(least(b + 3, end_year) AS INTEGER) AS block_to FROM "
+            "(SELECT *, unnest(generate_series(1992, end_year, 4)) AS b FROM (SELECT o_orderpriority AS flow, CAST(max(year(o_orderdate)) AS INTEGER) AS end_year FROM orders GROUP BY 1))"
+        ),
+        "customer_upsert": upsert,
+        "customer_version_upsert": upsert,
+        "fact_partition_upsert": f"WITH {BRONZE}, g AS ({grain}) SELECT * REPLACE (CAST(net_weight + CASE WHEN trade_date >= {since} THEN 1 ELSE 0 END AS DECIMAL(20,2)) AS net_weight) FROM g",
+        "streamed_load": (
+            f"WITH {BRONZE} SELECT record, period, kg AS \"metricKG\", fob AS \"metricFOB\", stamp AS loaded_at FROM "
+            "(SELECT coalesce(city, '-') || '|' || country || '|' || coalesce(hc, '-') AS record, strftime(trade_date, '%Y-%m') AS period, * FROM bronze WHERE flag = 'imp') "
+            "QUALIFY row_number() OVER (PARTITION BY record, period ORDER BY stamp DESC, fob DESC NULLS LAST, kg DESC NULLS LAST) = 1"
+        ),
+        "landing_round_trip": (
+            f"WITH {BRONZE} SELECT CASE WHEN flag = 'exp' THEN 'export' ELSE 'import' END AS flow, strftime(trade_date, '%Y%m') AS period, "
+            "count(*) AS records, sum(CAST(kg AS DECIMAL(20,2))) AS kg FROM bronze GROUP BY 1, 2"
+        ),
+        "chapter_headings": "SELECT DISTINCT '03' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS heading_code FROM part WHERE p_size <> 9",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return report_sql()
+    return {**report_sql(), **pipeline_sql()}

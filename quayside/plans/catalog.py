@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quayside.operators import concentration, ranking, timeintel
 from quayside.plans import measures as M
 from quayside.plans import reports as R
+from quayside.plans.pipeline import pipeline_queries
 from quayside.plans.star import FilterContext, Star
 from quayside.plans.table_star import table_star
 
@@ -108,4 +109,4 @@ def report_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return report_queries()
+    return {**report_queries(), **pipeline_queries()}
