@@ -496,5 +496,110 @@ def pipeline_sql() -> dict[str, str]:
     }
 
 
+
+def _case(column: str, values: list[str], first: int = 1) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values, first)) + " END"
+
+
+PT_MONTHS = "Janeiro Fevereiro Março Abril Maio Junho Julho Agosto Setembro Outubro Novembro Dezembro".split()
+PT_DAYS = "Segunda-Feira Terça-Feira Quarta-Feira Quinta-Feira Sexta-Feira Sábado Domingo".split()
+HOLIDAYS = [
+    ("01-01", "Confraternização Universal"), ("01-25", "Aniversário da Cidade"), ("04-21", "Tiradentes"), ("05-01", "Dia do Trabalhador"),
+    ("07-09", "Revolução Constitucionalista"), ("09-07", "Independência do Brasil"), ("10-12", "N. Srª Aparecida"), ("11-02", "Finados"),
+    ("11-15", "Proclamação da República"), ("11-20", "Consciência Negra"), ("12-24", "Véspera de Natal"), ("12-25", "Natal"), ("12-31", "Véspera de Ano Novo"),
+]
+# Easter by the anonymous Gregorian algorithm, another route than the engine's
+EASTER = """
+yr AS (SELECT unnest(generate_series(year(s), year(e))) AS y FROM b),
+e1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM yr),
+e2 AS (SELECT y, a, c, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h, b % 4 AS e FROM e1),
+e3 AS (SELECT y, a, h, (32 + 2 * e + 2 * (c // 4) - h - c % 4) % 7 AS l FROM e2),
+e4 AS (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS k FROM e3),
+easter AS (SELECT make_date(y, k // 31, k % 31 + 1) AS d FROM e4)
+"""
+
+
+def calendar_sql(source: str) -> tuple[str, str]:
+    """CTEs ending in ``cal`` (one row per day) and the select list of the 114 columns."""
+    hol = " UNION ALL ".join(
+        [f"SELECT {i} AS o, CAST(CAST(y AS VARCHAR) || '-{md}' AS DATE) AS d, '{n}' AS n FROM yr" for i, (md, n) in enumerate(HOLIDAYS)]
+        + [f"SELECT {100 + i}, CAST(d + INTERVAL ({k}) DAY AS DATE), '{n}' FROM easter" for i, (k, n) in enumerate([(-2, "Sexta-Feira Santa"), (0, "Páscoa"), (60, "Corpus Christi")])]
+    )
+    ctes = f"""
+b AS (SELECT CAST(date_trunc('year', min(x)) AS DATE) AS s, CAST(max(x) AS DATE) AS t, make_date(year(max(x)), 12, 31) AS e FROM ({source}) z(x)),
+{EASTER.strip()},
+hols AS (SELECT d AS hd, string_agg(n, '/' ORDER BY o) AS h FROM ({hol}) GROUP BY 1),
+day0 AS (SELECT s, t, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+day1 AS (SELECT *, year(d) AS y, month(d) AS m, day(d) AS dm, isodow(d) - 1 AS w, weekofyear(d) AS wk, isoyear(d) AS wy, quarter(d) AS q,
+  CAST(date_trunc('week', d) AS DATE) AS ws, CASE WHEN day(d) <= 16 THEN d ELSE CAST(d + INTERVAL 1 MONTH AS DATE) END AS cl,
+  CASE WHEN month(d) <= 6 THEN 1 ELSE 2 END AS hf, (month(d) + 1) // 2 AS bm, CASE WHEN day(d) <= 15 THEN 1 ELSE 2 END AS ft,
+  CASE WHEN month(d) > 3 THEN year(d) ELSE year(d) - 1 END AS fy, (month(d) + 8) % 12 + 1 AS fm, CASE WHEN month(t) > 3 THEN year(t) + 1 ELSE year(t) END AS fyt, (month(t) + 8) % 12 + 1 AS fmt
+  FROM day0),
+day2 AS (SELECT *, (fm + 2) // 3 AS fq, {_case('m', PT_MONTHS)} AS mn, {_case('w', PT_DAYS, 0)} AS dn, {_case('month(cl)', PT_MONTHS)} AS cn,
+  CASE WHEN m * 100 + dm BETWEEN 321 AND 620 THEN 1 WHEN m * 100 + dm BETWEEN 621 AND 921 THEN 2 WHEN m * 100 + dm BETWEEN 922 AND 1221 THEN 3 ELSE 4 END AS se,
+  'FY ' || fy || '-' || (fy + 1) AS fyn, 12 * y + m - 12 * year(t) - month(t) AS mt, 'S' || lpad(CAST(wk AS VARCHAR), 2, '0') || ' ' || wy AS wn,
+  CAST(date_trunc('month', d) AS DATE) AS ms, CAST(date_trunc('quarter', d) AS DATE) AS qs FROM day1),
+cal AS (SELECT *, 3 * (fq - 1) AS fq0, CAST(ms - INTERVAL ((fm - 1) % 3) MONTH AS DATE) AS fqs,
+  date_diff('day', CAST(date_trunc('week', t) AS DATE), ws) // 7 AS wt, 24 * (y - year(t)) + 2 * (m - month(t)) + ft - (CASE WHEN day(t) <= 15 THEN 1 ELSE 2 END) AS ftt,
+  2 * (y - year(t)) + hf - (CASE WHEN month(t) <= 6 THEN 1 ELSE 2 END) AS hft, 6 * (y - year(t)) + bm - (month(t) + 1) // 2 AS bmt, 4 * (y - year(t)) + q - quarter(t) AS qt,
+  4 * (fy - fyt) + fq - (fmt + 2) // 3 AS fqt FROM day2 LEFT JOIN hols ON d = hd)
+"""
+    i = lambda x: f"CAST({x} AS INTEGER)"
+    dt = lambda x: f"CAST({x} AS DATE)"
+    now = lambda test, other: f"CASE WHEN {test} THEN 'Atual' ELSE {other} END"
+    my = "left(mn, 3) || '/' || strftime(d, '%y')"
+    qyn = "'T' || q || ' ' || strftime(d, '%y')"
+    hyn, byn, fmn = "'S' || hf || ' ' || y", "'B' || bm || ' ' || y", "left(mn, 3) || ' ' || ft"
+    fyq = "'FQ ' || fq || ' | ' || fyn"
+    biz = "CASE WHEN h IS NOT NULL OR w > 4 THEN 0 ELSE 1 END"
+    cols = {
+        "Date": "d", "DateIndex": i("date_diff('day', s, d) + 1"), "DaysToToday": i("date_diff('day', t, d)"), "CurrentDate": now("d = t", "strftime(d, '%d/%m/%Y')"),
+        "Year": i("y"), "YearStart": "make_date(y, 1, 1)", "YearEnd": "make_date(y, 12, 31)", "YearIndex": i("y - year(s) + 1"), "YearDescendingName": i("y"),
+        "YearDescendingNumber": i("-y"), "YearsToToday": i("y - year(t)"), "CurrentYear": now("y = year(t)", "CAST(y AS VARCHAR)"),
+        "DayOfMonth": i("dm"), "DayOfYear": i("dayofyear(d)"), "DayOfWeekNumber": i("w"), "DayOfWeekName": "dn", "DayOfWeekNameShort": "left(dn, 3)",
+        "DayOfWeekNameInitials": "repeat(chr(8203), CAST(7 - w AS BIGINT)) || left(dn, 1)", "MonthNumber": i("m"), "MonthName": "mn", "MonthNameShort": "left(mn, 3)",
+        "MonthNameInitials": "repeat(chr(8203), CAST(12 - m AS BIGINT)) || left(mn, 1)", "MonthYearName": my, "MonthYearNumber": i("y * 100 + m"), "MonthDayNumber": i("m * 100 + dm"),
+        "MonthDayName": "left(mn, 3) || ' ' || dm", "MonthStart": "ms", "MonthEnd": "last_day(d)", "MonthIndex": i("12 * (y - year(s)) + m"), "MonthsToToday": i("mt"),
+        "CurrentMonthName": now("m = month(t)", "mn"), "CurrentMonthNameShort": now("m = month(t)", "left(mn, 3)"), "CurrentMonthYearName": now("mt = 0", my),
+        "QuarterNumber": i("q"), "QuarterName": "'T' || q", "QuarterYearName": qyn, "QuarterYearNumber": i("y * 100 + q"), "QuarterStart": "qs",
+        "QuarterEnd": dt("qs + INTERVAL 3 MONTH - INTERVAL 1 DAY"), "QuarterIndex": i("4 * (y - year(s)) + q"), "QuartersToToday": i("qt"),
+        "CurrentQuarter": now("q = quarter(t)", "'T' || q"), "CurrentQuarterYear": now("qt = 0", qyn), "MonthOfQuarterNumber": i("(m - 1) % 3 + 1"),
+        "WeekOfYearNumberISO": i("wk"), "YearISO": i("wy"), "WeekYearNumberISO": i("wy * 100 + wk"), "WeekYearNameISO": "wn", "WeekStartISO": "ws", "WeekEndISO": dt("ws + INTERVAL 6 DAY"),
+        "WeekIndexISO": i("date_diff('day', CAST(date_trunc('week', s) AS DATE), ws) // 7 + 1"), "WeeksToTodayISO": i("wt"), "CurrentWeekISO": now("wt = 0", "wn"),
+        "WeekPeriodName": "wn || ': ' || strftime(ws, '%d/%m/%Y') || '~' || strftime(ws + INTERVAL 6 DAY, '%d/%m/%Y')",
+        "WeekOfMonthNumber": i("date_diff('day', CAST(date_trunc('week', ms) AS DATE), ws) // 7 + 1"),
+        "HalfNumber": i("hf"), "HalfYearName": hyn, "HalfYearNumber": i("y * 100 + hf"), "HalfIndex": i("2 * (y - year(s)) + hf"), "HalfsToToday": i("hft"), "CurrentHalf": now("hft = 0", hyn),
+        "BimesterNumber": i("bm"), "BimesterYearName": byn, "BimesterYearNumber": i("y * 100 + bm"), "BimesterIndex": i("6 * (y - year(s)) + bm"), "BimestersToToday": i("bmt"),
+        "CurrentBimester": now("bmt = 0", byn), "FortnightOfMonthNumber": i("ft"), "FortnightMonthNumber": i("m * 10 + ft"), "FortnightMonthName": fmn,
+        "FortnightMonthYearNumber": i("y * 10000 + m * 110 + ft"), "FortnightMonthYearName": "'Q' || ft || ' ' || left(mn, 3) || ' ' || y",
+        "FortnightIndex": i("24 * (y - year(s)) + 2 * (m - month(s)) + ft"), "FortnightsToToday": i("ftt"), "CurrentFortnight": now("ftt = 0", fmn),
+        "ClosingDateRef": "cl", "ClosingYear": i("year(cl)"), "ClosingMonthName": "cn", "ClosingMonthNameShort": "left(cn, 3)", "ClosingMonthNumber": i("month(cl)"),
+        "ClosingMonthYearName": "left(cn, 3) || '/' || strftime(cl, '%y')", "ClosingMonthYearNumber": i("year(cl) * 100 + month(cl)"),
+        "SeasonNorthNumber": i("se"), "SeasonNorthName": _case("se", ["Primavera", "Verão", "Outono", "Inverno"]), "SeasonSouthNumber": i("se"),
+        "SeasonSouthName": _case("se", ["Outono", "Inverno", "Primavera", "Verão"]), "Holiday": "h", "BusinessDayNumber": i(biz),
+        "BusinessDayName": f"CASE WHEN {biz} = 1 THEN 'Dia Útil' ELSE 'Dia Não Útil' END",
+        "FiscalYearStartNumber": i("fy"), "FiscalYearEndNumber": i("fy + 1"), "FiscalYear": "fyn", "FiscalYearStart": "make_date(fy, 4, 1)", "FiscalYearEnd": "make_date(fy + 1, 3, 31)",
+        "CurrentFiscalYear": now("fy = fyt", "fyn"), "FiscalYearsToToday": i("fy - fyt"), "FiscalMonthNumber": i("fm"), "FiscalMonthName": "mn", "FiscalMonthNameShort": "left(mn, 3)",
+        "CurrentFiscalMonth": now("mt = 0", "mn"), "FiscalYearMonthName": "left(mn, 3) || ' ' || fyn", "FiscalYearMonthNumber": i("fy * 100 + fm"),
+        "FiscalYearMonthCurrent": now("fy = fyt AND mt = 0", "left(mn, 3) || ' ' || fyn"), "FiscalMonthsToToday": i("12 * (fy - fyt) + fm - fmt"),
+        "FiscalQuarterNumber": i("fq"), "FiscalQuarterName": "'FQ ' || fq", "FiscalMonthOfQuarterNumber": i("fm - fq0"), "FiscalYearQuarterName": fyq,
+        "FiscalYearQuarterNumber": i("fy * 100 + fq"), "FiscalQuarterStart": "fqs", "FiscalQuarterEnd": dt("fqs + INTERVAL 3 MONTH - INTERVAL 1 DAY"),
+        "FiscalQuartersToToday": i("fqt"), "CurrentFiscalQuarter": now("fqt = 0", fyq), "DayOfFiscalQuarter": i("date_diff('day', fqs, d) + 1"),
+    }
+    return ctes, ", ".join(f"{x} AS {n}" for n, x in cols.items())
+
+
+def calendar_queries_sql() -> dict[str, str]:
+    ctes, columns = calendar_sql("SELECT l_shipdate FROM lineitem")
+    order_ctes, _ = calendar_sql("SELECT o_orderdate FROM orders")
+    return {
+        "shipping_calendar": f"WITH {ctes}, n AS (SELECT CAST(l_shipdate AS DATE) AS nd, count(*) AS lines FROM lineitem GROUP BY 1) "
+        f"SELECT {columns}, coalesce(lines, 0) AS lines FROM cal LEFT JOIN n ON d = nd",
+        "orders_on_holidays": f"WITH {order_ctes} SELECT h AS holiday, count(*) AS orders FROM orders JOIN hols ON CAST(o_orderdate AS DATE) = hd GROUP BY 1",
+        "orders_by_business_day": f"WITH {order_ctes} SELECT CAST(y AS INTEGER) AS \"Year\", CASE WHEN h IS NOT NULL OR w > 4 THEN 'Dia Não Útil' ELSE 'Dia Útil' END AS \"BusinessDayName\", "
+        "count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(20,2))) AS value FROM orders JOIN cal ON CAST(o_orderdate AS DATE) = d GROUP BY 1, 2",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**report_sql(), **pipeline_sql()}
+    return {**report_sql(), **pipeline_sql(), **calendar_queries_sql()}

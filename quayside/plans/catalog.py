@@ -8,12 +8,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import concentration, ranking, timeintel
+from quayside.operators import calendar, concentration, ranking, timeintel
 from quayside.plans import measures as M
 from quayside.plans import reports as R
 from quayside.plans.pipeline import pipeline_queries
 from quayside.plans.star import FilterContext, Star
-from quayside.plans.table_star import table_star
+from quayside.plans.table_star import read, table_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATEGORY = R.CATEGORY
@@ -108,5 +108,37 @@ def report_queries() -> dict[str, Query]:
     return {name: on_star(f) for name, f in q.items()}
 
 
+def shipping_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full calendar over the shipping dates, with the lines shipped each day."""
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("Date"))
+    per_day = lines.groupBy("Date").agg(F.count(F.lit(1)).alias("lines"))
+    days = calendar.calendar(calendar.bounds_of(lines, "Date")).join(per_day, "Date", "left")
+    return days.withColumn("lines", F.coalesce("lines", F.lit(0)))
+
+
+def orders_on_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per day first, then the holiday names: the shuffle carries days, not orders."""
+    days = read(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    named = days.join(calendar.holidays(calendar.bounds_of(days, "date")), "date")
+    return named.groupBy("holiday").agg(F.sum("n").alias("orders"))
+
+
+def orders_by_business_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders")
+    value = F.sum(F.col("o_totalprice").cast("decimal(20,2)")).alias("value")
+    days = orders.groupBy(F.col("o_orderdate").cast("date").alias("Date")).agg(F.count(F.lit(1)).alias("n"), value)
+    known = calendar.calendar(calendar.bounds_of(days, "Date")).select("Date", "Year", "BusinessDayName")
+    groups = days.join(known, "Date").groupBy("Year", "BusinessDayName")
+    return groups.agg(F.sum("n").alias("orders"), F.sum("value").cast("decimal(38,2)").alias("value"))
+
+
+def calendar_queries() -> dict[str, Query]:
+    return {
+        "shipping_calendar": shipping_calendar,
+        "orders_on_holidays": orders_on_holidays,
+        "orders_by_business_day": orders_by_business_day,
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**report_queries(), **pipeline_queries()}
+    return {**report_queries(), **pipeline_queries(), **calendar_queries()}
