@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from quayside.plans import texts
+
 TRADES = """
 lines AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
@@ -601,5 +605,140 @@ def calendar_queries_sql() -> dict[str, str]:
     }
 
 
+
+def text(template: str, **parts: str) -> str:
+    pieces = [f"coalesce(CAST({parts[x]} AS VARCHAR), '')" if k % 2 else f"'{x}'" for k, x in enumerate(re.split(r"\{(\w+)\}", template)) if k % 2 or x]
+    return " || ".join(pieces)
+
+
+def fx(spec: str, x: str, digits: int) -> str:
+    return f"format('{spec}', round(CAST({x} AS DOUBLE), {digits}))"
+
+
+def mag(v: str, size: str | None = None) -> str:
+    size = size or v
+    steps = "".join(f"WHEN {size} > {unit} THEN {fx('{:.2f} ' + name, f'CAST({v} AS DOUBLE) / {unit}', 2)} " for unit, name in ((1000000000, "Bi"), (1000000, "Mi"), (1000, "K")))
+    return f"CASE {steps}WHEN {v} IS NOT NULL THEN {fx('{:.0f}', v, 0)} END"
+
+
+def mag_abs(v: str) -> str:
+    return mag(v, f"abs({v})")
+
+
+def pct(x: str, digits: int = 1) -> str:
+    return fx("{:." + str(digits) + "f}%", f"({x}) * 100", digits)
+
+
+def kg(v: str) -> str:
+    return f"CASE WHEN abs({v}) >= 1000 THEN {fx('{:,.2f} Ton', f'CAST({v} AS DOUBLE) / 1000', 2)} ELSE {fx('{:.0f} Kg', v, 0)} END"
+
+
+def label(d: str) -> str:
+    return f"left({_case(f'month({d})', PT_MONTHS)}, 3) || '/' || strftime({d}, '%y')"
+
+
+def best(table: str, member: str, value: str) -> str:
+    """CTE body: one row with every member at the highest value, names joined, and the value."""
+    return f"(SELECT string_agg({member}, '' ORDER BY {member}) AS n, max({value}) AS v FROM {table} WHERE {value} = (SELECT max({value}) FROM {table}))"
+
+
+def narrative_sql() -> dict[str, str]:
+    g = lambda by: f"SELECT {by}, {EXP} AS e, {IMP} AS i, {EXP_KG} AS we, {IMP_KG} AS wi, {EXP_REAL} AS er, {IMP_REAL} AS ir FROM trades GROUP BY {by}"
+    priced = lambda by: f"SELECT *, {div('e', 'we')} AS pe, {div('i', 'wi')} AS pi FROM ({g(by)})"
+    span = lambda c, f: f"(SELECT {f}(trade_date) FROM m WHERE {c} > 0)"
+    first, last = label(span("e", "min")), label(span("e", "max"))
+    ifirst, ilast = label(span("i", "min")), label(span("i", "max"))
+    months = f"m AS (SELECT *, {label('trade_date')} AS lab, {minus('e', 'i')} AS bal, {minus('er', 'ir')} AS balr FROM ({g('trade_date')}))"
+    total = "(SELECT sum(e) FROM m)"
+    short = lambda d: f"lower(left({_case(f'month({d})', PT_MONTHS)}, 3)) || '/' || year({d})"
+    t = texts.OVERVIEW
+    rank = lambda k: f"(SELECT {k} FROM c WHERE e = (SELECT max(e) FROM c))"
+    rank2 = lambda k: f"(SELECT {k} FROM c WHERE e = (SELECT max(e) FROM c WHERE e < (SELECT max(e) FROM c)))"
+    overview = trades_query(
+        f"SELECT {text(t['data_available'], first=short('(SELECT min(trade_date) FROM m)'), last=short('(SELECT max(trade_date) FROM m)'))} AS data_available, "
+        f"{text(t['series'], value=mag('(SELECT max(i) FROM m)'), month='(SELECT n FROM peak)')} AS series_subtitle, "
+        + text(t["categories"], name1=rank("name"), id1=rank("left(name, 4)"), share1=pct(f"CAST({rank('e')} AS DOUBLE) / CAST({total} AS DOUBLE)"),
+               name2=rank2("name"), id2=rank2("left(name, 4)"), share2=pct(f"CAST({rank2('e')} AS DOUBLE) / CAST({total} AS DOUBLE)"))
+        + f" AS categories_subtitle, {text(t['states_title_many'], n='10')} AS states_title, {text(t['states_span'], first=first, last=last)} AS states_subtitle, "
+        f"{text(t['countries_title_many'], n='10')} AS countries_title, "
+        + text(t["countries"], country="(SELECT n FROM top)", share=pct(f"CAST((SELECT v FROM top) AS DOUBLE) / CAST({total} AS DOUBLE)"), value=mag("(SELECT v FROM top)"), first=first, last=last)
+        + " AS countries_subtitle",
+        f"{months}, c AS (SELECT product_category_name AS name, {EXP} AS e FROM trades GROUP BY 1), k AS ({g('country_name')}), peak AS {best('m', 'lab', 'i')}, top AS {best('k', 'country_name', 'e')}",
+    )
+    t = texts.BALANCE
+    diff = "abs((SELECT sum(e) - sum(i) FROM m))"
+    balance = trades_query(
+        f"SELECT {text(t['lowest'], month='(SELECT n FROM low)', value=mag_abs('(SELECT -v FROM low)'))} AS page_title, "
+        f"{text(t['real'], value=mag('(SELECT max(gap) FROM gaps)'), month='(SELECT max(lab) FROM gaps WHERE gap = (SELECT max(gap) FROM gaps))')} AS real_subtitle, "
+        f"CASE WHEN (SELECT sum(e) > sum(i) FROM m) THEN {text(t['surplus'], first=first, last=last, value=mag(diff))} ELSE {text(t['deficit'], first=first, last=last, value=mag(diff))} END AS running_subtitle, "
+        + text(t["heatmap"], worst="(SELECT max(name) FROM means WHERE mean = (SELECT min(mean) FROM means))", best="(SELECT max(name) FROM means WHERE mean = (SELECT max(mean) FROM means))",
+               low=mag_abs("(SELECT min(mean) FROM means)"), high=mag_abs("(SELECT max(mean) FROM means)"))
+        + " AS heatmap_subtitle",
+        f"{months}, neg AS (SELECT lab, -bal AS nb FROM m), low AS {best('neg', 'lab', 'nb')}, gaps AS (SELECT lab, abs(balr - bal) AS gap FROM m WHERE balr <> 0), "
+        f"means AS (SELECT {_case('month(trade_date)', PT_MONTHS)} AS name, avg(CAST(bal AS DOUBLE)) AS mean FROM m GROUP BY 1)",
+    )
+    t = texts.PRODUCTS
+    streak = {}
+    for c in ("e", "i"):
+        table, leader = f"lead_{c}", f"(SELECT max_by(name, year) FROM lead_{c})"
+        streak[c] = (
+            f"{table} AS (SELECT year, product_category_name AS name FROM py WHERE {c} IS NOT NULL QUALIFY rank() OVER (PARTITION BY year ORDER BY {c} DESC) = 1)",
+            leader,
+            f"(SELECT max(year) - coalesce(max(year) FILTER (WHERE name <> {leader}), min(year) - 1) FROM {table})",
+            f"(SELECT sum({c}) FROM py WHERE product_category_name = {leader})",
+        )
+    price = lambda x: fx("{:.2f} U$/kg", x, 2)
+    products = trades_query(
+        f"SELECT {text(t['most_exported_span'], first=first, last=last)} AS most_exported_subtitle, {text(t['most_imported_title'], name='(SELECT n FROM top_i)')} AS most_imported_title, "
+        f"{text(t['dearest_title'], name='(SELECT n FROM top_pe)')} AS dearest_title, "
+        f"{text(t['dearest'], times=fx('{:.0f}x', '(SELECT v FROM top_pe) / (SELECT pe FROM p WHERE name = (SELECT n FROM top_e))', 0))} AS dearest_subtitle, "
+        f"{text(t['export_lead'], name=streak['e'][1], years=streak['e'][2], value=mag_abs(streak['e'][3]), first=first, last=last)} AS exports_lead, "
+        f"{text(t['import_lead'], name=streak['i'][1], years=streak['i'][2], value=mag_abs(streak['i'][3]), first=ifirst, last=ilast)} AS imports_lead, "
+        f"{text(t['yearly_price'], mean=price('(SELECT CAST(sum(e) AS DOUBLE) / CAST(sum(we) AS DOUBLE) FROM m)'), peak=price('(SELECT v FROM peak_e)'), year='(SELECT n FROM peak_e)')} AS yearly_export_price, "
+        f"{text(t['yearly_price'], mean=price('(SELECT CAST(sum(i) AS DOUBLE) / CAST(sum(wi) AS DOUBLE) FROM m)'), peak=price('(SELECT v FROM peak_i)'), year='(SELECT n FROM peak_i)')} AS yearly_import_price, "
+        f"{text(t['category_price'], name='(SELECT n FROM top_pe)', price=price('(SELECT v FROM top_pe)'))} AS category_export_price, "
+        f"{text(t['category_price'], name='(SELECT n FROM top_pi)', price=price('(SELECT v FROM top_pi)'))} AS category_import_price",
+        f"{months}, p AS (SELECT product_category_name AS name, * FROM ({priced('product_category_name')})), y AS (SELECT CAST(year AS VARCHAR) AS yy, * FROM ({priced('year')})), "
+        f"py AS ({g('year, product_category_name')}), {streak['e'][0]}, {streak['i'][0]}, top_e AS {best('p', 'name', 'e')}, top_i AS {best('p', 'name', 'i')}, top_pe AS {best('p', 'name', 'pe')}, "
+        f"top_pi AS {best('p', 'name', 'pi')}, peak_e AS {best('y', 'yy', 'pe')}, peak_i AS {best('y', 'yy', 'pi')}",
+    )
+    t = texts.PARTNERS
+    pick = lambda c, k: f"(SELECT {k} FROM k ORDER BY {c} DESC, country_name LIMIT 1)"
+    se = f"CAST({pick('e', 'e')} AS DOUBLE) / CAST((SELECT sum(e) FROM k) AS DOUBLE)"
+    si = f"CAST({pick('i', 'i')} AS DOUBLE) / CAST((SELECT sum(i) FROM k) AS DOUBLE)"
+    change = "(SELECT max_by(h, year) - min_by(h, year) FROM hh)"
+    year0 = "(SELECT min(year) FROM hh)"
+    partners = trades_query(
+        f"SELECT {text(t['exports_all'], share=pct(se, 2))} AS exports_title, {text(t['imports_all'], share=pct(se, 2))} AS imports_title, {text(t['imports_all'], share=pct(si, 2))} AS imports_title_fixed, "
+        f"{text(t['tornado_title'], n='10')} AS tornado_title, "
+        f"{text(t['tornado'], n='10', exporter=pick('e', 'country_name'), export_share=fx('{:02.0f}%', f'({se}) * 100', 0), importer=pick('i', 'country_name'), import_share=fx('{:02.0f}%', f'({si}) * 100', 0))} AS tornado_subtitle, "
+        f"CASE WHEN {change} < 0 THEN {text(t['hhi_down'], change=pct('-' + change), year=year0)} ELSE {text(t['hhi_up'], change=pct(change), year=year0)} END AS hhi_subtitle, "
+        f"{text(t['hhi_title'], flow=chr(39) + texts.EXPORTS + chr(39))} AS hhi_title",
+        f"k AS ({g('country_name')}), hy AS (SELECT year, country_name, sum(fob) AS v FROM trades GROUP BY ALL), "
+        "hh AS (SELECT year, sum(s * s) AS h FROM (SELECT year, CAST(v AS DOUBLE) / CAST(sum(v) OVER (PARTITION BY year) AS DOUBLE) AS s FROM hy) GROUP BY year)",
+    )
+    t = texts.STATES
+    city = lambda c, k: f"(SELECT {k} FROM c ORDER BY {c} DESC, city_uf LIMIT 1)"
+    top = lambda c: f"(SELECT max({c}) FROM st)"
+    states = trades_query(
+        f"SELECT {text(t['export_card'], first=first, last=last, value=mag_abs(top('e')), weight=kg(top('we')))} AS export_card, {text(t['import_card'], value=mag_abs(top('i')), weight=kg(top('wi')))} AS import_card, "
+        f"{text(t['cities_title'], n='10', first=first, last=last)} AS exporting_cities_title, {text(t['cities_title'], n='10', first=ifirst, last=ilast)} AS importing_cities_title, "
+        f"{text(t['exporting_city'], city=city('e', 'city_uf'), value=mag_abs(city('e', 'e')))} AS exporting_city, {text(t['importing_city'], city=city('i', 'city_uf'), value=mag_abs(city('i', 'i')))} AS importing_city, "
+        f"{text(t['exporting_cities'], state='(SELECT n FROM ae)', cities='(SELECT v FROM ae)')} AS exporting_cities, {text(t['importing_cities'], state='(SELECT n FROM ai)', cities='(SELECT v FROM ai)')} AS importing_cities, "
+        f"{text(t['map'], state='(SELECT n FROM se)', value=mag_abs('(SELECT v FROM se)'))} AS exports_map, {text(t['map'], state='(SELECT n FROM si)', value=mag_abs('(SELECT v FROM si)'))} AS imports_map",
+        f"{months}, st AS ({g('state_name')}), c AS ({g('city_uf')}), act AS (SELECT state_name, count(DISTINCT city_id) FILTER (WHERE flag = 'exp') AS e, count(DISTINCT city_id) FILTER (WHERE flag = 'imp') AS i FROM trades GROUP BY 1), "
+        f"ae AS {best('act', 'state_name', 'e')}, ai AS {best('act', 'state_name', 'i')}, se AS {best('st', 'state_name', 'e')}, si AS {best('st', 'state_name', 'i')}",
+    )
+    coverage = trades_query(
+        f"SELECT year, round(ch, 6) AS change, CASE WHEN ch > 0 THEN '+' WHEN ch < 0 THEN '-' ELSE '' END || {fx('{:.1f} p.p.', 'abs(ch)', 1)} AS label FROM "
+        f"(SELECT year, {minus('r', 'lag(r) OVER (ORDER BY year)')} AS ch FROM y)",
+        f"y AS (SELECT year, {div(EXP, IMP)} AS r FROM trades GROUP BY year)",
+    )
+    return {
+        "narrative_overview": overview, "narrative_balance": balance, "narrative_products": products,
+        "narrative_partners": partners, "narrative_states": states, "coverage_change_label": coverage,
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**report_sql(), **pipeline_sql(), **calendar_queries_sql()}
+    return {**report_sql(), **pipeline_sql(), **calendar_queries_sql(), **narrative_sql()}

@@ -106,8 +106,9 @@ def times(v: Column) -> Column:
 
 def signed_points(v: Column) -> Column:
     """Signed difference in points; no sign on zero."""
-    r = _fixed(v, 1)
-    return F.when(v > 0, F.format_string("+%.1f p.p.", r)).when(v.isNotNull(), F.format_string("%.1f p.p.", r))
+    r = F.abs(_fixed(v, 1))
+    sign = F.when(v > 0, "+").when(v < 0, "-").otherwise("")
+    return F.when(v.isNotNull(), F.format_string("%s%.1f p.p.", sign, r))
 
 
 def fill(template: str, **parts: Column) -> Column:

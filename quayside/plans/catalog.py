@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import calendar, concentration, ranking, timeintel
 from quayside.plans import measures as M
+from quayside.plans import narrative
 from quayside.plans import reports as R
 from quayside.plans.pipeline import pipeline_queries
 from quayside.plans.star import FilterContext, Star
@@ -103,6 +104,12 @@ def report_queries() -> dict[str, Query]:
         "countries_above_floor": lambda s: R.members_above(s, "exports", "country_name", 50_000_000),
         "countries_outside_top": lambda s: R.members_outside_top(s, "exports", "country_name", 10),
         "country_list_with_others": lambda s: ranking.members_with_others(s.dims["country"], "country_name"),
+        "narrative_overview": narrative.overview,
+        "narrative_balance": narrative.balance,
+        "narrative_products": narrative.products,
+        "narrative_partners": narrative.partners,
+        "narrative_states": narrative.states,
+        "coverage_change_label": lambda s: narrative.coverage_label(s, ["year"]),
         "category_lead_streak": lambda s: timeintel.lead_streak(R.category_leader_by_year(s), "year", CATEGORY),
     }
     return {name: on_star(f) for name, f in q.items()}
