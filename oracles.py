@@ -409,9 +409,9 @@ def pipeline_sql() -> dict[str, str]:
             orphans("fact", "fact_trades", "city_id", "(SELECT city_id FROM cities UNION ALL SELECT 'N/A')", "city_id"),
             orphans("fact", "fact_trades", "trade_country_id", "(SELECT country_id FROM countries UNION ALL SELECT 'N/A')", "country_id"),
             orphans("fact", "fact_trades", "product_category_id", "products", "product_category_id"),
-            nulls("(SELECT city_id, city_name, state_name, uf, city_uf, region, processed_at AS created_at FROM cities UNION ALL SELECT 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', NULL)", "dim_cities", CITY_COLUMNS[:6] + ["created_at"]),
+            nulls(f"(SELECT city_id, city_name, state_name, uf, city_uf, region, processed_at AS created_at FROM cities UNION ALL SELECT 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', {RUN})", "dim_cities", CITY_COLUMNS[:6] + ["created_at"]),
             uniques("cities", "dim_cities", ["city_id"]),
-            nulls("(SELECT country_id, country_name, processed_at AS created_at FROM countries UNION ALL SELECT 'N/A', 'N/A', NULL)", "dim_countries", ["country_id", "country_name", "created_at"]),
+            nulls(f"(SELECT country_id, country_name, processed_at AS created_at FROM countries UNION ALL SELECT 'N/A', 'N/A', {RUN})", "dim_countries", ["country_id", "country_name", "created_at"]),
             uniques("countries", "dim_countries", ["country_id"]),
             nulls("products", "dim_product_categories", ["product_category_id", "product_category_name", "product_category_description"]),
             uniques("products", "dim_product_categories", ["product_category_id"]),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,11 +51,15 @@ def gate(results: DataFrame) -> None:
         raise QualityError("; ".join(f"{r.table_name}.{r.column_name} {r.test}: {r.failures}" for r in failed))
 
 
-def with_unknown_member(dimension: DataFrame, key: str, unknown: str = "N/A") -> DataFrame:
-    """The dimension plus one member for facts whose name matched nothing."""
+def with_unknown_member(dimension: DataFrame, key: str, unknown: str = "N/A", **values: Column) -> DataFrame:
+    """The dimension plus one member for facts whose name matched nothing.
+
+    Text columns hold ``unknown``, others are empty unless given in ``values``.
+    """
     spark = dimension.sparkSession
-    blank = [
-        F.lit(unknown if f.name == key or f.dataType.typeName() == "string" else None).cast(f.dataType).alias(f.name)
-        for f in dimension.schema
-    ]
-    return dimension.unionByName(spark.range(1).select(*blank))
+
+    def cell(name: str, kind) -> Column:
+        text = name == key or kind.typeName() == "string"
+        return values.get(name, F.lit(unknown if text else None)).cast(kind).alias(name)
+
+    return dimension.unionByName(spark.range(1).select(*[cell(f.name, f.dataType) for f in dimension.schema]))

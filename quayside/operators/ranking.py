@@ -59,6 +59,7 @@ def dense_rank_of(groups: DataFrame, value: str, out: str = "ranking", slices: i
     no task ever sees all values.
     """
     values = groups.select(F.col(value).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+    slices = max(slices, 2)
     points = [i / slices for i in range(1, slices)]
     bounds = values.agg(F.percentile_approx("_v", points).alias("b")).scalar()
     sliced = values.withColumn("_b", bounds).select(

@@ -18,11 +18,17 @@ from quayside.plans.star import EVERYTHING, PERIODS, FilterContext, Star, in_dat
 TIME = ("trade_date", *PERIODS)
 
 
-def last_day(star: Star, as_of: date | None) -> Column:
-    """End of the calendar: 31 December of the as-of year (of the latest fact when not given)."""
+def last_day(star: Star, groups: DataFrame, period: str, ctx: FilterContext, as_of: date | None) -> Column:
+    """End of the calendar: 31 December of the as-of year, or of the latest fact when not given.
+
+    Without filters the latest fact is read off the grouped rows; only a filter costs another scan.
+    """
     if as_of is not None:
         return F.lit(date(as_of.year, 12, 31))
-    return star.fact().agg(year_end(F.max("trade_date"))).scalar()
+    if not ctx.empty:
+        return star.fact().agg(year_end(F.max("trade_date"))).scalar()
+    latest = F.max(period)
+    return groups.agg(F.make_date(latest if period == "year" else F.year(latest), F.lit(12), F.lit(31))).scalar()
 
 
 def _back_a_year(d: date | None) -> date | None:
@@ -48,7 +54,7 @@ def with_last_year(
         F.struct(F.lit(1).alias("lag"), F.add_months("trade_date", 12).alias("at")),
     )
     twice = monthly.withColumn("s", F.explode(shifts)).withColumns({"trade_date": F.col("s.at"), "lag": F.col("s.lag")})
-    kept = twice.filter(in_dates(ctx) & (F.col("trade_date") <= last_day(star, as_of)))
+    kept = twice.filter(in_dates(ctx) & (F.col("trade_date") <= last_day(star, monthly, "trade_date", ctx, as_of)))
     kept = with_periods(kept, by)
 
     def at(lag: int) -> list[Column]:
@@ -77,7 +83,7 @@ def running_total(
     groups = sum_groups(star, sums, [*others, period], ctx.without_lower_date())
     order = Window.partitionBy(*others).orderBy(period)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = last_day(star, as_of)
+    end = last_day(star, groups, period, ctx, as_of)
     if ctx.bounds()[1] is not None:
         end = F.least(end, F.lit(ctx.bounds()[1]))
     if period == "year":

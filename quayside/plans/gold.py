@@ -11,7 +11,7 @@ from quayside.functions.text import char, varchar
 from quayside.operators import quality
 from quayside.operators.incremental import newer_than
 from quayside.operators.inflation import deflate, latest_index
-from quayside.plans.silver import _run_time
+from quayside.plans.silver import run_time
 
 FACT_KEY = ("trade_date", "city_id", "trade_country_id", "product_category_id", "trade_flag")
 FACT_COLUMNS = (*FACT_KEY[:4], "fob_value", "fob_value_real", "net_weight", "trade_flag", "created_at")
@@ -34,16 +34,16 @@ def fact_trades(
     if target is not None:
         sides = [newer_than(s, target, "trade_date", or_equal=True) for s in sides]
     united = sides[0].unionByName(sides[1]).filter(latest_index(index).scalar().isNotNull())
-    return deflate(united, index).withColumn("created_at", _run_time(run_at)).select(*FACT_COLUMNS)
+    return deflate(united, index).withColumn("created_at", run_time(run_at)).select(*FACT_COLUMNS)
 
 
 def dim_cities(silver: DataFrame, run_at: datetime | None = None) -> DataFrame:
     columns = ("city_id", "city_name", "state_name", "uf", "city_uf", "region")
-    return silver.select(*columns, _run_time(run_at).alias("created_at"))
+    return silver.select(*columns, run_time(run_at).alias("created_at"))
 
 
 def dim_countries(silver: DataFrame, run_at: datetime | None = None) -> DataFrame:
-    return silver.select("country_id", "country_name", _run_time(run_at).alias("created_at"))
+    return silver.select("country_id", "country_name", run_time(run_at).alias("created_at"))
 
 
 def dim_product_categories(seed: DataFrame) -> DataFrame:

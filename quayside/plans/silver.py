@@ -18,7 +18,7 @@ NO_MEMBER, NO_HEADING, NO_REGION = "N/A", "0000", "Não se aplica"
 TRADE_KEY = ("noMunMinsgUf", "year", "monthNumber", "country", "headingCode")
 
 
-def _run_time(run_at: datetime | None):
+def run_time(run_at: datetime | None):
     return F.lit(run_at).cast("timestamp_ntz") if run_at else F.current_timestamp().cast("timestamp_ntz")
 
 
@@ -63,7 +63,7 @@ def silver_trades(
         "trade_flag",
         "ingested_at",
         "loaded_at",
-        _run_time(run_at).alias("processed_at"),
+        run_time(run_at).alias("processed_at"),
     )
 
 
@@ -92,7 +92,7 @@ def silver_cities(
         varchar(F.coalesce("region", F.lit(NO_REGION)), 50).alias("region"),
         "ingested_at",
         "loaded_at",
-        _run_time(run_at).alias("processed_at"),
+        run_time(run_at).alias("processed_at"),
     )
 
 
@@ -104,7 +104,7 @@ def silver_countries(countries: DataFrame, run_at: datetime | None = None, targe
         varchar(F.col("text"), 100).alias("country_name"),
         "ingested_at",
         "loaded_at",
-        _run_time(run_at).alias("processed_at"),
+        run_time(run_at).alias("processed_at"),
     )
 
 
@@ -121,6 +121,6 @@ def silver_index(index: DataFrame, run_at: datetime | None = None, target: DataF
         money(value).alias("cpi_value"),
         "ingested_at",
         "loaded_at",
-        _run_time(run_at).alias("processed_at"),
+        run_time(run_at).alias("processed_at"),
     )
     return typed.filter(positive(F.col("cpi_value")))

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # call sites are not recorded for each expression: plans are built several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators.incremental import insert_new, merge, require_unique
+from quayside.session import scratch_path
 
 
 def _fs(spark: SparkSession, path: str):
@@ -31,6 +32,13 @@ def write_snapshot(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared scratch folder and read back, for results used many times."""
+    path = scratch_path(frame.sparkSession, name)
+    write_snapshot(frame, path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def append(frame: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
     _sized(frame, partition).write.mode("append").partitionBy(*partition).parquet(path)
 
@@ -40,24 +48,27 @@ def _sized(frame: DataFrame, partition: Sequence[str]) -> DataFrame:
     return frame.hint("rebalance", *[F.col(c) for c in partition]) if partition else frame
 
 
-def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition: str) -> None:
+def upsert_partitions(
+    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition: str, replace: bool = False
+) -> None:
     """Merge into a partitioned table, rewriting only the partitions the new rows touch.
 
-    The partition column must be one of the keys. Nothing visible changes until all tasks have
-    written; a lost executor only repeats its tasks.
+    The partition column must be one of the keys. The new rows are computed once and stored, because
+    the key check, the merge and the write all read them. Nothing visible changes until all tasks have
+    written; a lost executor only repeats its tasks. ``replace`` rebuilds the whole table.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
+    new = stored(new, "merge")
     require_unique(new, keys)
-    if exists(spark, path):
+    merged = new
+    if not replace and exists(spark, path):
         touched = new.select(partition).distinct()
         merged = merge(spark.read.parquet(path).join(touched, partition, "left_semi"), new, keys)
-    else:
-        merged = new
     (
         _sized(merged, [partition])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace else "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
@@ -83,6 +94,7 @@ def write_version(spark: SparkSession, path: str, frame: DataFrame) -> None:
 
 def upsert_version(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str]) -> None:
     """Merge into an unpartitioned table as a new version beside the one being read."""
+    new = stored(new, "merge")
     require_unique(new, keys)
     old = read_current(spark, path)
     write_version(spark, path, new if old is None else merge(old, new, keys))
