@@ -32,8 +32,12 @@ def unaccent(c: Column) -> Column:
 
 
 def normalize_name(c: Column) -> Column:
-    """The comparison key of a place name: no accents, lower case, letters only."""
-    return F.regexp_replace(F.lower(unaccent(c)), "[^a-z]", "")
+    """The comparison key of a place name: no accents, lower case, letters only.
+
+    Text of one byte per character holds no accents and skips the letter-by-letter translation.
+    """
+    plain = F.when(F.octet_length(c) == F.char_length(c), c).otherwise(unaccent(c))
+    return F.regexp_replace(F.lower(plain), "[^a-z]+", "")
 
 
 def varchar(c: Column, n: int) -> Column:

@@ -16,7 +16,7 @@ from quayside.operators.cleansing import all_as_text, ambiguous_names, heading_f
 from quayside.operators.inflation import deflate
 from quayside.plans import gold, silver
 from quayside.plans import table_bronze as B
-from quayside.plans.table_star import price_index, read, trade_lines
+from quayside.plans.table_star import price_index, read, spread, trade_lines
 from quayside.session import scratch_path
 from quayside.sources import files, responses, tables
 from quayside.streaming.load import load_landed
@@ -112,7 +112,8 @@ def order_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalized_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "documents").select("doc_id", normalize_name(F.col("text")).alias("normalized"))
+    documents = spread(read(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return documents.select("doc_id", normalize_name(F.col("text")).alias("normalized"))
 
 
 def shared_customer_names(spark: SparkSession, sf: str) -> DataFrame:

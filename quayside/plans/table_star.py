@@ -59,10 +59,10 @@ def spread(frame: DataFrame, key: str) -> DataFrame:
     """Rows of a small table over all cores.
 
     A file of one row group is read by one task, and everything up to the first shuffle would run in
-    it. Tables with at least as many splits as half the cores are left alone.
+    it. Tables with at least as many splits as cores are left alone.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores, key) if frame.rdd.getNumPartitions() < cores / 2 else frame
+    return frame.repartition(cores, key) if frame.rdd.getNumPartitions() < cores else frame
 
 
 def _following_month(d: date) -> date:
