@@ -180,6 +180,19 @@ def report_sql() -> dict[str, str]:
             f"SELECT region, {r6('sum(s * s)')} AS hhi FROM (SELECT region, {div('e', '(SELECT sum(e) FROM g)')} AS s FROM g) GROUP BY region",
             f"g AS (SELECT region, state_name, {EXP} AS e FROM trades GROUP BY region, state_name)",
         ),
+        "state_import_concentration_of_total": trades_query(
+            f"SELECT region, {r6('sum(s * s)')} AS hhi FROM (SELECT region, {div('i', '(SELECT sum(i) FROM g)')} AS s FROM g) GROUP BY region",
+            f"g AS (SELECT region, state_name, {IMP} AS i FROM trades GROUP BY region, state_name)",
+        ),
+        "concentration_gauge": trades_query(
+            "SELECT round(h, 6) AS hhi, CASE WHEN h <= 0.15 THEN 'low' WHEN h <= 0.25 THEN 'medium' ELSE 'high' END AS band, "
+            "CAST(0.15 AS DOUBLE) AS low_width, CAST(0.1 AS DOUBLE) AS medium_width, CAST(0.75 AS DOUBLE) AS high_width FROM "
+            "(SELECT sum(s * s) AS h FROM (SELECT CAST(v AS DOUBLE) / CAST(sum(v) OVER () AS DOUBLE) AS s FROM g))",
+            "g AS (SELECT country_name, sum(fob) AS v FROM trades GROUP BY country_name)",
+        ),
+        "exports_by_month_label": trades_query(
+            f"SELECT year * 100 + month AS month_number, left({_case('month', PT_MONTHS)}, 3) || '/' || lpad(CAST(year % 100 AS VARCHAR), 2, '0') AS month_name, {EXP} AS exports FROM trades GROUP BY 1, 2"
+        ),
         "year_over_year_by_month": year_over_year("trade_date"),
         "year_over_year_by_year": year_over_year("year"),
         "running_totals_by_year": trades_query(

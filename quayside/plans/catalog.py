@@ -31,11 +31,7 @@ def on_star(f: Callable[[Star], DataFrame]) -> Query:
 
 def _shares(star: Star) -> DataFrame:
     groups = M.evaluate(star, ["exports", "imports"], ["country_name"])
-    return groups.select(
-        "country_name",
-        M.ratio(F.col("exports"), groups.agg(F.sum("exports")).scalar()).alias("export_share"),
-        M.ratio(F.col("imports"), groups.agg(F.sum("imports")).scalar()).alias("import_share"),
-    )
+    return R.export_import_shares(star, groups).select("country_name", "export_share", "import_share")
 
 
 ALL_MEASURES = [*M.SUMS, *M.DERIVED]
@@ -54,6 +50,9 @@ def report_queries() -> dict[str, Query]:
         "country_share_by_year": lambda s: M.share_over(s, "country_name", ["year"]),
         "concentration_by_year": R.concentration_by_year,
         "state_concentration_of_total": lambda s: concentration.hhi_of_total(s, "exports", "state_name", ["region"]),
+        "state_import_concentration_of_total": lambda s: concentration.hhi_of_total(s, "imports", "state_name", ["region"]),
+        "concentration_gauge": R.concentration_gauge,
+        "exports_by_month_label": lambda s: R.by_month_label(s, ["exports"]),
         "year_over_year_by_month": lambda s: R.year_over_year(s, ["trade_date"]),
         "year_over_year_by_year": lambda s: R.year_over_year(s, ["year"]),
         "running_totals_by_year": lambda s: R.running_totals(s, ["year"]),

@@ -73,6 +73,13 @@ def evaluate(star: Star, measures: list[str], by: list[str], ctx: FilterContext
     return groups.select(*by, *[formula(m).alias(m) for m in measures])
 
 
+def regroup(groups: DataFrame, measures: list[str], by: list[str]) -> DataFrame:
+    """Measures by fewer keys, from the sums of finer groups."""
+    sums = sums_for(measures)
+    rolled = groups.groupBy(*by).agg(*[F.sum(s).cast(groups.schema[s].dataType).alias(s) for s in sums])
+    return rolled.select(*by, *[formula(m).alias(m) for m in measures])
+
+
 def grand_total(star: Star, measure: str) -> Column:
     """The measure over the whole fact, as a scalar subquery."""
     return evaluate(star, [measure], [], EVERYTHING).scalar()

@@ -1,7 +1,7 @@
 """The pages' sentences: computed facts first, text from them last. One row per page.
 
-Month facts come from one grouped pass over the fact; facts about members are scalar subqueries on
-grouped sums, so nothing is joined by crossing frames.
+Each page sums the fact once at its finest grain and stores that; facts about months and members are
+scalar subqueries on it, so nothing is joined by crossing frames and the fact is not read again.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ from quayside.functions.text import (
 from quayside.operators.concentration import hhi
 from quayside.operators.ranking import first_member, leaders, leaders_by
 from quayside.operators.timeintel import lead_streak, with_last_year
-from quayside.plans.measures import evaluate, grand_total, members_by_flag
-from quayside.plans.star import EVERYTHING, FilterContext, Star
+from quayside.plans.measures import evaluate, grand_total, regroup, sum_groups, sums_for
+from quayside.plans.star import EVERYTHING, FilterContext, Star, with_periods
 from quayside.plans.texts import BALANCE, EXPORTS, IMPORTS, OVERVIEW, PARTNERS, PRODUCTS, STATES
+from quayside.sources.tables import stored
 
 CATEGORY = "product_category_name"
 
@@ -51,15 +52,29 @@ def _best(groups: DataFrame, member: str, value: str) -> DataFrame:
     return leaders(groups.select(member, value), member, value)
 
 
+def _base(star: Star, by: list[str], measures: list[str], ctx: FilterContext) -> DataFrame:
+    """The page's sums at its finest grain: one pass over the fact, written, then read by every question."""
+    return stored(sum_groups(star, sums_for(measures), by, ctx), "page")
+
+
+def _total(star: Star, base: DataFrame, measure: str, ctx: FilterContext) -> Column:
+    """The unfiltered total; without filters the base already holds it."""
+    return base.agg(F.sum(measure)).scalar() if ctx.empty else grand_total(star, measure)
+
+
 def overview(star: Star, n: int | None = 10, ctx: FilterContext = EVERYTHING) -> DataFrame:
-    months = evaluate(star, ["exports"], ["trade_date"], ctx)
+    base = _base(star, ["trade_date", "product_category_id", CATEGORY, "country_name"], ["exports", "imports"], ctx)
+    months = regroup(base, ["exports"], ["trade_date"])
     span = months.agg(_first_active("exports").alias("first"), _last_active("exports").alias("last"))
-    all_months = evaluate(star, ["imports"], ["trade_date"], ctx.without_dates())
+    if ctx.empty:
+        all_months, dates = regroup(base, ["imports"], ["trade_date"]), base
+    else:
+        all_months, dates = evaluate(star, ["imports"], ["trade_date"], ctx.without_dates()), star.fact()
     peak = _best(all_months.withColumn("month", month_label(F.col("trade_date"))), "month", "imports")
-    available = star.fact().agg(
+    available = dates.agg(
         month_year_label(F.min("trade_date")).alias("first"), month_year_label(F.max("trade_date")).alias("last")
     )
-    categories = evaluate(star, ["exports"], ["product_category_id", CATEGORY], ctx)
+    categories = regroup(base, ["exports"], ["product_category_id", CATEGORY])
     by_value = categories.filter(F.col("exports").isNotNull()).groupBy("exports").agg(
         F.array_join(F.sort_array(F.collect_list(CATEGORY)), "").alias("name"),
         F.array_join(F.sort_array(F.collect_list("product_category_id")), "").alias("id"),
@@ -68,14 +83,14 @@ def overview(star: Star, n: int | None = 10, ctx: FilterContext = EVERYTHING) ->
     two = by_value.orderBy(F.col("exports").desc()).limit(2)
     second = F.when(F.count(F.lit(1)) > 1, F.min_by(F.struct("name", "id", "value"), "exports"))
     two = two.agg(F.max_by(F.struct("name", "id", "value"), "exports").alias("one"), second.alias("two"))
-    countries = _best(evaluate(star, ["exports"], ["country_name"], ctx), "country_name", "exports")
+    countries = _best(regroup(base, ["exports"], ["country_name"]), "country_name", "exports")
     facts = span.withColumns(
         {
             "available": _row(available),
             "peak": _row(peak),
             "top": _row(two),
             "country": _row(countries),
-            "total": grand_total(star, "exports"),
+            "total": _total(star, base, "exports", ctx),
         }
     )
     total = F.col("total")
@@ -102,7 +117,8 @@ def overview(star: Star, n: int | None = 10, ctx: FilterContext = EVERYTHING) ->
 
 
 def balance(star: Star, ctx: FilterContext = EVERYTHING) -> DataFrame:
-    months = evaluate(star, ["exports", "imports", "balance", "balance_real"], ["trade_date"], ctx)
+    base = _base(star, ["trade_date"], ["balance", "balance_real"], ctx)
+    months = regroup(base, ["exports", "imports", "balance", "balance_real"], ["trade_date"])
     labelled = months.withColumn("month", month_label(F.col("trade_date")))
     gap = F.when(F.col("balance_real") != 0, F.abs(blank_subtract(F.col("balance_real"), F.col("balance"))))
     row = labelled.withColumn("gap", gap).agg(
@@ -136,9 +152,9 @@ def balance(star: Star, ctx: FilterContext = EVERYTHING) -> DataFrame:
     )
 
 
-def _lead(star: Star, measure: str, ctx: FilterContext) -> dict[str, Column]:
-    """Latest leader, years in the lead, and its total, from one (year, category) grouping."""
-    groups = evaluate(star, [measure], ["year", CATEGORY], ctx)
+def _lead(base: DataFrame, measure: str) -> dict[str, Column]:
+    """Latest leader, years in the lead, and its total."""
+    groups = regroup(base, [measure], ["year", CATEGORY])
     streak = lead_streak(leaders_by(groups, "year", CATEGORY, measure), "year", CATEGORY)
     name = streak.select(CATEGORY).scalar()
     total = groups.filter(F.col(CATEGORY) == name).agg(F.sum(measure)).scalar()
@@ -146,15 +162,17 @@ def _lead(star: Star, measure: str, ctx: FilterContext) -> dict[str, Column]:
 
 
 def products(star: Star, ctx: FilterContext = EVERYTHING) -> DataFrame:
-    months = evaluate(star, ["exports", "imports", "export_weight", "import_weight"], ["trade_date"], ctx)
+    prices = ["export_price", "import_price"]
+    base = with_periods(_base(star, ["trade_date", CATEGORY], prices, ctx), ["year"])
+    months = regroup(base, ["exports", "imports", "export_weight", "import_weight"], ["trade_date"])
     row = months.agg(
         _first_active("exports").alias("e_first"), _last_active("exports").alias("e_last"),
         _first_active("imports").alias("i_first"), _last_active("imports").alias("i_last"),
         ratio(F.sum("exports"), F.sum("export_weight")).alias("export_price"),
         ratio(F.sum("imports"), F.sum("import_weight")).alias("import_price"),
     )
-    groups = evaluate(star, ["exports", "imports", "export_price", "import_price"], [CATEGORY], ctx)
-    years = evaluate(star, ["export_price", "import_price"], ["year"], ctx)
+    groups = regroup(base, ["exports", "imports", *prices], [CATEGORY])
+    years = regroup(base, prices, ["year"])
     top_exported = _best(groups, CATEGORY, "exports")
     export_price_of_top = groups.filter(F.col(CATEGORY) == top_exported.select(CATEGORY).scalar()).agg(F.max("export_price")).scalar()
     facts = row.withColumns(
@@ -165,8 +183,8 @@ def products(star: Star, ctx: FilterContext = EVERYTHING) -> DataFrame:
             "dearest_in": _row(_best(groups, CATEGORY, "import_price")),
             "peak_out": _row(_best(years.withColumn("year", F.col("year").cast("string")), "year", "export_price")),
             "peak_in": _row(_best(years.withColumn("year", F.col("year").cast("string")), "year", "import_price")),
-            **_lead(star, "exports", ctx),
-            **_lead(star, "imports", ctx),
+            **_lead(base, "exports"),
+            **_lead(base, "imports"),
         }
     )
     f = PRODUCTS
@@ -191,9 +209,20 @@ def products(star: Star, ctx: FilterContext = EVERYTHING) -> DataFrame:
     )
 
 
+def _category_choice(star: Star, ctx: FilterContext) -> DataFrame:
+    """How many categories are chosen, of how many, and the name when it is one."""
+    names = star.dims["product"].select(CATEGORY).distinct()
+    picked = F.col(CATEGORY).isin(*ctx.members[CATEGORY]) if CATEGORY in ctx.members else F.lit(True)
+    return names.agg(
+        F.count_if(picked).alias("chosen"), F.count(F.lit(1)).alias("known"), F.max(F.when(picked, F.col(CATEGORY))).alias("name")
+    )
+
+
 def partners(star: Star, n: int | None = 10, flag: str | None = None, ctx: FilterContext = EVERYTHING) -> DataFrame:
     """``imports_title`` shows the export share, as published; ``imports_title_fixed`` the import share."""
-    groups = evaluate(star, ["exports", "imports"], ["country_name"], ctx)
+    # a flag slicer counts for concentration, while exports and imports set the flag themselves
+    sums = _base(star, ["country_name"], ["exports", "imports"], ctx)
+    groups = regroup(sums, ["exports", "imports"], ["country_name"])
     by_year = hhi(star, "country_name", ["year"], ctx)
     row = by_year.agg(
         F.min("year").alias("year"), (F.max_by("hhi", "year") - F.min_by("hhi", "year")).alias("change")
@@ -202,20 +231,20 @@ def partners(star: Star, n: int | None = 10, flag: str | None = None, ctx: Filte
         {
             "exporter": _row(first_member(groups, "country_name", "exports")),
             "importer": _row(first_member(groups, "country_name", "imports")),
-            "export_total": grand_total(star, "exports"),
-            "import_total": grand_total(star, "imports"),
+            "export_total": _total(star, sums, "exports", ctx),
+            "import_total": _total(star, sums, "imports", ctx),
+            "categories": _row(_category_choice(star, ctx)),
         }
     )
     export_share = ratio(F.col("exporter.exports"), F.col("export_total"))
     import_share = ratio(F.col("importer.imports"), F.col("import_total"))
-    chosen = ctx.members.get(CATEGORY)
-    kind = "all" if chosen is None else "one" if len(chosen) == 1 else "some"
-    category = F.lit(chosen[0] if chosen else None)
     f = PARTNERS
+    chosen, known = F.col("categories.chosen"), F.col("categories.known")
 
     def card(direction: str, share: Column) -> Column:
-        template = f[f"{direction}_{kind}"]
-        return fill(template, share=percent(share, 2), category=category)
+        parts = {"share": percent(share, 2), "category": F.col("categories.name")}
+        every, one, some = (fill(f[f"{direction}_{kind}"], **parts) for kind in ("all", "one", "some"))
+        return F.when(chosen == known, every).when(chosen == 1, one).otherwise(some)
 
     change = F.col("change")
     return facts.select(
@@ -239,9 +268,16 @@ def states(star: Star, n: int | None = 10, ctx: FilterContext = EVERYTHING) -> D
         _first_active("exports").alias("e_first"), _last_active("exports").alias("e_last"),
         _first_active("imports").alias("i_first"), _last_active("imports").alias("i_last"),
     )
-    groups = evaluate(star, ["exports", "imports", "export_weight", "import_weight"], ["state_name"], ctx)
-    cities = evaluate(star, ["exports", "imports"], ["city_uf"], ctx)
-    active = members_by_flag(star, "city_id", ["state_name"], ctx)
+    sums = ["exports", "imports", "export_weight", "import_weight"]
+    # one row per city: its sums, and whether it exports or imports at all
+    base = stored(sum_groups(star, sums, ["city_id", "city_uf", "state_name"], ctx), "page")
+    groups = regroup(base, sums, ["state_name"])
+    cities = regroup(base, ["exports", "imports"], ["city_uf"])
+    known = F.col("city_id").isNotNull()
+    active = base.groupBy("state_name").agg(
+        F.count_if(known & F.col("exports").isNotNull()).alias("exports_members"),
+        F.count_if(known & F.col("imports").isNotNull()).alias("imports_members"),
+    )
     facts = row.withColumns(
         {
             "top": _row(groups.agg(*[F.max(m).alias(m) for m in ("exports", "imports", "export_weight", "import_weight")])),

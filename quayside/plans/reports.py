@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.numbers import blank_subtract, ratio
-from quayside.operators.concentration import band, hhi, squared_shares
+from quayside.operators.concentration import BAND_WIDTHS, band, hhi, squared_shares
 from quayside.operators.ranking import (
     OTHERS,
     dense_rank_of,
-    leaders,
     leaders_by,
     top_n,
     top_n_others,
@@ -62,19 +61,21 @@ def matrix(star: Star, measure: str, ctx: FilterContext = EVERYTHING, skip_year:
     return wide.withColumnsRenamed({str(m): f"m{m:02d}" for m in range(1, 13)}).orderBy("year")
 
 
+def export_import_shares(star: Star, groups: DataFrame, ctx: FilterContext = EVERYTHING) -> DataFrame:
+    """Groups with their shares of all exports and imports; both totals come from one subquery."""
+    whole = groups if ctx.empty else evaluate(star, ["exports", "imports"], [])
+    totals = whole.agg(F.struct(F.sum("exports").alias("e"), F.sum("imports").alias("i"))).scalar()
+    shares = {
+        "export_share": ratio(F.col("exports"), F.col("_totals.e")),
+        "import_share": ratio(F.col("imports"), F.col("_totals.i")),
+    }
+    return groups.withColumn("_totals", totals).withColumns(shares).drop("_totals")
+
+
 def market_share_by_flow(star: Star, n: int, ctx: FilterContext = EVERYTHING) -> DataFrame:
     """Import and export shares of the n countries with most trade flow; imports drawn to the left."""
     groups = evaluate(star, ["flow", "exports", "imports"], ["country_name"], ctx)
-    if ctx.empty:
-        total = lambda m: groups.agg(F.sum(m)).scalar()
-    else:
-        total = lambda m: evaluate(star, [m], []).scalar()
-    shares = groups.withColumns(
-        {
-            "export_share": ratio(F.col("exports"), total("exports")),
-            "import_share": ratio(F.col("imports"), total("imports")),
-        }
-    )
+    shares = export_import_shares(star, groups, ctx)
     best = top_n(shares, "flow", n).withColumn("import_share_left", -F.col("import_share"))
     return best.select("country_name", "flow", "export_share", "import_share", "import_share_left").orderBy(
         F.col("export_share").desc()
@@ -134,14 +135,10 @@ def active_cities_by_state(star: Star, ctx: FilterContext = EVERYTHING) -> DataF
 
 
 def leader_cards(star: Star, member: str, measures: list[str], ctx: FilterContext = EVERYTHING) -> DataFrame:
-    """One row per measure: the member leading it, with its value."""
+    """One row per measure: the member leading it (tied names joined), with its value."""
     groups = evaluate(star, measures, [member], ctx)
-    cards = None
-    for m in measures:
-        card = leaders(groups.select(member, F.col(m).cast("double").alias("value")), member, "value")
-        card = card.select(F.lit(m).alias("measure"), member, "value")
-        cards = card if cards is None else cards.unionByName(card)
-    return cards
+    long = groups.unpivot([member], [F.col(m).cast("double").alias(m) for m in measures], "measure", "value")
+    return leaders_by(long, "measure", member, "value")
 
 
 def category_leader_by_year(star: Star, measure: str = "exports", ctx: FilterContext = EVERYTHING) -> DataFrame:
@@ -153,6 +150,22 @@ def lowest_month(star: Star, measure: str = "balance", ctx: FilterContext = EVER
     return top_n(evaluate(star, [measure], ["trade_date"], ctx), measure, 1, ascending=True)
 
 
+def by_month_label(star: Star, measures: list[str], ctx: FilterContext = EVERYTHING) -> DataFrame:
+    """Measures by month label, in the order of the month's number: the pair stays in the keys."""
+    return evaluate(star, measures, ["month_number", "month_name"], ctx).orderBy("month_number")
+
+
+def concentration_gauge(star: Star, ctx: FilterContext = EVERYTHING) -> DataFrame:
+    """Overall concentration over countries, its band, and the widths of the three stacked bands."""
+    widths = [F.lit(w).alias(f"{name}_width") for name, w in BAND_WIDTHS.items()]
+    return hhi(star, "country_name", [], ctx).select("hhi", band(F.col("hhi")).alias("band"), *widths)
+
+
+def top_n_choices(spark: SparkSession, last: int = 20) -> DataFrame:
+    """The numbers a top-N slicer offers."""
+    return spark.range(1, last + 1).select(F.col("id").cast("int").alias("n"))
+
+
 def members_above(star: Star, measure: str, member: str, floor: float, ctx: FilterContext = EVERYTHING) -> DataFrame:
     """Members whose measure is above a floor: aggregate first, then filter."""
     return evaluate(star, [measure], [member], ctx).filter(F.col(measure) > floor).orderBy(member)

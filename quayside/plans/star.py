@@ -144,6 +144,8 @@ class Star:
         for attribute, chosen in ctx.members.items():
             if owner(attribute):
                 groups = groups.filter(F.col(attribute).isin(*chosen))
+        if {KEY_OF[d] for d in dims} <= set(by):
+            return groups.select(*by, *aggregates)  # attributes follow from the keys: already grouped
         types = {f.name: f.dataType for f in groups.schema}
         return groups.groupBy(*by).agg(*[combine(n).cast(types[n]).alias(n) for n in aggregates])
 
