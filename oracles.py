@@ -21,7 +21,7 @@ lines AS (
   LEFT JOIN part ON l_partkey = p_partkey),
 idx AS (
   SELECT trade_date AS cpi_date, CAST(100 + 0.25 * (12 * (year(trade_date) - 1995) + month(trade_date) - 1) AS DECIMAL(20,2)) AS cpi
-  FROM (SELECT DISTINCT trade_date FROM lines) WHERE trade_date NOT IN (DATE '1996-03-01', DATE '1999-08-01')),
+  FROM (SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS trade_date) WHERE trade_date NOT IN (DATE '1996-03-01', DATE '1999-08-01')),
 latest AS (SELECT cpi AS latest FROM idx ORDER BY cpi_date DESC LIMIT 1),
 ratios AS (
   SELECT cpi_date, CAST(CAST((CAST(latest * 10000 AS BIGINT) * 2 + CAST(cpi * 100 AS BIGINT)) // (2 * CAST(cpi * 100 AS BIGINT))
@@ -356,9 +356,12 @@ fact AS (
 """
 
 
-def indices(source: str) -> str:
-    """The index CTEs over another relation holding trade_date."""
-    return TRADES[TRADES.index("idx AS") : TRADES.index("trades AS")].strip().rstrip(",").replace("FROM lines", f"FROM {source}")
+SERIES = "(SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS trade_date)"
+
+
+def indices(source: str = SERIES) -> str:
+    """The index CTEs over another relation holding one row per month in trade_date."""
+    return TRADES[TRADES.index("idx AS") : TRADES.index("trades AS")].strip().rstrip(",").replace(f"FROM {SERIES}", f"FROM {source}")
 
 
 def nulls(table: str, label: str, columns: list[str]) -> str:
@@ -455,7 +458,7 @@ def pipeline_sql() -> dict[str, str]:
             orphans("(SELECT * FROM orders WHERE o_orderpriority <> '5-LOW')", "orders", "o_custkey", "(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')", "c_custkey"),
         ]
     )
-    early = indices("(SELECT * FROM lines WHERE trade_date <= DATE '2000-12-01')").replace("idx", "idx0").replace("latest AS (", "latest0 AS (").replace("idx0, latest)", "idx0, latest0)").replace("ratios AS", "ratios0 AS")
+    early = indices(f"(SELECT * FROM {SERIES} WHERE trade_date <= DATE '2000-12-01')").replace("idx", "idx0").replace("latest AS (", "latest0 AS (").replace("idx0, latest)", "idx0, latest0)").replace("ratios AS", "ratios0 AS")
     since = "DATE '2000-12-01'"
     return {
         "silver_exports": f"WITH {BRONZE} SELECT * FROM silver WHERE trade_flag = 'exp'",
@@ -466,7 +469,7 @@ def pipeline_sql() -> dict[str, str]:
         "silver_index": f"WITH {dates}, {indices('lines')}, {silver_cpi} SELECT * FROM idx2",
         "fact_trades": f"WITH {BRONZE}, {dates}, {indices('lines')}, {FACT} SELECT * FROM fact",
         "fact_trades_incremental": (
-            f"WITH {BRONZE}, {dates}, {indices('lines')}, {early}, g AS ({grain}) "
+            f"WITH {BRONZE}, {indices()}, {early}, g AS ({grain}) "
             f"SELECT trade_date, city_id, trade_country_id, product_category_id, fob_value, CAST(fob_value * r.ratio AS DECIMAL(38,4)) AS fob_value_real, net_weight, trade_flag, {RUN} AS created_at "
             f"FROM g LEFT JOIN ratios r ON trade_date = r.cpi_date WHERE trade_date >= {since} UNION ALL "
             f"SELECT trade_date, city_id, trade_country_id, product_category_id, fob_value, CAST(fob_value * r.ratio AS DECIMAL(38,4)), net_weight, trade_flag, {FIRST} "

@@ -61,7 +61,7 @@ def fact(spark: SparkSession, sf: str) -> DataFrame:
 def fact_since(spark: SparkSession, sf: str) -> DataFrame:
     """Frozen form: only months from the target's latest on get new real values, older rows keep theirs."""
     sides = [_grain(spark, sf).filter(F.col("trade_flag") == f) for f in ("imp", "exp")]
-    index = price_index(spark, sf)
+    index = price_index(spark)
     early = index.filter(F.col("cpi_date") <= F.lit(CUT))
     old = deflate(_grain(spark, sf).filter(F.col("trade_date") <= F.lit(CUT)), early)
     old = old.withColumn("created_at", F.lit(B.FIRST_LOAD).cast("timestamp_ntz")).select(*gold.FACT_COLUMNS)

@@ -105,7 +105,7 @@ def bronze_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index values as text, with a missing mark in the gap months and a yearly row per year."""
     months = read(spark, sf_dir, "lineitem").select(month_start(F.col("l_shipdate")).alias("d")).distinct()
-    known = price_index(spark, sf_dir)
+    known = price_index(spark)
     rows = months.join(known, F.col("d") == F.col("cpi_date"), "left").select(
         F.year("d").cast("string").alias("year"),
         F.concat(F.lit("M"), F.date_format("d", "MM")).alias("period"),

@@ -15,9 +15,10 @@ from quayside.functions.dates import month_start
 from quayside.operators.inflation import deflate
 from quayside.plans.star import Star
 
-# The stand-in price index (100 in January 1995, a quarter point more each month)
-# and the months it does not cover.
+# The stand-in price index (100 in January 1995, a quarter point more each month),
+# the months it covers, and those left out.
 INDEX_START = date(1995, 1, 1)
+INDEX_FIRST, INDEX_LAST = date(1992, 1, 1), date(2001, 12, 1)
 INDEX_GAPS = (date(1996, 3, 1), date(1999, 8, 1))
 
 
@@ -40,9 +41,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(cpi_date, cpi_value): one row for every shipped month but the gaps."""
-    months = read(spark, sf_dir, "lineitem").select(month_start(F.col("l_shipdate")).alias("cpi_date")).distinct()
+def price_index(spark: SparkSession) -> DataFrame:
+    """(cpi_date, cpi_value): one row for every covered month but the gaps; no table is read for it."""
+    months = spark.range(1).select(
+        F.explode(F.sequence(F.lit(INDEX_FIRST), F.lit(INDEX_LAST), F.expr("interval 1 month"))).alias("cpi_date")
+    )
     k = F.months_between("cpi_date", F.lit(INDEX_START)).cast("int")
     return months.filter(~F.col("cpi_date").isin(*INDEX_GAPS)).select(
         "cpi_date", (F.lit(100) + k * F.lit(0.25).cast("decimal(4,2)")).cast("decimal(20,2)").alias("cpi_value")
@@ -101,7 +104,7 @@ def trade_lines(spark: SparkSession, sf_dir: str, keys: frozenset, lo: date | No
         out["product_category_id"] = F.left("p_type", F.lit(4))
     trades = lines.select(*[c.alias(n) for n, c in out.items()])
     if "fob_value_real" in keys:
-        trades = deflate(trades, price_index(spark, sf_dir))
+        trades = deflate(trades, price_index(spark))
     return trades
 
 
