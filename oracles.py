@@ -269,6 +269,10 @@ def report_sql() -> dict[str, str]:
         "sliced_category_exports": grouped(
             "product_category_name", ["exports"], where="year IN (1997, 1998) AND region IN ('ASIA', 'EUROPE')"
         ),
+        "sliced_country_months": grouped("trade_date", ["exports", "imports"], where="country_id IN ('3', '9')"),
+        "sliced_city_years": grouped(
+            "year, region", ["exports"], where="city_id IN ('7', '11', '100') AND country_name IN ('NATION_9', 'NATION_3')", having=f"{EXP} IS NOT NULL"
+        ),
         "sliced_export_share": trades_query(
             f"SELECT state_name, {EXP} AS exports, {r6(div(EXP, f'(SELECT {EXP} FROM trades)'))} AS share FROM trades "
             "WHERE trade_date BETWEEN DATE '1997-03-01' AND DATE '1999-06-01' GROUP BY state_name"

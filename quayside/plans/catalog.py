@@ -91,6 +91,10 @@ def report_queries() -> dict[str, Query]:
         "sliced_category_exports": lambda s: R.by_member(
             s, ["exports"], [CATEGORY], FilterContext().where(year=[1997, 1998], region=["ASIA", "EUROPE"])
         ),
+        "sliced_country_months": lambda s: R.by_month(s, ["exports", "imports"], FilterContext().where(trade_country_id=["3", "9"])),
+        "sliced_city_years": lambda s: R.by_member(
+            s, ["exports"], ["year", "region"], FilterContext().where(city_id=["7", "11", "100"], country_name=["NATION_9", "NATION_3"])
+        ),
         "sliced_export_share": lambda s: M.share_of_all(
             s, "exports", ["state_name"], FilterContext(date_from=date(1997, 3, 1), date_to=date(1999, 6, 1))
         ),

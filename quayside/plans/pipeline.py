@@ -26,10 +26,8 @@ CUT = date(2000, 12, 1)
 
 
 def silver_side(spark: SparkSession, sf: str, flag: str, target: DataFrame | None = None) -> DataFrame:
-    cities, countries = B.bronze_cities(spark, sf), B.bronze_countries(spark, sf)
-    # the newest copy only: bronze members are kept once per load
-    cities = latest_per_key(cities, ["id"])
-    countries = latest_per_key(countries, ["id"])
+    cities = latest_per_key(B.bronze_cities(spark, sf), ["id"])  # bronze holds a copy per load
+    countries = B.country_names(spark, sf)
     return silver.silver_trades(B.bronze_trades(spark, sf, flag), cities, countries, flag, B.RUN_AT, target)
 
 

@@ -86,16 +86,33 @@ EVERYTHING = FilterContext()
 Provider = Callable[[frozenset, "date | None", "date | None"], DataFrame]
 
 
+@dataclass(frozen=True)
+class Bridge:
+    """A key that hangs on a finer ``source`` key of the raw fact; ``frame`` holds (source, key)."""
+
+    source: str
+    frame: DataFrame
+
+
 class Star:
     """``fact`` is a frame, or a function of (needed key columns, first date, last date) giving one.
 
     The function form lets a star over raw tables leave out joins no query asked for. Dimensions are
     joined LEFT from the fact, so facts with unknown keys stay, under a NULL member. No join carries
     a broadcast hint: the planner broadcasts a dimension only below its measured size threshold.
+    A lone key with a :class:`Bridge` is summed by the bridge's source key before the bridge is joined.
     """
 
-    def __init__(self, fact: DataFrame | Provider, cities: DataFrame, countries: DataFrame, products: DataFrame):
+    def __init__(
+        self,
+        fact: DataFrame | Provider,
+        cities: DataFrame,
+        countries: DataFrame,
+        products: DataFrame,
+        bridges: Mapping[str, Bridge] | None = None,
+    ):
         self._fact = fact
+        self.bridges = dict(bridges or {})
         self.dims = {"city": cities, "country": countries, "product": products}
 
     def fact(self, keys: Iterable[str] = (), lo: date | None = None, hi: date | None = None) -> DataFrame:
@@ -127,14 +144,26 @@ class Star:
         asked = set(by) | set(ctx.members)
         dims = sorted({d for d in map(owner, asked) if d})
         keys = {KEY_OF[d] for d in dims} | (asked & set(KEY_OF.values()))
+        bridged = next((k for k in keys if k in self.bridges), None) if len(keys) == 1 else None
+        raw = {self.bridges[bridged].source} if bridged else keys
         lo, hi = ctx.bounds()
-        facts = self.fact(keys | ({"fob_value_real"} if real else set()), lo, hi)
-        facts = with_periods(facts, asked)
+        facts = with_periods(self.fact(raw | ({"fob_value_real"} if real else set()), lo, hi), asked)
         for attribute, chosen in ctx.members.items():
-            if not owner(attribute):
+            if not owner(attribute) and attribute != bridged:
                 facts = facts.filter(F.col(attribute).isin(*chosen))
-        first = sorted({KEY_OF[d] for d in dims} | {b for b in by if not owner(b)})
-        groups = facts.groupBy(*first).agg(*[c.alias(n) for n, c in aggregates.items()])
+        plain = sorted({b for b in by if not owner(b)} - keys)
+        kept = sorted({KEY_OF[d] for d in dims} | (keys & set(by)))  # not the keys that only filter
+        groups = facts.groupBy(*(sorted(raw) if bridged else kept), *plain).agg(*[c.alias(n) for n, c in aggregates.items()])
+        types = {n: groups.schema[n].dataType for n in aggregates}
+
+        def rolled(frame: DataFrame, names: list[str]) -> DataFrame:
+            return frame.groupBy(*names).agg(*[combine(n).cast(types[n]).alias(n) for n in aggregates])
+
+        if bridged:
+            groups = groups.join(self.bridges[bridged].frame, self.bridges[bridged].source, "left")
+            if bridged in ctx.members:
+                groups = groups.filter(F.col(bridged).isin(*ctx.members[bridged]))
+            groups = rolled(groups, [*kept, *plain])
         if not dims:
             return groups.select(*by, *aggregates)
         for d in dims:
@@ -146,8 +175,7 @@ class Star:
                 groups = groups.filter(F.col(attribute).isin(*chosen))
         if {KEY_OF[d] for d in dims} <= set(by):
             return groups.select(*by, *aggregates)  # attributes follow from the keys: already grouped
-        types = {f.name: f.dataType for f in groups.schema}
-        return groups.groupBy(*by).agg(*[combine(n).cast(types[n]).alias(n) for n in aggregates])
+        return rolled(groups, by)
 
 
 def with_periods(frame: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -92,12 +92,19 @@ def state_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.upper(letters(F.col("n_nationkey"), 2)).alias("uf"), F.col("r_name").alias("region"))
 
 
+def country_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list fact records are looked up in: a small file, so the planner knows it is small."""
+    return _countries(read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")))
+
+
+def _countries(keys: DataFrame) -> DataFrame:
+    name = F.concat(F.lit("Nação "), F.initcap(letters(F.col("k"), 2)))
+    return keys.select(F.col("k").cast("string").alias("id"), name.alias("text"))
+
+
 def bronze_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Countries of the suppliers, loaded twice."""
-    rows = read(spark, sf_dir, "supplier").select("s_nationkey").distinct().select(
-        F.col("s_nationkey").cast("string").alias("id"),
-        F.concat(F.lit("Nação "), F.initcap(letters(F.col("s_nationkey"), 2))).alias("text"),
-    )
+    rows = _countries(read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")).distinct())
     old = rows.withColumn("text", F.upper("text"))
     return loaded(rows, SECOND_LOAD).unionByName(loaded(old, FIRST_LOAD))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.dates import month_start
 from quayside.operators.inflation import deflate
-from quayside.plans.star import Star
+from quayside.plans.star import KEY_OF, Bridge, Star
 
 # The stand-in price index (100 in January 1995, a quarter point more each month),
 # the months it covers, and those left out.
@@ -72,6 +72,19 @@ def _following_month(d: date) -> date:
     return date(d.year + d.month // 12, d.month % 12 + 1, 1)
 
 
+SOURCES = frozenset({"l_suppkey", "l_partkey"})
+
+
+def supplier_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suppliers = read(spark, sf_dir, "supplier")
+    return suppliers.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("string").alias("trade_country_id"))
+
+
+def part_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read(spark, sf_dir, "part")
+    return parts.select(F.col("p_partkey").alias("l_partkey"), F.left("p_type", F.lit(4)).alias("product_category_id"))
+
+
 def trade_lines(spark: SparkSession, sf_dir: str, keys: frozenset, lo: date | None = None, hi: date | None = None):
     """Line-level trades. Sums are additive, so measures group these directly: no extra shuffle to a grain."""
     lines = read(spark, sf_dir, "lineitem")
@@ -88,20 +101,21 @@ def trade_lines(spark: SparkSession, sf_dir: str, keys: frozenset, lo: date | No
         "fob_value": cents(F.col("l_extendedprice")),
         "net_weight": cents(F.col("l_quantity")),
     }
-    if keys - {"fob_value_real"}:
+    for source in SOURCES & keys:
+        out[source] = F.col(source)
+    joins = keys & set(KEY_OF.values())
+    if joins:
         lines = spread(lines, "l_orderkey")
-    if "city_id" in keys:
+    if "city_id" in joins:
         orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         out["city_id"] = F.col("o_custkey").cast("string")
-    if "trade_country_id" in keys:
-        suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        out["trade_country_id"] = F.col("s_nationkey").cast("string")
-    if "product_category_id" in keys:
-        parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
-        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        out["product_category_id"] = F.left("p_type", F.lit(4))
+    if "trade_country_id" in joins:
+        lines = lines.join(supplier_country(spark, sf_dir), "l_suppkey", "left")
+        out["trade_country_id"] = F.col("trade_country_id")
+    if "product_category_id" in joins:
+        lines = lines.join(part_category(spark, sf_dir), "l_partkey", "left")
+        out["product_category_id"] = F.col("product_category_id")
     trades = lines.select(*[c.alias(n) for n, c in out.items()])
     if "fob_value_real" in keys:
         trades = deflate(trades, price_index(spark))
@@ -132,4 +146,9 @@ def table_star(spark: SparkSession, sf_dir: str) -> Star:
         .select(F.left("p_type", F.lit(4)).alias("product_category_id"), F.col("p_type").alias("product_category_name"))
         .distinct()
     )
-    return Star(lambda keys, lo, hi: trade_lines(spark, sf_dir, keys, lo, hi), cities, countries, products)
+    # many lines per supplier and part: sum by those before looking up country and category
+    bridges = {
+        "trade_country_id": Bridge("l_suppkey", supplier_country(spark, sf_dir)),
+        "product_category_id": Bridge("l_partkey", part_category(spark, sf_dir)),
+    }
+    return Star(lambda keys, lo, hi: trade_lines(spark, sf_dir, keys, lo, hi), cities, countries, products, bridges)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quayside.operators import concentration, ranking, timeintel
 from quayside.plans import measures as M
 from quayside.plans import reports as R
-from quayside.plans.star import FilterContext, Star
+from quayside.plans.star import Bridge, FilterContext, Star
 
 FACT = "trade_date date, city_id string, trade_country_id string, product_category_id string, fob_value decimal(20,2), net_weight decimal(20,2), trade_flag string, fob_value_real decimal(38,4)"
 
@@ -81,6 +81,24 @@ def test_filter_context(star):
     assert (low.date_from, low.date_to) == (None, dt.date(2024, 3, 1))
 
 
+def test_key_slicer_does_not_split_groups(star):
+    ctx = FilterContext().where(trade_country_id=["k1", "k2"], city_id=["c1", "c2"])
+    assert rows(M.evaluate(star, ["exports"], ["year"], ctx)) == [(2023, D("4.00")), (2024, D("8.00"))]
+
+
+def test_bridge_gives_the_same_groups(spark, star):
+    lines = star.fact().withColumnRenamed("trade_country_id", "seller")
+    bridge = spark.createDataFrame([("k1", "k1"), ("k2", "k2"), ("k3", "k3")], "seller string, trade_country_id string")
+
+    def provider(keys, lo, hi):
+        return lines if "seller" in keys else lines.join(bridge, "seller", "left")
+
+    bridged = Star(provider, *star.dims.values(), bridges={"trade_country_id": Bridge("seller", bridge)})
+    for by in (["country_name"], ["trade_country_id", "year"], ["year", "country_name"], ["city_uf", "country_name"]):
+        for ctx in (FilterContext(), FilterContext().where(trade_country_id=["k1", "k3"]), FilterContext().where(country_name=["K2"])):
+            assert rows(M.evaluate(bridged, ["total_value"], by, ctx)) == rows(M.evaluate(star, ["total_value"], by, ctx))
+
+
 def test_distinct_members(star):
     got = {r.trade_date: (r.exports_members, r.imports_members) for r in M.members_by_flag(star, "trade_country_id", ["trade_date"]).collect()}
     assert got[dt.date(2024, 2, 1)] == (1, 1)
