@@ -21,9 +21,5 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
-def rounded(c: Column, digits: int = 6) -> Column:
-    return F.round(c.cast("double"), digits)
-
-
 def money(c: Column) -> Column:
     return c.cast("decimal(20,2)")

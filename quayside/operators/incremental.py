@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.dates import next_month
+from quayside.functions.dates import next_month, period_name
 
 # Load windows are five years long up to 2023 and yearly from 2024 on.
 YEARLY_FROM, LONG_WINDOW = 2024, 5
@@ -73,7 +73,7 @@ def load_windows(plan: DataFrame, yearly_from: int = YEARLY_FROM, long_window: i
         .withColumn("window_from", F.concat(s.cast("string"), F.lit("-01")))
         .withColumn(
             "window_to",
-            F.when(end < y1, F.concat(end.cast("string"), F.lit("-12"))).otherwise(F.date_format("date_to", "yyyy-MM")),
+            F.when(end < y1, F.concat(end.cast("string"), F.lit("-12"))).otherwise(period_name(F.col("date_to"))),
         )
         .drop("_start")
     )

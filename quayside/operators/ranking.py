@@ -85,16 +85,11 @@ def first_member(groups: DataFrame, member: str, value: str) -> DataFrame:
     return picked.select(member, value).orderBy(*order).limit(1)
 
 
-def joined_names(members: DataFrame, member: str, separator: str = "") -> DataFrame:
-    """One row: the names of the members given, in order, in one text.
+def leaders(groups: DataFrame, member: str, value: str) -> DataFrame:
+    """(member, value) in one row: every member tied for the highest value, names joined.
 
-    Meant for the leaders of a dimension; ties beyond that are better read as rows from ``top_n``.
+    Meant for the leaders of a dimension; many ties are better read as rows from :func:`top_n`.
     """
-    return members.agg(F.array_join(F.sort_array(F.collect_list(member)), separator).alias(member))
-
-
-def leaders(groups: DataFrame, member: str, value: str) -> DataFrame:
-    """(member, value) in one row: every member tied for the highest value, names joined."""
     best = top_n(groups, value, 1)
     return best.agg(
         F.array_join(F.sort_array(F.collect_list(member)), "").alias(member), F.max(value).alias(value)

@@ -99,9 +99,10 @@ def share_over(star: Star, member: str, by: list[str], ctx: FilterContext = EVER
     """Share of each member in its group's total over all members (a slicer on the member is dropped)."""
     groups = evaluate(star, ["total_value"], [*by, member], ctx.without(member))
     if by:
-        totals = groups.groupBy(*by).agg(F.sum("total_value").alias("_total"))
-        joined = groups.join(totals, by)
-        share = joined.withColumn("share", ratio(F.col("total_value"), F.col("_total"))).drop("_total")
+        totals = groups.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.sum("total_value").alias("_total"))
+        same = [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]  # an unknown member is a group too
+        joined = groups.join(totals, same)
+        share = joined.withColumn("share", ratio(F.col("total_value"), F.col("_total"))).select(*groups.columns, "share")
     else:
         total = groups.agg(F.sum("total_value")).scalar()
         share = groups.withColumn("share", ratio(F.col("total_value"), total))

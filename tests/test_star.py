@@ -72,6 +72,15 @@ def test_share_over_members(star):
     assert got == {(2023, "K1"): pytest.approx(4 / 14), (2024, "K1"): pytest.approx(6 / 11)}
 
 
+def test_share_over_keeps_the_unknown_group(star):
+    got = {(r.state_name, r.country_name): r.share for r in M.share_over(star, "country_name", ["state_name"]).collect()}
+    assert got[(None, "K3")] == 1.0
+
+
+def test_top_n_choices(spark):
+    assert [r.n for r in R.top_n_choices(spark).collect()] == list(range(1, 21))
+
+
 def test_filter_context(star):
     ctx = FilterContext().where(region=["R1"]).within(region=["R1", "R9"])
     assert ctx.members == {"region": ("R1",)}
