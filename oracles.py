@@ -287,9 +287,7 @@ def report_sql() -> dict[str, str]:
             "SELECT country_name FROM (SELECT country_name, rank() OVER (ORDER BY e DESC) AS rk FROM g) WHERE rk > 10",
             f"g AS (SELECT country_name, {EXP} AS e FROM trades GROUP BY country_name)",
         ),
-        "country_list_with_others": trades_query(
-            "SELECT DISTINCT country_name FROM trades UNION ALL SELECT 'Outros'"
-        ),
+        "state_list_with_others": "SELECT DISTINCT n_name AS state_name FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'Outros'",
         "category_lead_streak": trades_query(
             "SELECT product_category_name, CAST(last - coalesce(other, first - 1) AS INTEGER) AS periods_in_lead FROM (SELECT "
             "max_by(product_category_name, year) AS product_category_name, max(year) AS last, min(year) AS first, "

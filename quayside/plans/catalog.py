@@ -106,7 +106,7 @@ def report_queries() -> dict[str, Query]:
         ),
         "countries_above_floor": lambda s: R.members_above(s, "exports", "country_name", 50_000_000),
         "countries_outside_top": lambda s: R.members_outside_top(s, "exports", "country_name", 10),
-        "country_list_with_others": lambda s: ranking.members_with_others(s.dims["country"], "country_name"),
+        "state_list_with_others": lambda s: ranking.members_with_others(s.dims["city"], "state_name"),
         "narrative_overview": narrative.overview,
         "narrative_balance": narrative.balance,
         "narrative_products": narrative.products,

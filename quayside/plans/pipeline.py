@@ -52,8 +52,10 @@ def silver_exports_since(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf: str) -> DataFrame:
+    """Both directions with real values; the index, read several times, is a written table."""
     imports, exports = silver_side(spark, sf, "imp"), silver_side(spark, sf, "exp")
-    return gold.fact_trades(imports, exports, index_silver(spark, sf), B.RUN_AT)
+    index = tables.stored(index_silver(spark, sf), "silver-index")
+    return gold.fact_trades(imports, exports, index, B.RUN_AT)
 
 
 def fact_since(spark: SparkSession, sf: str) -> DataFrame:
