@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.llm.op3_decontaminate import op3_decontaminate
 from quayside.llm.op5_token_files import op5_token_files
 from quayside.llm.op6_token_counts import op6_token_counts
+from quayside.llm.op8_quality import op8_quality
+from quayside.llm.workers import with_workers
 
-OPERATORS = (op3_decontaminate, op5_token_files, op6_token_counts)
+OPERATORS = (op3_decontaminate, op5_token_files, op6_token_counts, op8_quality)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in OPERATORS}
+    return {f.__name__: with_workers(f) for f in OPERATORS}
 
 
 def llm_sql() -> dict[str, str]:
