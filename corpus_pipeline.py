@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import op3_decontaminate as op3
 from quayside.llm import op5_token_files as op5
+from quayside.llm.workers import with_workers
 from quayside.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,10 +28,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return op5.token_files(spark, docs)
 
 
-STAGES: list[tuple[str, Stage]] = [
-    ("decontaminate", decontaminate),
-    ("write_tokens", write_tokens),
-]
+STAGES: list[tuple[str, Stage]] = [(f.__name__, with_workers(f)) for f in (decontaminate, write_tokens)]
 
 #: The quality and the near-duplicate stage can't be expressed in SQL; run() is tested against brute force.
 ORACLE_SQL = None
