@@ -12,23 +12,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import op3_decontaminate as op3
 from quayside.llm import op5_token_files as op5
+from quayside.llm import op8_quality as op8
+from quayside.llm import op9_mix as op9
 from quayside.llm.workers import with_workers
 from quayside.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels, does not reject."""
+    return op8.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of the benchmark."""
     return op3.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed to their target weights; documents and pieces of them as often as the mix takes them."""
+    return op9.mixed(docs)
+
+
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of all that is left, and their digests."""
     return op5.token_files(spark, docs)
 
 
-STAGES: list[tuple[str, Stage]] = [(f.__name__, with_workers(f)) for f in (decontaminate, write_tokens)]
+STAGES: list[tuple[str, Stage]] = [(f.__name__, with_workers(f)) for f in (quality, decontaminate, mix, write_tokens)]
 
 #: The quality and the near-duplicate stage can't be expressed in SQL; run() is tested against brute force.
 ORACLE_SQL = None
