@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.llm import op1_minhash as op1
 from quayside.llm import op3_decontaminate as op3
 from quayside.llm import op5_token_files as op5
 from quayside.llm import op8_quality as op8
@@ -25,6 +26,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op8.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose five-word shingles are alike by 0.8 or more."""
+    return op1.deduplicated(docs, shingle=5)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of the benchmark."""
     return op3.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -40,7 +46,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return op5.token_files(spark, docs)
 
 
-STAGES: list[tuple[str, Stage]] = [(f.__name__, with_workers(f)) for f in (quality, decontaminate, mix, write_tokens)]
+STAGES: list[tuple[str, Stage]] = [(f.__name__, with_workers(f)) for f in (quality, near_dedup, decontaminate, mix, write_tokens)]
 
 #: The quality and the near-duplicate stage can't be expressed in SQL; run() is tested against brute force.
 ORACLE_SQL = None
