@@ -75,16 +75,16 @@ def words(buf: np.ndarray, offs: np.ndarray, apart: np.ndarray = SPACE) -> Words
 
 
 class Rolling:
-    """64-bit hashes of any span of the bytes: sums of a byte's value times a power of an odd base, made independent of the place."""
+    """64-bit hashes of any span of the bytes, or of 64-bit values: sums of a value times a power of an odd base, made independent of the place."""
 
     _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def __init__(self, buf: np.ndarray, seed: int = 1):
         base = int(mix(np.array([seed * _ODD % 2**64], _U))[0]) | 5
         up, down = self._grown(base, len(buf) + 1)
-        values = mix(np.arange(1, 257, dtype=_U) * _U(_ODD) + _U(seed)) | _U(1)
+        values = buf if buf.dtype == _U else (mix(np.arange(1, 257, dtype=_U) * _U(_ODD) + _U(seed)) | _U(1))[buf]
         self._down, self._sum = down, np.zeros(len(buf) + 1, _U)
-        np.cumsum(values[buf] * up[: len(buf)], out=self._sum[1:])
+        np.cumsum(values * up[: len(buf)], out=self._sum[1:])
 
     @classmethod
     def _grown(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,3 +144,17 @@ def distinct(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     hashes = Rolling(buf).spans(start, end)
     _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
     return number, first
+
+
+def packed(arrays: list[np.ndarray]) -> bytes:
+    """Several arrays as one compressed string."""
+    sizes = np.array([a.nbytes for a in arrays], np.int64)
+    return pa.compress(sizes.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, size: int, kinds: list[type]) -> list[np.ndarray]:
+    """The arrays of a compressed string that has ``size`` bytes when open."""
+    raw = pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
+    sizes = np.frombuffer(raw, np.int64, len(kinds))
+    starts = sizes.nbytes + offsets(sizes)
+    return [np.frombuffer(raw[a:b], k) for a, b, k in zip(starts[:-1], starts[1:], kinds, strict=True)]
