@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.llm.op10_suffixes import op10_suffixes
 from quayside.llm.op1_minhash import op1_minhash
 from quayside.llm.op3_decontaminate import op3_decontaminate
 from quayside.llm.op5_token_files import op5_token_files
@@ -15,7 +16,7 @@ from quayside.llm.op8_quality import op8_quality
 from quayside.llm.op9_mix import op9_mix
 from quayside.llm.workers import with_workers
 
-OPERATORS = (op1_minhash, op3_decontaminate, op5_token_files, op6_token_counts, op7_passages, op8_quality, op9_mix)
+OPERATORS = (op1_minhash, op3_decontaminate, op5_token_files, op6_token_counts, op7_passages, op8_quality, op9_mix, op10_suffixes)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
