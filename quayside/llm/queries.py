@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm.op10_suffixes import op10_suffixes
 from quayside.llm.op1_minhash import op1_minhash
+from quayside.llm.op2_cover_tree import op2_cover_tree
 from quayside.llm.op3_decontaminate import op3_decontaminate
 from quayside.llm.op4_mixing import op4_mixing
 from quayside.llm.op5_token_files import op5_token_files
@@ -17,7 +18,7 @@ from quayside.llm.op8_quality import op8_quality
 from quayside.llm.op9_mix import op9_mix
 from quayside.llm.workers import with_workers
 
-OPERATORS = (op1_minhash, op3_decontaminate, op4_mixing, op5_token_files, op6_token_counts, op7_passages, op8_quality, op9_mix, op10_suffixes)
+OPERATORS = (op1_minhash, op2_cover_tree, op3_decontaminate, op4_mixing, op5_token_files, op6_token_counts, op7_passages, op8_quality, op9_mix, op10_suffixes)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
