@@ -218,10 +218,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its component, one row for each id, with their columns."""
-    kept = near_duplicates(docs, shingle, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    found = rows.join(kept, F.col("_id") == F.col("_kept"), "left_semi").dropDuplicates(["_id"]).union(rows.where("_id IS NULL"))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = near_duplicates(docs, shingle, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = rows.join(kept, "id", "left_semi").dropDuplicates(["id"]).union(rows.where("id IS NULL"))
+    return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,11 +169,11 @@ def _pivots(vectors: DataFrame) -> dict[tuple[str, int], np.ndarray]:
 
 
 def _homes(sent):
-    """Each vector's cell and its distance to the pivot."""
+    """Each vector's cell and its distance to the pivot, below 0 where its label has no pivots."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            cell, gap = np.zeros(rows.num_rows, np.int32), np.zeros(rows.num_rows)
+            cell, gap = np.zeros(rows.num_rows, np.int32), np.full(rows.num_rows, -1.0)
             keys = list(zip(rows.column("label").to_pylist(), rows.column("size").to_pylist(), strict=True))
             for key in set(keys) & sent.value.keys():
                 at = np.array([i for i, k in enumerate(keys) if k == key])
@@ -249,10 +249,10 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     classes = stored(classes.select(F.col("class").alias("id"), F.col("id").alias("least"), "label", "size", "v", "weight"), "vector-classes")
     pivots = spark.sparkContext.broadcast(_pivots(classes))
     homes = stored(classes.mapInArrow(_homes(pivots), "id long, least long, label string, size int, v binary, weight long, cell int, gap double"), "cells")
-    # at most as many cells as pivots and small labels that are one cell each and need no entry
+    # an entry for each pivot, and for each other label of more than CELL vectors
     facts = homes.groupBy("label", "size", "cell").agg(F.count("*").alias("n"), F.max("gap").alias("reach"))
     large = facts.where(F.col("n") > CELL).collect()
-    reach = {(r["label"], r["size"], r["cell"]): r["reach"] for r in facts.where("reach > 0").collect()}
+    reach = {(r["label"], r["size"], r["cell"]): r["reach"] for r in facts.where("reach >= 0").collect()}
     sent_reach = spark.sparkContext.broadcast(reach)
     sent_blocks = spark.sparkContext.broadcast({(r["label"], r["size"], r["cell"]): -(-r["n"] // CELL) for r in large})
     placed = homes.mapInArrow(_visits(pivots, sent_reach, sent_blocks, radius), "label string, size int, id long, weight long, v binary, cell int, block int, own boolean")

@@ -43,7 +43,7 @@ BITS = 19
 GATES = 16
 KINDS, PASSES, FIRST = 8, 3, 2048  # passes over all training texts; FIRST texts only begin the search
 STEPS = 33  # of the adaptive map, for each bit of a byte
-ROUNDS, RATE = 2, 0.4
+ROUNDS, RATE = 2, 0.1
 FREQUENT = 200_000
 CHUNK = 1 << 18  # bytes of words at a time
 SLICES = 16  # of the tables, when they are summed
@@ -291,7 +291,7 @@ def _round(words: DataFrame, model: Spelling) -> np.ndarray:
                     slope[:, i] += np.bincount(gate, error * inputs[i], GATES)
             slope /= np.maximum(n, 1)[:, None]
             past += slope**2
-            weights = weights - RATE * slope / np.sqrt(past) * 0.1
+            weights = weights - RATE * slope / np.sqrt(past)
             mass += n
         yield _numbered(np.concatenate([(weights * mass[:, None]).ravel(), mass]))
 

@@ -222,13 +222,12 @@ def flagged(b: Bucket, rank: np.ndarray, string: np.ndarray, offset: np.ndarray,
     a1, a2 = h1[order], h2[order]
     new = np.ones(len(order), bool)
     new[1:] = (a1[1:] != a1[:-1]) | (a2[1:] != a2[:-1])
-    if within:
-        again = ~new
-    else:
-        heads = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        own = least[string][order]
-        again = own > own[heads][group] if len(order) else new
+    heads, group = np.flatnonzero(new), np.cumsum(new) - 1
+    own, place = least[string][order], offset[order]
+    # two strings of one rank and place are one place of one text, sent twice
+    again = own > own[heads][group] if len(order) else new
+    if within and len(order):
+        again |= place > place[heads][group]
     hit = order[again]
     # the least occurrences: runs of hit windows
     key = string[hit] * (int(offset.max()) + 2 if len(offset) else 1) + offset[hit]
