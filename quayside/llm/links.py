@@ -21,14 +21,10 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
 def _large(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small(links: DataFrame) -> DataFrame:
@@ -37,16 +33,18 @@ def _small(links: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _flat(links: DataFrame) -> bool:
+    """Every node has one smallest node, which has none itself: nothing is left to move."""
+    twice = links.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
+    return twice.isEmpty() and links.select(F.col("v").alias("u")).distinct().join(links, "u", "left_semi").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``links`` has two columns of numbers; the result has ``node`` and ``component`` (the smallest node that can be
     reached) for every node that has a link to another and is not the smallest itself."""
     a, b = links.columns
     now = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     now = stored(now, "links")
-    state = _state(now)
-    while state[0]:
+    while not _flat(now):
         now = stored(_small(_large(now)), "links")
-        before, state = state, _state(now)
-        if state == before:
-            break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -32,7 +32,8 @@ from quayside.llm.links import components, stored
 
 SHINGLE, PERCENT = 4, 80
 BANDS, DEPTH = 16, 3
-BLOCK = 512
+#: Documents and shingles of a block.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 18
 
 _U = np.uint64
 _MINIMA = 2 * BANDS * DEPTH
@@ -111,34 +112,36 @@ def _sets_of(width: int):
         for rows in ragged.slices(batches):
             values, first = shingle_sets(*ragged.flat(rows.column("text")), width)
             raw = ragged.binary(values.view(np.uint8), first * 8)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("cluster"), pa.array(np.diff(first)), raw], names=["doc_id", "cluster", "n", "set"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("cluster"), rows.column("pairs"), raw], names=["doc_id", "cluster", "pairs", "set"])
 
     return build
 
 
 def _blocked(members: DataFrame, percent: int) -> DataFrame:
-    """Rows of members for every two blocks of one cluster that may hold a link.
+    """Members (doc_id, cluster, n) with the names of all pairs of blocks of their cluster in which they are verified.
 
-    A small cluster is one block. Else documents are banded by the logarithm of their size, so that linked ones lie in
-    the same or in neighbouring bands, and a band is dealt over as many blocks as it has ``BLOCK`` documents.
+    A cluster that fits into a block is one. Else documents are banded by the logarithm of their size, so that linked
+    ones lie in the same or in neighbouring bands, and a band is dealt over as many blocks as its shingles fill.
     """
-    band = F.floor(F.log(F.col("n")) / math.log(100 / percent) + 1e-9).cast("int")
-    sized = members.withColumn("band", band)
-    per_band = sized.groupBy("cluster", "band").agg(F.count("*").alias("c"))
+    step = math.log(100 / percent)
+    sized = members.withColumn("band", F.floor(F.log("n") / step + 1e-9).cast("int"))
+    per_band = sized.groupBy("cluster", "band").agg(F.count("*").alias("c"), F.sum("n").alias("shingles"))
+    filled = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     bands = per_band.groupBy("cluster").agg(
-        F.sum("c").alias("total"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("c") / BLOCK).cast("int")))).alias("blocks")
+        F.sum("c").alias("total"), F.sum("shingles").alias("all_shingles"), F.map_from_entries(F.collect_list(F.struct("band", filled))).alias("blocks")
     )
     rows = sized.join(bands, "cluster")
     own = F.concat_ws("/", "band", F.pmod(F.xxhash64("doc_id"), F.col("blocks")[F.col("band")]).cast("string"))
 
-    def beside(step: int):
-        there = F.col("band") + step
+    def beside(by: int):
+        there = F.col("band") + by
         n = F.coalesce(F.col("blocks")[there], F.lit(0))
         return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.concat_ws("/", there, i))
 
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.when(F.col("total") <= BLOCK, F.array(F.lit(""))).otherwise(F.concat(beside(-1), beside(0), beside(1)))))
-    pair = F.when(F.col("other") == "", F.lit("")).otherwise(F.concat_ws(":", F.least("own", "other"), F.greatest("own", "other")))
-    return rows.select("cluster", pair.alias("pair"), "doc_id", "n", "set")
+    pair = lambda other: F.concat_ws(":", F.least(F.col("own"), other), F.greatest(F.col("own"), other))
+    alone = (F.col("total") <= BLOCK) & (F.col("all_shingles") <= BLOCK_SHINGLES)
+    pairs = F.when(alone, F.array(F.lit(""))).otherwise(F.transform(F.concat(beside(-1), beside(0), beside(1)), pair))
+    return rows.withColumn("own", own).select("doc_id", "cluster", pairs.alias("pairs"))
 
 
 def linked_pairs(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -203,11 +206,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(texts.mapInArrow(_signed(shingle), "doc_id long, n long, f1 long, f2 long, halves array<long>"), "minhash")
     full = signed.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "halves")).alias("one")).select("f1", "f2", "one.*"), "minhash-sets")
+    classes = stored(full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "halves")).alias("one")).select("f1", "f2", "one.*"), "minhash-sets")
     clusters = components(_candidates(classes))
     clusters = clusters.union(clusters.select("component", "component").distinct()).toDF("doc_id", "cluster")
-    members = texts.join(clusters, "doc_id").mapInArrow(_sets_of(shingle), "doc_id long, cluster long, n long, set binary").where("n > 0")
-    links = _blocked(members, percent).groupBy("cluster", "pair").applyInArrow(_verified(percent), "a long, b long")
+    members = stored(_blocked(clusters.join(classes.select("doc_id", "n"), "doc_id"), percent), "minhash-members")
+    # the texts are far larger than the members and move at any size, in one way
+    sets = texts.join(members.hint("shuffle_hash"), "doc_id").mapInArrow(_sets_of(shingle), "doc_id long, cluster long, pairs array<string>, set binary")
+    links = sets.select("cluster", F.explode("pairs").alias("pair"), "doc_id", "set").groupBy("cluster", "pair").applyInArrow(_verified(percent), "a long, b long")
     # documents with the same set are linked by their smallest one
     same = full.select("doc_id", "f1", "f2").join(classes.select("f1", "f2", F.col("doc_id").alias("least")), ["f1", "f2"]).where("doc_id <> least").select("doc_id", "least")
     found = components(links.union(same))
