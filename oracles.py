@@ -21,7 +21,7 @@ lines AS (
   LEFT JOIN part ON l_partkey = p_partkey),
 idx AS (
   SELECT trade_date AS cpi_date, CAST(100 + 0.25 * (12 * (year(trade_date) - 1995) + month(trade_date) - 1) AS DECIMAL(20,2)) AS cpi
-  FROM (SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS trade_date) WHERE trade_date NOT IN (DATE '1996-03-01', DATE '1999-08-01')),
+  FROM (SELECT CAST(unnest(generate_series((SELECT date_trunc('month', min(l_shipdate)) FROM lineitem), (SELECT date_trunc('month', max(l_shipdate)) FROM lineitem), INTERVAL 1 MONTH)) AS DATE) AS trade_date) WHERE trade_date NOT IN (DATE '1996-03-01', DATE '1999-08-01')),
 latest AS (SELECT cpi AS latest FROM idx ORDER BY cpi_date DESC LIMIT 1),
 ratios AS (
   SELECT cpi_date, CAST(CAST((CAST(latest * 10000 AS BIGINT) * 2 + CAST(cpi * 100 AS BIGINT)) // (2 * CAST(cpi * 100 AS BIGINT))
@@ -315,7 +315,7 @@ COUNTRY_SPELLED = letters("s_nationkey", 2)
 
 BRONZE = f"""
 grain AS (
-  SELECT o_custkey AS ck, c_nationkey AS cn, trade_date, flag, s_nationkey AS nk, left(p_type, 4) AS hc,
+  SELECT o_custkey AS ck, c_nationkey AS cn, trade_date, flag, s_nationkey AS nk, p_type AS hc,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS DECIMAL(38,2)) AS fob, CAST(sum(CAST(l_quantity AS DECIMAL(20,2))) AS DECIMAL(38,2)) AS kg
   FROM (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date, CASE WHEN l_linestatus = 'O' THEN 'exp' ELSE 'imp' END AS flag FROM lineitem)
   JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
@@ -331,7 +331,7 @@ newest AS (
 city_names AS (SELECT CAST(c_custkey AS VARCHAR) AS id, {normal(CITY_NAME + " || ' - ' || upper(" + letters('c_nationkey', 2) + ") || ' '")} AS n FROM customer),
 country_names AS (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS id, {normal("'Nação ' || " + COUNTRY_SPELLED)} AS n FROM supplier),
 silver AS (
-  SELECT trade_date, coalesce(c.id, 'N/A') AS city_id, left(coalesce(p.id, 'N/A'), 4) AS trade_country_id, coalesce(hc, '0000') AS product_category_id,
+  SELECT trade_date, coalesce(c.id, 'N/A') AS city_id, left(coalesce(p.id, 'N/A'), 4) AS trade_country_id, coalesce(left(hc, 4), '0000') AS product_category_id,
          CAST(fob AS DECIMAL(20,2)) AS fob_value, CAST(kg AS DECIMAL(20,2)) AS net_weight, flag AS trade_flag, stamp AS ingested_at, stamp AS loaded_at, {RUN} AS processed_at
   FROM newest LEFT JOIN city_names c ON {normal('city')} = c.n LEFT JOIN country_names p ON {normal('country')} = p.n
   WHERE CAST(coalesce(fob, '0') AS DECIMAL(20,2)) > 0 AND CAST(coalesce(kg, '0') AS DECIMAL(20,2)) > 0)
@@ -358,7 +358,7 @@ fact AS (
 """
 
 
-SERIES = "(SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS trade_date)"
+SERIES = "(SELECT CAST(unnest(generate_series((SELECT date_trunc('month', min(l_shipdate)) FROM lineitem), (SELECT date_trunc('month', max(l_shipdate)) FROM lineitem), INTERVAL 1 MONTH)) AS DATE) AS trade_date)"
 
 
 def indices(source: str = SERIES) -> str:
@@ -457,7 +457,7 @@ def pipeline_sql() -> dict[str, str]:
             uniques("lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
             orphans("lineitem", "lineitem", "l_orderkey", "orders", "o_orderkey"),
             orphans("customer", "customer", "c_nationkey", "nation", "n_nationkey"),
-            orphans("(SELECT * FROM orders WHERE o_orderpriority <> '5-LOW')", "orders", "o_custkey", "(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')", "c_custkey"),
+            orphans("(SELECT * REPLACE (CASE WHEN o_orderpriority = '5-LOW' THEN -o_custkey ELSE o_custkey END AS o_custkey) FROM orders)", "orders", "o_custkey", "customer", "c_custkey"),
         ]
     )
     early = indices(f"(SELECT * FROM {SERIES} WHERE trade_date <= DATE '2000-12-01')").replace("idx", "idx0").replace("latest AS (", "latest0 AS (").replace("idx0, latest)", "idx0, latest0)").replace("ratios AS", "ratios0 AS")
@@ -675,8 +675,8 @@ def narrative_sql() -> dict[str, str]:
     overview = trades_query(
         f"SELECT {text(t['data_available'], first=short('(SELECT min(trade_date) FROM m)'), last=short('(SELECT max(trade_date) FROM m)'))} AS data_available, "
         f"{text(t['series'], value=mag('(SELECT max(i) FROM m)'), month='(SELECT n FROM peak)')} AS series_subtitle, "
-        + text(t["categories"], name1=rank("name"), id1=rank("left(name, 4)"), share1=pct(f"CAST({rank('e')} AS DOUBLE) / CAST({total} AS DOUBLE)"),
-               name2=rank2("name"), id2=rank2("left(name, 4)"), share2=pct(f"CAST({rank2('e')} AS DOUBLE) / CAST({total} AS DOUBLE)"))
+        + text(t["categories"], name1=rank("name"), id1=rank("name"), share1=pct(f"CAST({rank('e')} AS DOUBLE) / CAST({total} AS DOUBLE)"),
+               name2=rank2("name"), id2=rank2("name"), share2=pct(f"CAST({rank2('e')} AS DOUBLE) / CAST({total} AS DOUBLE)"))
         + f" AS categories_subtitle, {text(t['states_title_many'], n='10')} AS states_title, {text(t['states_span'], first=first, last=last)} AS states_subtitle, "
         f"{text(t['countries_title_many'], n='10')} AS countries_title, "
         + text(t["countries"], country="(SELECT n FROM top)", share=pct(f"CAST((SELECT v FROM top) AS DOUBLE) / CAST({total} AS DOUBLE)"), value=mag("(SELECT v FROM top)"), first=first, last=last)

@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letters and the plain letters they compare equal to.
-ACCENTED = "ÁÀÂÃÄÅÇÉÈÊËÍÌÎÏÑÓÒÔÕÖØÚÙÛÜÝáàâãäåçéèêëíìîïñóòôõöøúùûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOOUUUUYaaaaaaceeeeiiiinoooooouuuuyy"
-LIGATURES = {"ß": "ss", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE"}
+# Letters that have no decomposition and are written with other letters.
+STROKES = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "Ŧ": "T", "ŧ": "t", "ĸ": "k"}
+LIGATURES = {"ß": "ss", "ẞ": "SS", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE", "Þ": "TH", "þ": "th", "ð": "d", "Ð": "D", "ĳ": "ij", "Ĳ": "IJ"}
+LATIN = [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]
+
+
+def _plain_letters() -> dict[str, str]:
+    """Every accented letter of the Latin blocks, and the letter that its decomposition begins with."""
+    first = {chr(i): unicodedata.normalize("NFD", chr(i))[0] for i in LATIN}
+    return {a: b for a, b in first.items() if a != b and b.isascii() and b.isalpha()} | STROKES
+
+
+_LETTERS = _plain_letters()
+ACCENTED, PLAIN = "".join(_LETTERS), "".join(_LETTERS.values())
 
 # Month and weekday names (Monday first).
 MONTHS = {

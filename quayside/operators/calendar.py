@@ -62,10 +62,14 @@ ZERO_WIDTH = "​"
 
 
 def easter(year: Column) -> Column:
-    """Easter Sunday: the Sunday after the spring full moon, by day number since 1899-12-30."""
-    april = F.datediff(F.make_date(year, F.lit(4), F.lit(1)), F.lit("1899-12-30").cast("date"))
-    moon = F.pmod(F.lit(19) * (year % 19) - 7, F.lit(30)) * F.lit(0.14)
-    return F.date_add(F.lit("1899-12-30").cast("date"), (F.round(april / 7 + moon) * 7 - 6).cast("int"))
+    """Easter Sunday of any Gregorian year, by Gauss' integer rule with the corrections of each century."""
+    div = lambda x, n: F.floor(x / n).cast("int")
+    century = div(year, 100)
+    solar, lunar = century - div(century, 4), div(century * 8 + 13, 25)
+    age = F.pmod(solar - lunar + 19 * F.pmod(year, F.lit(19)) + 15, F.lit(30))  # days from 21 March to the full moon
+    age = F.when((age == 29) | ((age == 28) & (F.pmod(year, F.lit(19)) > 10)), age - 1).otherwise(age)
+    full = F.date_add(F.make_date(year, F.lit(3), F.lit(21)), age.cast("int"))
+    return F.date_add(full, 8 - F.dayofweek(full))
 
 
 def bounds_of(dates: DataFrame, column: str, years_ahead: int = 0) -> DataFrame:

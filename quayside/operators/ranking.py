@@ -8,21 +8,23 @@ from pyspark.sql import functions as F
 OTHERS = "Outros"
 
 
-def cut_off(groups: DataFrame, value: str, n: int, ascending: bool = False) -> Column:
-    """The n-th best value, as a scalar subquery.
+def cut_off(groups: DataFrame, value: str, n: int, ascending: bool = False, member: str | None = None) -> Column:
+    """The n-th best value, as a scalar subquery; with ``member`` an unknown (NULL) one takes no place.
 
     ``orderBy().limit(n)`` keeps n rows per task and n in the end, whatever the number of members
     or ties; a rank over all members would sort them in a single task.
     """
     order = F.col(value).asc() if ascending else F.col(value).desc()
-    best = groups.filter(F.col(value).isNotNull()).select(value).orderBy(order).limit(n)
+    known = groups.filter(F.col(value).isNotNull() & (F.col(member).isNotNull() if member else F.lit(True)))
+    best = known.select(value).orderBy(order).limit(n)
     return best.agg((F.max if ascending else F.min)(value)).scalar()
 
 
-def top_n(groups: DataFrame, value: str, n: int, ascending: bool = False) -> DataFrame:
-    """Members among the n best; all members tied at rank n stay."""
-    limit = cut_off(groups, value, n, ascending)
-    return groups.filter(F.col(value) <= limit if ascending else F.col(value) >= limit)
+def top_n(groups: DataFrame, value: str, n: int, ascending: bool = False, member: str | None = None) -> DataFrame:
+    """Members among the n best; all members tied at rank n stay. With ``member`` the unknown one is left out."""
+    limit = cut_off(groups, value, n, ascending, member)
+    best = groups.filter(F.col(value) <= limit if ascending else F.col(value) >= limit)
+    return best.filter(F.col(member).isNotNull()) if member else best
 
 
 def top_n_per_group(groups: DataFrame, by: list[str], value: str, n: int) -> DataFrame:
@@ -37,9 +39,9 @@ def top_n_per_group(groups: DataFrame, by: list[str], value: str, n: int) -> Dat
 
 
 def top_n_others(groups: DataFrame, member: str, value: str, n: int, rank_by: str | None = None) -> DataFrame:
-    """The n best members by name and one row for the sum of the rest."""
+    """The n best members by name and one row for the sum of the rest, the unknown member among them."""
     rank_by = rank_by or value
-    limit = cut_off(groups, rank_by, n)
+    limit = cut_off(groups, rank_by, n, member=member)
     name = F.when(F.col(member).isNotNull() & (F.col(rank_by) >= limit), F.col(member)).otherwise(F.lit(OTHERS))
     return groups.groupBy(name.alias(member)).agg(F.sum(value).alias(value)).filter(F.col(value).isNotNull())
 
@@ -51,15 +53,17 @@ def members_with_others(members: DataFrame, member: str) -> DataFrame:
     return names.unionByName(spark.range(1).select(F.lit(OTHERS).alias(member)))
 
 
-def dense_rank_of(groups: DataFrame, value: str, out: str = "ranking", slices: int = 64) -> DataFrame:
+def dense_rank_of(groups: DataFrame, value: str, out: str = "ranking", slices: int | None = None) -> DataFrame:
     """Dense rank over all members, highest value first, missing values last.
 
-    Distinct values are cut into ranges at approximate quantiles and ranked range by range; the
+    Distinct values are cut into ranges at approximate quantiles (as many as shuffle partitions, 64 at
+    least, unless given) and ranked range by range; the
     number of distinct values in higher ranges (at most ``slices`` rows) is then added. Exact, and
     no task ever sees all values.
     """
     values = groups.select(F.col(value).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-    slices = max(slices, 2)
+    partitions = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(slices or max(64, partitions), 2)
     points = [i / slices for i in range(1, slices)]
     bounds = values.agg(F.percentile_approx("_v", points).alias("b")).scalar()
     sliced = values.withColumn("_b", bounds).select(

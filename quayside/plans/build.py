@@ -33,7 +33,7 @@ def build_silver(spark: SparkSession, root: str, bronze: Bronze, run_at: datetim
     """Facts are merged by month partition, members and index as versions."""
     for name, rows, flag in (("exports", bronze.exports, "exp"), ("imports", bronze.imports, "imp")):
         path = f"{root}/silver/{name}"
-        target = spark.read.parquet(path) if tables.exists(spark, path) and not full_refresh else None
+        target = tables.read_partitioned(spark, path, {"trade_date": "date"}) if tables.exists(spark, path) and not full_refresh else None
         new = silver.silver_trades(rows, bronze.cities, bronze.countries, flag, run_at, target)
         tables.upsert_partitions(spark, path, new, gold.FACT_KEY, "trade_date", replace=full_refresh)
     for name, key, make in (
@@ -50,7 +50,7 @@ def build_silver(spark: SparkSession, root: str, bronze: Bronze, run_at: datetim
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    sides = {n: spark.read.parquet(f"{root}/silver/{n}") for n in ("exports", "imports")}
+    sides = {n: tables.read_partitioned(spark, f"{root}/silver/{n}", {"trade_date": "date"}) for n in ("exports", "imports")}
     return sides | {n: tables.read_current(spark, f"{root}/silver/{n}") for n in ("cities", "countries", "cpi")}
 
 
@@ -60,7 +60,7 @@ def build_gold(
     """The fact and its dimensions; ``unknown_member`` gives unmatched names a member to point to."""
     s = read_silver(spark, root)
     path = f"{root}/gold/fact_trades"
-    target = spark.read.parquet(path) if tables.exists(spark, path) and not full_refresh else None
+    target = tables.read_partitioned(spark, path, {"trade_date": "date"}) if tables.exists(spark, path) and not full_refresh else None
     fact = gold.fact_trades(s["imports"], s["exports"], s["cpi"], run_at, target)
     tables.upsert_partitions(spark, path, fact, gold.FACT_KEY, "trade_date", replace=full_refresh)
     for name, key, rows in (
@@ -78,7 +78,7 @@ def build_gold(
 
 def read_gold(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     return (
-        spark.read.parquet(f"{root}/gold/fact_trades"),
+        tables.read_partitioned(spark, f"{root}/gold/fact_trades", {"trade_date": "date"}),
         tables.read_current(spark, f"{root}/gold/dim_cities"),
         tables.read_current(spark, f"{root}/gold/dim_countries"),
         spark.read.parquet(f"{root}/gold/dim_product_categories"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.numbers import blank_add, blank_subtract, ratio
-from quayside.plans.star import EVERYTHING, FilterContext, Star, with_periods
+from quayside.plans.star import EVERYTHING, FilterContext, Star
 
 
 def _flag_sum(column: str, flag: str) -> Column:
@@ -87,9 +87,12 @@ def grand_total(star: Star, measure: str) -> Column:
 
 def share_of_all(star: Star, measure: str, by: list[str], ctx: FilterContext = EVERYTHING, out: str = "share") -> DataFrame:
     """Share of the unfiltered total; dates, slicers and groups do not change the denominator."""
-    groups = evaluate(star, [measure], by, ctx)
-    if ctx.empty and by:
-        total = groups.agg(F.sum(measure)).scalar()  # reuses the grouped shuffle
+    sums = sums_for([measure])
+    parts = sum_groups(star, sums, by, ctx)
+    groups = parts.select(*by, formula(measure).alias(measure))
+    if ctx.empty and by:  # reuses the grouped shuffle; the sums add up, a ratio of them does not
+        added = parts.agg(*[F.sum(s).cast(parts.schema[s].dataType).alias(s) for s in sums])
+        total = added.select(formula(measure).alias(measure)).scalar()
     else:
         total = grand_total(star, measure)
     return groups.withColumn(out, ratio(F.col(measure), total))
@@ -134,7 +137,7 @@ def approximate_members(star: Star, member: str, by: list[str], ctx: FilterConte
     def seen(flag: str) -> Column:
         return F.approx_count_distinct(F.when(F.col("trade_flag") == flag, F.col(member)))
 
-    rows = with_periods(star.fact([member]), by)
+    rows = star.filtered([member, *by], ctx.without("trade_flag"))
     return rows.groupBy(*by).agg(seen("exp").alias("exports_members"), seen("imp").alias("imports_members"))
 
 

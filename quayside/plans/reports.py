@@ -76,7 +76,7 @@ def market_share_by_flow(star: Star, n: int, ctx: FilterContext = EVERYTHING) ->
     """Import and export shares of the n countries with most trade flow; imports drawn to the left."""
     groups = evaluate(star, ["flow", "exports", "imports"], ["country_name"], ctx)
     shares = export_import_shares(star, groups, ctx)
-    best = top_n(shares, "flow", n).withColumn("import_share_left", -F.col("import_share"))
+    best = top_n(shares, "flow", n, member="country_name").withColumn("import_share_left", -F.col("import_share"))
     return best.select("country_name", "flow", "export_share", "import_share", "import_share_left").orderBy(
         F.col("export_share").desc()
     )
@@ -85,7 +85,7 @@ def market_share_by_flow(star: Star, n: int, ctx: FilterContext = EVERYTHING) ->
 def top_members(star: Star, measure: str, member: str, n: int, ctx: FilterContext = EVERYTHING) -> DataFrame:
     """The n best members. The ranking ignores a slicer on the member itself; the result keeps it."""
     groups = evaluate(star, [measure], [member], ctx.without(member))
-    best = top_n(groups, measure, n)
+    best = top_n(groups, measure, n, member=member)
     if member in ctx.members:
         best = best.filter(F.col(member).isin(*ctx.members[member]))
     return best.orderBy(F.col(measure).desc(), member)
@@ -174,5 +174,5 @@ def members_above(star: Star, measure: str, member: str, floor: float, ctx: Filt
 def members_outside_top(star: Star, measure: str, member: str, n: int, ctx: FilterContext = EVERYTHING) -> DataFrame:
     """All members except the n best."""
     groups = evaluate(star, [measure], [member], ctx)
-    best = top_n(groups, measure, n).select(member)
+    best = top_n(groups, measure, n, member=member).select(member)
     return groups.select(member).join(best, member, "left_anti").orderBy(member)

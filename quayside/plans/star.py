@@ -100,7 +100,8 @@ class Star:
     The function form lets a star over raw tables leave out joins no query asked for. Dimensions are
     joined LEFT from the fact, so facts with unknown keys stay, under a NULL member. No join carries
     a broadcast hint: the planner broadcasts a dimension only below its measured size threshold.
-    A lone key with a :class:`Bridge` is summed by the bridge's source key before the bridge is joined.
+    A lone key with a :class:`Bridge` is summed by the bridge's source key before the bridge is joined,
+    unless a period is grouped too.
     """
 
     def __init__(
@@ -125,6 +126,28 @@ class Star:
             frame = frame.filter(F.col("trade_date") <= F.lit(hi))
         return frame
 
+    def filtered(self, names: Iterable[str], ctx: FilterContext = EVERYTHING, real: bool = False) -> DataFrame:
+        """Fact rows under ``ctx`` with the keys and periods among ``names``.
+
+        Choices on a dimension's attributes cut the facts by a semi join with the chosen members' keys,
+        before anything is grouped.
+        """
+        asked = set(names) | set(ctx.members)
+        sliced = sorted({d for d in map(owner, ctx.members) if d})
+        keys = {k for k in asked if not owner(k) and k not in PERIODS and k not in ("trade_date", "trade_flag")} | {KEY_OF[d] for d in sliced}
+        lo, hi = ctx.bounds()
+        facts = with_periods(self.fact(keys | ({"fob_value_real"} if real else set()), lo, hi), asked)
+        for attribute, chosen in ctx.members.items():
+            if not owner(attribute):
+                facts = facts.filter(F.col(attribute).isin(*chosen))
+        for d in sliced:
+            members = self.dims[d].select(F.col(DIM_KEY[d]).alias(KEY_OF[d]), *sorted(a for a in ctx.members if owner(a) == d))
+            for attribute, chosen in ctx.members.items():
+                if owner(attribute) == d:
+                    members = members.filter(F.col(attribute).isin(*chosen))
+            facts = facts.join(members.select(KEY_OF[d]), KEY_OF[d], "left_semi")
+        return facts
+
     def grouped(
         self,
         by: Iterable[str],
@@ -137,21 +160,17 @@ class Star:
 
         Facts are grouped on dimension keys first and meet the dimensions afterwards; a second
         grouping with ``combine`` then rolls keys up to attributes. Map-side partial results make a
-        hot key one row per task before anything is shuffled, and a large dimension joins on the
-        partitioning the first grouping left behind.
+        hot key one row per task before anything is shuffled.
         """
         by = list(dict.fromkeys(by))
         asked = set(by) | set(ctx.members)
-        dims = sorted({d for d in map(owner, asked) if d})
-        keys = {KEY_OF[d] for d in dims} | (asked & set(KEY_OF.values()))
-        bridged = next((k for k in keys if k in self.bridges), None) if len(keys) == 1 else None
-        raw = {self.bridges[bridged].source} if bridged else keys
-        lo, hi = ctx.bounds()
-        facts = with_periods(self.fact(raw | ({"fob_value_real"} if real else set()), lo, hi), asked)
-        for attribute, chosen in ctx.members.items():
-            if not owner(attribute) and attribute != bridged:
-                facts = facts.filter(F.col(attribute).isin(*chosen))
+        dims = sorted({d for d in map(owner, by) if d})  # a dimension that only filters is not joined
+        keys = {KEY_OF[d] for d in map(owner, asked) if d} | (asked & set(KEY_OF.values()))
         plain = sorted({b for b in by if not owner(b)} - keys)
+        # with a period the source key hardly reduces the rows: the map is joined first
+        bridged = next((k for k in keys if k in self.bridges), None) if len(keys) == 1 and not plain and not ctx.members else None
+        raw = {self.bridges[bridged].source} if bridged else keys
+        facts = self.filtered(raw | set(by), ctx, real)
         kept = sorted({KEY_OF[d] for d in dims} | (keys & set(by)))  # not the keys that only filter
         groups = facts.groupBy(*(sorted(raw) if bridged else kept), *plain).agg(*[c.alias(n) for n, c in aggregates.items()])
         types = {n: groups.schema[n].dataType for n in aggregates}
@@ -161,18 +180,13 @@ class Star:
 
         if bridged:
             groups = groups.join(self.bridges[bridged].frame, self.bridges[bridged].source, "left")
-            if bridged in ctx.members:
-                groups = groups.filter(F.col(bridged).isin(*ctx.members[bridged]))
             groups = rolled(groups, [*kept, *plain])
         if not dims:
             return groups.select(*by, *aggregates)
         for d in dims:
-            needed = sorted(a for a in asked if owner(a) == d)
+            needed = sorted(a for a in by if owner(a) == d)
             dim = self.dims[d].select(F.col(DIM_KEY[d]).alias(KEY_OF[d]), *needed)
             groups = groups.join(dim, KEY_OF[d], "left")
-        for attribute, chosen in ctx.members.items():
-            if owner(attribute):
-                groups = groups.filter(F.col(attribute).isin(*chosen))
         if {KEY_OF[d] for d in dims} <= set(by):
             return groups.select(*by, *aggregates)  # attributes follow from the keys: already grouped
         return rolled(groups, by)

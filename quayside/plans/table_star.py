@@ -15,10 +15,9 @@ from quayside.functions.dates import month_start
 from quayside.operators.inflation import deflate
 from quayside.plans.star import KEY_OF, Bridge, Star
 
-# The stand-in price index (100 in January 1995, a quarter point more each month),
-# the months it covers, and those left out.
+# The stand-in price index (100 in January 1995, a quarter point more each month) and
+# the months left out.
 INDEX_START = date(1995, 1, 1)
-INDEX_FIRST, INDEX_LAST = date(1992, 1, 1), date(2001, 12, 1)
 INDEX_GAPS = (date(1996, 3, 1), date(1999, 8, 1))
 
 
@@ -41,11 +40,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def price_index(spark: SparkSession) -> DataFrame:
-    """(cpi_date, cpi_value): one row for every covered month but the gaps; no table is read for it."""
-    months = spark.range(1).select(
-        F.explode(F.sequence(F.lit(INDEX_FIRST), F.lit(INDEX_LAST), F.expr("interval 1 month"))).alias("cpi_date")
-    )
+def price_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(cpi_date, cpi_value): one row for every month from the lines' first to their last, but the gaps."""
+    span = read(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    months = span.select(F.explode(F.sequence(month_start(F.col("first")), month_start(F.col("last")), F.expr("interval 1 month"))).alias("cpi_date"))
     k = F.months_between("cpi_date", F.lit(INDEX_START)).cast("int")
     return months.filter(~F.col("cpi_date").isin(*INDEX_GAPS)).select(
         "cpi_date", (F.lit(100) + k * F.lit(0.25).cast("decimal(4,2)")).cast("decimal(20,2)").alias("cpi_value")
@@ -58,16 +56,6 @@ def cents(c: Column) -> Column:
     return (whole * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(20,2)")
 
 
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Rows of a small table over all cores.
-
-    A file of one row group is read by one task, and everything up to the first shuffle would run in
-    it. Tables with at least as many splits as cores are left alone.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores, key) if frame.rdd.getNumPartitions() < cores else frame
-
-
 def _following_month(d: date) -> date:
     return date(d.year + d.month // 12, d.month % 12 + 1, 1)
 
@@ -82,7 +70,7 @@ def supplier_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = read(spark, sf_dir, "part")
-    return parts.select(F.col("p_partkey").alias("l_partkey"), F.left("p_type", F.lit(4)).alias("product_category_id"))
+    return parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product_category_id"))
 
 
 def trade_lines(spark: SparkSession, sf_dir: str, keys: frozenset, lo: date | None = None, hi: date | None = None):
@@ -104,8 +92,6 @@ def trade_lines(spark: SparkSession, sf_dir: str, keys: frozenset, lo: date | No
     for source in SOURCES & keys:
         out[source] = F.col(source)
     joins = keys & set(KEY_OF.values())
-    if joins:
-        lines = spread(lines, "l_orderkey")
     if "city_id" in joins:
         orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
@@ -118,7 +104,7 @@ def trade_lines(spark: SparkSession, sf_dir: str, keys: frozenset, lo: date | No
         out["product_category_id"] = F.col("product_category_id")
     trades = lines.select(*[c.alias(n) for n, c in out.items()])
     if "fob_value_real" in keys:
-        trades = deflate(trades, price_index(spark))
+        trades = deflate(trades, price_index(spark, sf_dir))
     return trades
 
 
@@ -143,7 +129,7 @@ def table_star(spark: SparkSession, sf_dir: str) -> Star:
     )
     products = (
         read(spark, sf_dir, "part")
-        .select(F.left("p_type", F.lit(4)).alias("product_category_id"), F.col("p_type").alias("product_category_name"))
+        .select(F.col("p_type").alias("product_category_id"), F.col("p_type").alias("product_category_name"))
         .distinct()
     )
     # many lines per supplier and part: sum by those before looking up country and category

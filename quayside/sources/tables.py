@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.operators.cleansing import latest_per_key
 from quayside.operators.incremental import insert_new, merge, require_unique
 from quayside.session import scratch_path
 
@@ -27,6 +28,16 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def read_partitioned(spark: SparkSession, path: str, partition_types: Mapping[str, T.DataType | str]) -> DataFrame:
+    """A partitioned table with the columns of all its files, and partition values of the declared types.
+
+    Without that a column that only some months have may be missed, and the text ``0301`` read as a number.
+    """
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    types = {n: T.DataType.fromDDL(t) if isinstance(t, str) else t for n, t in partition_types.items()}
+    return spark.read.schema(T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found])).parquet(path)
+
+
 def write_snapshot(frame: DataFrame, path: str) -> None:
     """Replace the whole table."""
     frame.write.mode("overwrite").parquet(path)
@@ -49,13 +60,22 @@ def _sized(frame: DataFrame, partition: Sequence[str]) -> DataFrame:
 
 
 def upsert_partitions(
-    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition: str, replace: bool = False
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    replace: bool = False,
+    newest: str | None = None,
+    ties: Sequence[str] = (),
 ) -> None:
     """Merge into a partitioned table, rewriting only the partitions the new rows touch.
 
     The partition column must be one of the keys. The new rows are computed once and stored, because
-    the key check, the merge and the write all read them. Nothing visible changes until all tasks have
-    written; a lost executor only repeats its tasks. ``replace`` rebuilds the whole table.
+    the key check, the merge and the write all read them. Only partitions between the first and the last
+    touched one are listed and read. Nothing visible changes until all tasks have written; a lost executor
+    only repeats its tasks, but the commit puts partitions in place one by one. ``replace`` rebuilds the
+    whole table. With ``newest`` the row that is newest by that column wins, else the new one.
     """
     if partition not in keys:
         raise ValueError("the partition column must be part of the key")
@@ -64,7 +84,10 @@ def upsert_partitions(
     merged = new
     if not replace and exists(spark, path):
         touched = new.select(partition).distinct()
-        merged = merge(spark.read.parquet(path).join(touched, partition, "left_semi"), new, keys)
+        first, last = touched.agg(F.min(partition), F.max(partition)).first()
+        old = read_partitioned(spark, path, {partition: new.schema[partition].dataType})
+        old = old.filter(F.col(partition).between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)).join(touched, partition, "left_semi")
+        merged = latest_per_key(old.unionByName(new, allowMissingColumns=True), keys, newest, ties) if newest else merge(old, new, keys)
     (
         _sized(merged, [partition])
         .write.mode("overwrite")
@@ -102,5 +125,7 @@ def upsert_version(spark: SparkSession, path: str, new: DataFrame, keys: Sequenc
 
 def insert_new_version(spark: SparkSession, path: str, new: DataFrame, key: str) -> None:
     """Add members not in the table yet; members already there stay as they are."""
+    new = stored(new, "members")
+    require_unique(new, [key])
     old = read_current(spark, path)
     write_version(spark, path, new if old is None else insert_new(old, new, key))

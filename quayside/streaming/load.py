@@ -26,11 +26,13 @@ def load_landed(
     """Load all files not loaded yet and stop.
 
     The stream's checkpoint takes the place of the load manifest. A batch repeated after a failure
-    merges to the same result, because rows replace rows of the same key.
+    merges to the same result, because the newest row of a key wins over batch and target together: an
+    older copy that lands in a later file changes nothing.
     """
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        upsert_partitions(batch.sparkSession, target, latest_per_key(batch, keys, newest, ties), keys, partition)
+        rows = latest_per_key(batch, keys, newest, ties)
+        upsert_partitions(batch.sparkSession, target, rows, keys, partition, newest=newest, ties=ties)
 
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     query = rows.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
