@@ -758,5 +758,64 @@ def narrative_sql() -> dict[str, str]:
     }
 
 
+SEED = "(SELECT DISTINCT left(p_type, 4) AS product_category_id, p_type AS product_category_name, 'Parts of type ' || lower(p_type) AS product_category_description FROM part)"
+
+
+def case_sql() -> dict[str, str]:
+    p = pipeline_sql()
+    late = p["streamed_load"]
+    regions = f"(SELECT upper({letters('n_nationkey', 2)}) AS uf, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 4)"
+    columns = ["product_category_id", "product_category_name", "product_category_description"]
+    english = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+    spanish = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
+    english_days = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+    spanish_days = ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo"]
+
+    def days(months: list[str], weekdays: list[str], quarter: str) -> str:
+        return (
+            "WITH b AS (SELECT date_trunc('year', min(l_shipdate)) AS s, make_date(year(max(l_shipdate)), 12, 31) AS e FROM lineitem), "
+            "d AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM b) "
+            f"SELECT d AS day, {_case('month(d)', months)} AS month, {_case('isodow(d)', weekdays)} AS weekday, '{quarter}' || quarter(d) AS quarter, '{quarter}' AS quarter_label FROM d"
+        )
+
+    return {
+        "fact_partition_growth": "SELECT o_orderkey, lpad(CAST(o_custkey % 7 AS VARCHAR), 4, '0') AS part, "
+        "CAST(CAST(o_totalprice AS DECIMAL(20,2)) + CASE WHEN o_orderkey % 3 = 1 AND o_custkey % 7 < 4 THEN 1 ELSE 0 END AS DECIMAL(20,2)) AS value, "
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'x' END AS note FROM orders",
+        "streamed_load_late": late,
+        "approx_partners_sliced": trades_query(
+            "SELECT year, count(DISTINCT country_id) FILTER (WHERE flag = 'exp') AS exports_members, count(DISTINCT country_id) FILTER (WHERE flag = 'imp') AS imports_members "
+            "FROM trades WHERE year IN (1997, 1998) AND region = 'ASIA' GROUP BY year"
+        ),
+        "price_share_by_year": trades_query(
+            f"SELECT year, round(price, 6) AS export_price, round(price / (SELECT {div(EXP, EXP_KG)} FROM trades), 6) AS share FROM g",
+            f"g AS (SELECT year, {div(EXP, EXP_KG)} AS price FROM trades GROUP BY year)",
+        ),
+        "top_n_with_unmatched": trades_query(
+            "SELECT CASE WHEN name IS NOT NULL AND rk <= 6 THEN name ELSE 'Outros' END AS country_name, CAST(sum(e) AS DECIMAL(38,2)) AS exports "
+            "FROM (SELECT *, rank() OVER (ORDER BY name IS NULL, e DESC NULLS LAST) AS rk FROM g) GROUP BY 1 HAVING sum(e) IS NOT NULL",
+            f"g AS (SELECT CASE WHEN CAST(country_id AS INTEGER) % 5 <> 0 THEN country_name END AS name, {EXP} AS e FROM trades GROUP BY 1)",
+        ),
+        "top_by_choice": trades_query(
+            "SELECT CAST(n AS INTEGER) AS n, CAST(sum(e) AS DECIMAL(38,2)) AS exports FROM (SELECT *, dense_rank() OVER (ORDER BY e DESC) AS rk FROM g WHERE e IS NOT NULL) "
+            "JOIN (SELECT unnest(range(1, 21)) AS n) ON rk <= n GROUP BY 1",
+            f"g AS (SELECT state_name, {EXP} AS e FROM trades GROUP BY 1)",
+        ),
+        "sliced_within": grouped("year", ["exports"], where="region = 'EUROPE'"),
+        "quality_seeds": " UNION ALL ".join(
+            [nulls(SEED, "seed_product_categories", columns), *(uniques(SEED, "seed_product_categories", [c]) for c in columns), nulls(regions, "seed_state_regions", ["uf", "region"]), uniques(regions, "seed_state_regions", ["uf"])]
+        ),
+        "seed_round_trip": f"SELECT * FROM {SEED}",
+        "landing_scan": f"WITH {BRONZE} SELECT CASE WHEN flag = 'exp' THEN 'export' ELSE 'import' END AS flow, count(*) AS records, count(country) AS with_country FROM bronze GROUP BY 1",
+        "landing_listing": "SELECT 'trade_' || flow || '_199201_200112.parquet' AS path, flow, DATE '1992-01-01' AS date_from, DATE '2001-12-01' AS date_to "
+        "FROM (SELECT DISTINCT CASE WHEN l_linestatus = 'O' THEN 'export' ELSE 'import' END AS flow FROM lineitem)",
+        "monthly_run_full": p["fact_trades"],
+        "monthly_run_incremental": f"SELECT * EXCLUDE (fob_value_real) FROM ({p['fact_trades']})",
+        "monthly_run_gate": f"SELECT * FROM ({p['quality_gold'].replace(" UNION ALL SELECT 'N/A')", ')')}) WHERE failures > 0",
+        "calendar_english": days(english, english_days, "Q"),
+        "calendar_spanish": days(spanish, spanish_days, "T"),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**report_sql(), **pipeline_sql(), **calendar_queries_sql(), **narrative_sql()}
+    return {**report_sql(), **pipeline_sql(), **calendar_queries_sql(), **narrative_sql(), **case_sql()}

@@ -12,6 +12,7 @@ from quayside.operators import calendar, concentration, ranking, timeintel
 from quayside.plans import measures as M
 from quayside.plans import narrative
 from quayside.plans import reports as R
+from quayside.plans.cases import case_queries
 from quayside.plans.pipeline import pipeline_queries
 from quayside.plans.star import FilterContext, Star
 from quayside.plans.table_star import read, table_star
@@ -151,4 +152,4 @@ def calendar_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return {**report_queries(), **pipeline_queries(), **calendar_queries()}
+    return {**report_queries(), **pipeline_queries(), **calendar_queries(), **case_queries()}

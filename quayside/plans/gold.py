@@ -72,6 +72,17 @@ def star_tests(fact: DataFrame, cities: DataFrame, countries: DataFrame, product
     )
 
 
+def seed_tests(products: DataFrame, regions: DataFrame) -> DataFrame:
+    """Data tests of the seed files."""
+    q = quality
+    return q.report(
+        q.not_null(products, "seed_product_categories", products.columns),
+        *[q.unique(products, "seed_product_categories", [c]) for c in products.columns],
+        q.not_null(regions, "seed_state_regions", ["uf", "region"]),
+        q.unique(regions, "seed_state_regions", ["uf"]),
+    )
+
+
 def silver_tests(exports: DataFrame, imports: DataFrame, cities: DataFrame, countries: DataFrame, index: DataFrame) -> DataFrame:
     """Data tests of the silver layer."""
     q = quality

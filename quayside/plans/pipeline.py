@@ -224,14 +224,19 @@ def fact_partition_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select(*gold.FACT_KEY, "fob_value", "net_weight")
 
 
-def streamed_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Two landings loaded as a file stream; copies of a record collapse to the newest."""
-    base = scratch_path(spark, "stream")
-    landed = B.bronze_trades(spark, sf, "imp").select(
+def landed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Import records under one key, all copies."""
+    return B.bronze_trades(spark, sf, "imp").select(
         F.concat_ws("|", F.coalesce("noMunMinsgUf", F.lit("-")), "country", F.coalesce("headingCode", F.lit("-"))).alias("record"),
         F.concat("year", F.lit("-"), "monthNumber").alias("period"),
         "metricKG", "metricFOB", "loaded_at",
     )
+
+
+def streamed_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings loaded as a file stream; copies of a record collapse to the newest."""
+    base = scratch_path(spark, "stream")
+    landed = landed_records(spark, sf)
     schema = landed.schema
     for stamp in (B.FIRST_LOAD, B.SECOND_LOAD):
         tables.append(landed.filter(F.col("loaded_at") == F.lit(stamp).cast("timestamp_ntz")), f"{base}/landing")

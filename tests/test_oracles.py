@@ -4,8 +4,10 @@ import pytest
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry
+from oracles import all_sql
+from quayside.plans.catalog import all_queries
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def con(sf):
 
 def test_names_match():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries()) >= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
