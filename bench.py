@@ -22,6 +22,7 @@ year_over_year_by_month running_totals_by_year running_totals_by_country_month t
 partner_tornado ranking_states_by_exports balance_matrix category_exports_by_year partners_by_month active_cities_by_state
 top_category_by_year sliced_category_exports category_lead_streak silver_exports silver_cities silver_index fact_trades
 quality_orders normalized_documents customer_upsert landing_manifest shipping_calendar narrative_balance
+quality_silver quality_gold silver_exports_incremental fact_trades_incremental fact_partition_upsert streamed_load
 """.split()
 
 

@@ -74,8 +74,10 @@ def top_by_choice(spark: SparkSession, sf: str) -> DataFrame:
     """The exports that the n best states have together, for each n that the slicer offers."""
     groups = M.evaluate(table_star(spark, sf), ["exports"], ["state_name"])
     ranks = ranking.dense_rank_of(groups.filter("exports IS NOT NULL"), "exports")
-    choices = R.top_n_choices(spark)
-    return choices.join(ranks, F.col("ranking") <= F.col("n")).groupBy("n").agg(F.sum("exports").cast("decimal(38,2)").alias("exports"))
+    # a member of rank r is among the n best for each offered n from r on
+    last = R.top_n_choices(spark).agg(F.max("n")).scalar()
+    each = ranks.withColumn("last", last).filter("ranking <= last").withColumn("n", F.explode(F.sequence("ranking", "last")))
+    return each.groupBy("n").agg(F.sum("exports").cast("decimal(38,2)").alias("exports"))
 
 
 def sliced_within(spark: SparkSession, sf: str) -> DataFrame:
@@ -169,6 +171,6 @@ def case_queries() -> dict[str, Query]:
 def calendar_in(spark: SparkSession, sf: str, language: str) -> DataFrame:
     """Names of the shipping days in another language, with renamed columns and that language's labels."""
     days = calendar.calendar(calendar.bounds_of(read(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("Date")), "Date"), language)
-    label = calendar.labels(spark, language).filter("label = 'quarter'").select(F.col("text").alias("quarter_label"))
-    some = days.select("Date", "MonthName", "DayOfWeekName", "QuarterName").join(F.broadcast(label))
+    label = calendar.labels(spark, language).filter("label = 'quarter'").select("text").scalar()
+    some = days.select("Date", "MonthName", "DayOfWeekName", "QuarterName").withColumn("quarter_label", label)
     return calendar.renamed(some, {"Date": "day", "MonthName": "month", "DayOfWeekName": "weekday", "QuarterName": "quarter"})
