@@ -43,9 +43,9 @@ BITS = 19
 GATES = 16
 KINDS, PASSES, FIRST = 8, 3, 2048  # passes over all training texts; FIRST texts only begin the search
 STEPS = 33  # of the adaptive map, for each bit of a byte
-ROUNDS, RATE = 2, 0.1
+ROUNDS, RATE = 1, 0.1
 FREQUENT = 200_000
-CHUNK = 1 << 18  # bytes of words at a time
+CHUNK = 1 << 16  # bytes of words at a time: a step of online learning
 SLICES = 16  # of the tables, when they are summed
 
 _U = np.uint64
