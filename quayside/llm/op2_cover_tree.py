@@ -33,12 +33,16 @@ from quayside.llm import ragged
 from quayside.llm.links import components, stored
 
 COSINE = 0.98
-CELL = 2048
+CELL = 8192
 #: At most so many pivots in all; they are broadcast.
 PIVOTS = 2048
 LEAF = 24
+#: Nodes of a level that are compared at a time.
+BATCH = 512
 #: Distances are computed to about this; nearer to a bound, pairs are compared one by one.
 SLACK = 1e-9
+#: And those from inner products, to this; they only drop pairs.
+ROUGH = 1e-6
 
 
 class Node:
@@ -48,23 +52,40 @@ class Node:
         self.centre, self.radius, self.members, self.children = centre, radius, members, children
 
 
+def gaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of unit vectors, to about ROUGH."""
+    return np.sqrt(np.maximum(2 - 2 * (a @ b.T), 0))
+
+
 def cover_tree(vectors: np.ndarray, members: np.ndarray | None = None, radius: float = 2.0) -> Node:
     """Children are centres at least half the parent's level apart, which cover all below it within that half."""
     members = np.arange(len(vectors)) if members is None else members
     centre = vectors[members[0]]
-    gap = np.linalg.norm(vectors[members] - centre, axis=1)
-    reach = float(gap.max())
+    reach = float(np.linalg.norm(vectors[members] - centre, axis=1).max())
     if len(members) <= LEAF or reach <= SLACK:
         return Node(centre, reach, members, [])
     half = min(radius, reach) / 2
-    children, owner, nearest = 0, np.zeros(len(members), np.int64), gap
-    while nearest.max() > half:  # the farthest one becomes the next centre
-        children += 1
-        far = np.linalg.norm(vectors[members] - vectors[members[int(np.argmax(nearest))]], axis=1)
-        closer = far < nearest
-        owner[closer], nearest = children, np.minimum(nearest, far)
-    groups = [members[owner == k] for k in range(children + 1)]
-    groups = [g[np.argsort(np.linalg.norm(vectors[g] - vectors[g].mean(axis=0), axis=1), kind="stable")] for g in groups if len(g)]
+    centres, owner = np.zeros(0, np.int64), np.zeros(len(members), np.int64)
+    for at in range(0, len(members), BATCH):
+        batch = members[at : at + BATCH]
+        far = np.ones(len(batch), bool)
+        if len(centres):
+            gap = gaps(vectors[batch], vectors[centres])
+            owner[at : at + BATCH] = gap.argmin(axis=1)
+            far = gap.min(axis=1) > half
+        rest = np.flatnonzero(far)
+        among = gaps(vectors[batch[rest]], vectors[batch[rest]])
+        new: list[int] = []
+        for k, i in enumerate(rest.tolist()):  # each becomes a centre unless an earlier one here covers it
+            near = among[k, new] if new else np.zeros(0)
+            if len(near) and near.min() <= half:
+                owner[at + i] = len(centres) + int(near.argmin())
+            else:
+                owner[at + i] = len(centres) + len(new)
+                new.append(k)
+        centres = np.concatenate([centres, batch[rest[new]]])
+    order = np.argsort(owner, kind="stable")
+    groups = np.split(members[order], np.flatnonzero(np.diff(owner[order])) + 1)
     return Node(centre, reach, members, [cover_tree(vectors, g, half) for g in groups])
 
 
@@ -97,10 +118,21 @@ class Traversal:
         elif not node.children:
             self.compare(node.members, node.members, True)
         else:
-            for i, a in enumerate(node.children):
-                self.within(a)
-                for b in node.children[i + 1 :]:
-                    self.between(a, b)
+            for child in node.children:
+                self.within(child)
+            self.cross(node.children, node.children, True)
+
+    def cross(self, left: list[Node], right: list[Node], same: bool) -> None:
+        """Pairs of nodes that are near enough; each pair once when the lists are the same."""
+        centres, reach = np.stack([b.centre for b in right]), np.array([b.radius for b in right])
+        for at in range(0, len(left), BATCH):
+            some = left[at : at + BATCH]
+            bound = np.array([a.radius for a in some])[:, None] + reach[None, :] + self.radius + ROUGH
+            near = gaps(np.stack([a.centre for a in some]), centres) <= bound
+            if same:
+                near &= np.arange(len(right))[None, :] > at + np.arange(len(some))[:, None]
+            for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+                self.between(some[i], right[j])
 
     def between(self, a: Node, b: Node) -> None:
         gap = float(np.linalg.norm(a.centre - b.centre))
@@ -112,12 +144,12 @@ class Traversal:
             self.join(np.concatenate([a.members, b.members]))
         elif not a.children and not b.children:
             self.compare(a.members, b.members, False)
-        elif not b.children or (a.children and a.radius >= b.radius):
-            for child in a.children:
-                self.between(child, b)
+        elif a.children and b.children:
+            self.cross(a.children, b.children, False)
+        elif a.children:
+            self.cross(a.children, [b], False)
         else:
-            for child in b.children:
-                self.between(a, child)
+            self.cross([a], b.children, False)
 
     def compare(self, a: np.ndarray, b: np.ndarray, same: bool) -> None:
         linked = self.vectors[a] @ self.vectors[b].T >= self.cosine
