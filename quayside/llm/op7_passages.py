@@ -1,7 +1,7 @@
 """Substring dedup: words of passages that repeat in a later document are taken out.
 
 Super-k-mers: consecutive windows of ``WIDTH`` words that share a minimiser travel as one string, many of them packed
-together, to the minimiser's bucket. There the windows of strings whose minimiser occurs again are sorted, so that equal
+together, to the minimiser's bucket, if the minimiser occurs again (those are counted first). There their windows are sorted, so that equal
 ones stand together and the smallest document that has each is known exactly (windows are compared by 128-bit hashes of
 their words). Words covered by a window that a smaller document has too are removed from the document.
 
@@ -44,7 +44,7 @@ def _sent(hot: np.ndarray, buckets: int, width: int):
             buf, offs = ragged.flat(rows.column("text"))
             w, chains, runs = _runs(buf, offs, width)
             base = out.add_docs(rows.column("id").to_numpy(), rows.column("alike").to_numpy())
-            doc = np.searchsorted(w.first, runs.start, "right") - 1
+            runs, doc = R.chosen(runs, w.first, rows.column("runs"))
             pos = runs.start - w.first[doc]
             often = np.isin(runs.key, hot)
             at = ragged.ranges(runs.start[often], runs.windows[often])
@@ -110,7 +110,13 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     texts = R.numbered(docs)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = R.hot_keys(texts, lambda buf, offs: _runs(buf, offs, width)[2].key)
-    parts = texts.mapInArrow(_sent(hot, 4 * n, width), "bucket int, size long, blob binary")
+
+    def find(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, R.Runs, np.ndarray]:
+        w, _, runs = _runs(buf, offs, width)
+        return w.first, runs, np.zeros(len(runs.key), bool)
+
+    some = R.with_runs(texts, R.repeated_runs(texts, find, hot, 2 << 20))
+    parts = some.mapInArrow(_sent(hot, 4 * n, width), "bucket int, size long, blob binary")
     return R.dealt(parts, n).mapInArrow(_compared(width), R.SPANS)
 
 

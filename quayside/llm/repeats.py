@@ -4,6 +4,9 @@ A window is ``width`` consecutive units (words or bytes) of one text; its minimi
 consecutive units in it. Windows that follow each other and have the same minimiser form a run, which travels as one
 string. Equal windows have equal minimisers, so they meet where their runs do.
 
+First only minimisers travel, eight bytes for each run, and are counted. Then the strings of those runs do whose
+minimiser occurs again: in texts that repeat little, few.
+
 A minimiser that very many documents have would bring all its runs to one task. Such ones are found in a sample, and
 their windows are dealt one by one by the hash of the whole window instead. Equal strings of one task travel once.
 """
@@ -84,6 +87,86 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(reach) - 1)]
 
 
+def repeated_runs(texts: DataFrame, find: Callable, hot: np.ndarray, limit: int) -> DataFrame:
+    """id, alike and the numbers of the document's runs whose minimiser occurs again, or is a hot one.
+
+    ``find`` gives, for bytes and offsets, where each text's units begin, the runs, and which of them hold their minimiser
+    more than once. Those, and hot ones, are sent twice, the latter under a key of their own.
+    """
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = [_U, np.int32, np.int32, np.int64, np.int64]
+
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        sizes = np.array([len(x[3]) for x in held])
+        before = np.repeat(ragged.offsets(sizes)[:-1], [len(x[0]) for x in held])
+        key, doc, run, ids, alikes = (np.concatenate(x) for x in zip(*held, strict=True))
+        doc = doc + before
+        bucket = (key % _U(4 * n)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(4 * n + 1))
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            o = order[cut[b] : cut[b + 1]]
+            known, number = np.unique(doc[o], return_inverse=True)
+            arrays = [key[o], number.astype(np.int32), run[o], ids[known], alikes[known]]
+            size = 8 * len(arrays) + sum(a.nbytes for a in arrays)
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([size], pa.int64()), pa.array([ragged.packed(arrays)], pa.binary())], names=["bucket", "size", "blob"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for rows in ragged.slices(batches, limit=limit):
+            first, runs, twice = find(*ragged.flat(rows.column("text")))
+            ids, alikes = rows.column("id").to_numpy(), rows.column("alike").to_numpy()
+            doc = np.searchsorted(first, runs.start, "right") - 1
+            run = np.arange(len(doc)) - np.searchsorted(doc, doc)
+            often = np.isin(runs.key, hot)
+            own = ragged.mix(runs.key + alikes.view(_U)[doc] + run.astype(_U))
+            at = np.concatenate([np.arange(len(doc)), np.flatnonzero(twice | often)])
+            held.append((np.where(often, own, runs.key)[at], doc[at], run[at].astype(np.int32), ids, alikes))
+            size += len(at)
+            if size >= 1 << 20:
+                yield from flush(held)
+                held, size = [], 0
+        yield from flush(held)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blobs in by_bucket(batches):
+            parts, docs = [], 0
+            for size, blob in blobs:
+                key, doc, run, ids, alikes = ragged.unpacked(blob, size, kinds)
+                parts.append((key, doc + docs, run, ids, alikes))
+                docs += len(ids)
+            key, doc, run, ids, alikes = (np.concatenate(x) for x in zip(*parts, strict=True))
+            _, number, often = np.unique(key, return_inverse=True, return_counts=True)
+            at = np.flatnonzero(often[number] > 1)
+            at = at[np.argsort(doc[at], kind="stable")]
+            new = np.flatnonzero(np.append(True, doc[at][1:] != doc[at][:-1])) if len(at) else at
+            lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)), pa.int32()), pa.array(run[at]))
+            one = doc[at][new]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(alikes[one]), lists], names=["id", "alike", "runs"])
+
+    parts = texts.mapInArrow(send, "bucket int, size long, blob binary")
+    found = dealt(parts, n).mapInArrow(count, "id long, alike long, runs array<int>")
+    return found.groupBy("id", "alike").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+
+
+def with_runs(texts: DataFrame, runs: DataFrame) -> DataFrame:
+    """The texts that have such runs, with their numbers. A row that repeats id and text comes along as often."""
+    listed = runs.toDF("_id", "_alike", "runs").hint("shuffle_hash")
+    return texts.join(listed, (texts["id"] == listed["_id"]) & (texts["alike"] == listed["_alike"])).select("id", "alike", "text", "runs")
+
+
+def chosen(runs: Runs, first: np.ndarray, lists: pa.Array) -> tuple[Runs, np.ndarray]:
+    """The listed runs of the texts of a slice, and the text of each."""
+    doc = np.searchsorted(first, runs.start, "right") - 1
+    begin = np.searchsorted(doc, np.arange(len(lists)))
+    counts = np.diff(lists.offsets.to_numpy())
+    picked = np.zeros(len(doc), bool)
+    picked[np.repeat(begin, counts) + lists.flatten().to_numpy()] = True
+    return Runs(*(x[picked] for x in runs)), doc[picked]
+
+
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """All rows of ``docs`` with the arrays ``starts`` and ``ends`` of their document's spans: doc_id, text, starts, ends."""
     listed = spans.groupBy(F.col("id").alias("_id"), F.col("alike").alias("_alike")).agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
