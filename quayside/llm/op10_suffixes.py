@@ -4,8 +4,8 @@ Not every suffix is sorted but those that begin at a minimiser: each string of `
 hash of ``GRAM`` bytes in it), at the same place in all its copies, so copies are found from the suffixes that begin
 there together with what stands before. Strings that follow each other and have the same minimiser travel as one.
 
-1. Splitters, sampled from the documents, cut the order of suffixes into ranges by their leading ``GRAM`` bytes.
-   Suffixes with the same leading bytes lie in one range.
+1. Minimisers are counted, and only suffixes whose leading bytes occur again go on. Splitters, sampled from the
+   documents, cut their order into ranges by the leading ``GRAM`` bytes. Suffixes with the same ones lie in one range.
 2. A range sorts its suffixes by multikey quicksort, eight bytes at a time, only as long as others agree. That bounds how
    far each agrees with any other, and so which strings can have a copy at all.
 3. Those are compared whole, by 128-bit hashes, and all but the first of each are marked.
@@ -84,7 +84,7 @@ def _sent(hot: np.ndarray, splitters: np.ndarray, buckets: int, width: int):
             buf, offs = ragged.flat(rows.column("text"))
             hashes, grams, runs = _runs(buf, offs, width)
             base = out.add_docs(rows.column("id").to_numpy(), rows.column("alike").to_numpy())
-            doc = np.searchsorted(offs, runs.start, "right") - 1
+            runs, doc = R.chosen(runs, offs, rows.column("runs"))
             often = np.isin(runs.key, hot)
             at = ragged.ranges(runs.start[often], runs.windows[often])
             of = np.repeat(np.flatnonzero(often), runs.windows[often])
@@ -197,7 +197,13 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = R.hot_keys(texts, lambda buf, offs: _runs(buf, offs, width)[2].key)
     splitters = _splitters(texts, 4 * n, width)
-    parts = texts.mapInArrow(_sent(hot, splitters, 4 * n, width), "bucket int, size long, blob binary")
+
+    def find(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, R.Runs, np.ndarray]:
+        _, grams, runs = _runs(buf, offs, width)
+        return offs, runs, _anchors(grams, runs, width)[1] > 1
+
+    some = R.with_runs(texts, R.repeated_runs(texts, find, hot, SLICE))
+    parts = some.mapInArrow(_sent(hot, splitters, 4 * n, width), "bucket int, size long, blob binary")
     return R.dealt(parts, n).mapInArrow(_compared(width), R.SPANS)
 
 
