@@ -82,9 +82,11 @@ def upsert_partitions(
     new = stored(new, "merge")
     require_unique(new, keys)
     merged = new
+    touched = new.select(partition).distinct()
+    first, last = touched.agg(F.min(partition), F.max(partition)).first()
+    if first is None and not replace and new.isEmpty():
+        return  # nothing came, as from a file without rows
     if not replace and exists(spark, path):
-        touched = new.select(partition).distinct()
-        first, last = touched.agg(F.min(partition), F.max(partition)).first()
         old = read_partitioned(spark, path, {partition: new.schema[partition].dataType})
         old = old.filter(F.col(partition).between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)).join(touched, partition, "left_semi")
         merged = latest_per_key(old.unionByName(new, allowMissingColumns=True), keys, newest, ties) if newest else merge(old, new, keys)
