@@ -131,8 +131,9 @@ def _replaced(part: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(n, part.column(n)) for n in part.schema.names], names=part.schema.names)
 
 
-def _scanned(found: DataFrame, sent: _Sent) -> DataFrame:
-    """Adds to ``hits`` (runs of words) and ``item_ids`` what one block of items finds."""
+def _scanned(found: DataFrame, sent: _Sent, last: bool) -> DataFrame:
+    """Adds to ``hits`` (runs of words) and ``item_ids`` what one block of items finds. After the last block the runs
+    become character offsets, in the same step: each step has Python workers of its own."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(sent)
@@ -144,20 +145,20 @@ def _scanned(found: DataFrame, sent: _Sent) -> DataFrame:
                 counts.append(max(0, plain.count(" ") - 1))
                 hits.append([*old_hits, *({"start": a, "end": b} for a, b in _merged(runs))])
                 items.append(sorted({*old_items, *ids}))
-            yield _replaced(part, n_words=pa.array(counts, pa.int64()), hits=pa.array(hits, _HITS), item_ids=pa.array(items, pa.list_(pa.string())))
+            found = _replaced(part, n_words=pa.array(counts, pa.int64()), hits=pa.array(hits, _HITS), item_ids=pa.array(items, pa.list_(pa.string())))
+            yield _finished(found) if last else found
 
     return found.mapInArrow(scan, found.schema)
 
 
-def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finished(part: pa.RecordBatch) -> pa.RecordBatch:
     """Runs of words become character offsets; their words are counted once."""
-    for part in ragged.slices(batches):
-        counts, hits = [], []
-        for text, found in zip(part.column("text").to_pylist(), part.column("hits").to_pylist(), strict=True):
-            runs = _merged([(r["start"], r["end"]) for r in found])
-            counts.append(sum(b - a for a, b in runs))
-            hits.append(_spans(text, runs) if runs else [])
-        yield _replaced(part, n_hit=pa.array(counts, pa.int64()), hits=pa.array(hits, _HITS))
+    counts, hits = [], []
+    for text, found in zip(part.column("text").to_pylist(), part.column("hits").to_pylist(), strict=True):
+        runs = _merged([(r["start"], r["end"]) for r in found])
+        counts.append(sum(b - a for a, b in runs))
+        hits.append(_spans(text, runs) if runs else [])
+    return _replaced(part, n_hit=pa.array(counts, pa.int64()), hits=pa.array(hits, _HITS))
 
 
 def marked(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -175,9 +176,9 @@ def marked(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
         F.array().cast("array<string>").alias("item_ids"),
         F.array().cast("array<struct<start: long, end: long>>").alias("hits"),
     )
-    for one in sent:
-        found = _scanned(found, one)
-    return found.mapInArrow(_finished, found.schema)
+    for i, one in enumerate(sent):
+        found = _scanned(found, one, i == len(sent) - 1)
+    return found
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

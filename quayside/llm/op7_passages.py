@@ -115,7 +115,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         w, _, runs = _runs(buf, offs, width)
         return w.first, runs, np.zeros(len(runs.key), bool)
 
-    some = R.with_runs(texts, R.repeated_runs(texts, find, hot, 2 << 20))
+    some = R.with_runs(texts, R.repeated_runs(texts, find, hot, ragged.SLICE))
     parts = some.mapInArrow(_sent(hot, 4 * n, width), "bucket int, size long, blob binary")
     return R.dealt(parts, n).mapInArrow(_compared(width), R.SPANS)
 

@@ -18,6 +18,9 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+#: Bytes of text that are worked on at a time, a little below a power of two as the tables of powers are rounded up.
+SLICE = (1 << 20) - 64
+
 _U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 
@@ -29,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Consecutive rows with at most ``limit`` bytes of text, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from quayside.llm import ragged
 
 #: Distinct pieces kept in a Python worker; beyond that it begins anew.
-KEPT = 600_000
+KEPT = 400_000
 #: A text with a longer word goes to the library as it is.
 LONGEST = 256
 

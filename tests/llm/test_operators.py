@@ -20,6 +20,7 @@ from quayside.llm import op8_quality as op8
 from quayside.llm import op9_mix as op9
 from quayside.llm import op10_suffixes as op10
 from quayside.llm import repeats
+from quayside.session import scratch_path
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -224,7 +225,7 @@ def test_token_files_round_trip(spark, docs_of, clashing, texts):
     rows = sorted([*texts, *odd], key=lambda r: (r[0] is None, r[0], r[1] or ""))
     want = brute.token_rows(rows, lambda t: library.encode(t, add_special_tokens=False).ids)
     docs = clashing(docs_of(random.Random(1).sample(rows, len(rows))))
-    path = f"{spark.conf.get('spark.checkpoint.dir')}/tokens"
+    path = scratch_path(spark, "tokens")
     op5.write_segments(docs, public_tokenizers.path("byte_bpe_50k.json"), path, segment_ids=500)
     assert plain_sort(rows_of(op5.read_digests(spark, path))) == plain_sort(want)
     assert spark.read.parquet(path).where("n_docs > 1").count() > 0
