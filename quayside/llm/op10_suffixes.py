@@ -32,7 +32,7 @@ from quayside.llm import ragged
 from quayside.llm import repeats as R
 
 WIDTH, GRAM = 100, 16
-SLICE = 1 << 20
+SLICE = ragged.SLICE // 2
 #: Sampled leading bytes for each range.
 PER_RANGE = 32
 

@@ -204,7 +204,7 @@ KINDS = [np.uint64, np.int32, np.int32, np.uint8, np.int32, np.int32, np.int32,
 class Outbox:
     """Runs of one task on their way to buckets. Equal strings are sent once, with all their occurrences."""
 
-    def __init__(self, buckets: int, limit: int = 24 << 20):
+    def __init__(self, buckets: int, limit: int = 16 << 20):
         self.buckets, self.limit = buckets, limit
         self._clear()
 
