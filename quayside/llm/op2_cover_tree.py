@@ -62,7 +62,8 @@ def cover_tree(vectors: np.ndarray, members: np.ndarray | None = None, radius: f
     members = np.arange(len(vectors)) if members is None else members
     centre = vectors[members[0]]
     reach = float(np.linalg.norm(vectors[members] - centre, axis=1).max())
-    if len(members) <= LEAF or reach <= SLACK:
+    # nearer than ROUGH, gaps() cannot tell vectors apart, and halving would not end
+    if len(members) <= LEAF or reach <= ROUGH:
         return Node(centre, reach, members, [])
     half = min(radius, reach) / 2
     centres, owner = np.zeros(0, np.int64), np.zeros(len(members), np.int64)

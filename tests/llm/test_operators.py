@@ -141,6 +141,17 @@ def test_cover_tree_covers():
     assert seen == 300
 
 
+def test_cover_tree_of_rescaled_copies(spark):
+    """Copies that differ by rounding only lie nearer than computed distances can tell."""
+    rng = np.random.default_rng(3)
+    one = rng.normal(size=16)
+    rows = [(i, [float(x) for x in np.float32(one * s)], 1) for i, s in enumerate(rng.uniform(0.1, 10, 2000))]
+    points = np.array([v for _, v, _ in rows])
+    op2.cover_tree(points / np.linalg.norm(points, axis=1)[:, None])
+    got = rows_of(op2.near_duplicates(spark.createDataFrame(rows[:100], "vec_id long, embedding array<float>, label int")))
+    assert plain_sort(got) == plain_sort([(i, 99, 0, i == 0) for i in range(100)])
+
+
 # --- decontamination
 
 
