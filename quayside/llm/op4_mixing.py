@@ -1,26 +1,24 @@
 """Language-model scoring by logistic context mixing.
 
-A word is spelled byte by byte and bit by bit, with a space at its end. ``ORDERS`` predictors each look up how often a
-bit was 0 or 1 after the last 1, 2, 3, 4 or 6 bytes of the word, in a table of ``1 << BITS`` hashed contexts. Their
-logits are combined by weights that a gate (how much two of the predictors have seen) selects; the weights are learned
-online, batch by batch, from the prediction errors. An adaptive map then refines the probability by what came true at it.
+A text is predicted byte by byte and bit by bit. ``ORDERS`` predictors look up how often a bit was 0 or 1 after the last 1,
+2, 3, 4 or 6 bytes of the text, whatever words these belong to, and one more after the word so far (its last 6 bytes). Their logits
+are combined by weights that a gate (how much three of the predictors have seen) selects; the weights are learned online,
+batch by batch, from the prediction errors. An adaptive map then refines the probability by what came true at it. While
+weights and map are learned, a byte is taken out of its own counts. After each byte a text ends with one probability, the
+training share of ends. The probabilities of all texts add up to one; a text's score is the log10 of its own.
 
-The tables learn every distinct training word once, and while weights and map are learned a word is taken out of its own
-counts, so all of this is about words not seen before. Seen words get their discounted count:
+All that a prediction needs is the byte and the six before it: an event. Equal events have equal predictions, so different events are counted, learned from (with their count as weight) and scored once. They are grouped on
+Spark by the four bytes before, so that all events of a context of four bytes or more lie in one pack, where the counts of all
+its nodes are exact: no table of a fixed size, no collisions. Counts are 64-bit numbers.
 
-    p(word) = (max(c - d, 0) + d * V * spelled(word)) / N        d from the numbers of words seen once and twice
+What goes to all tasks: counts after contexts of fewer than four bytes, weights, and the at most ``FREQUENT`` most frequent
+words and ``EVENTS`` times as many most frequent events with their scores. All others of a document meet their scores in a join.
 
-and a token is the end with the training share of ends. A text's kind is not known beforehand: ``KINDS`` kinds of texts,
-found by their letters (k-means over all training texts), have word counts of their own, discounted the same way towards
-the above, and a text's probability is the mean over the kinds, in which the fitting one wins while words go by. The
-probabilities of all texts add up to one.
+``base_score`` is that of a bare count model of words, for comparison: lower case, an end to each text, add one half.
 
-Words are counted by map-side sums and a shuffle; the table of words stays distributed. What goes through the driver has
-a fixed size: the predictor tables (5 * 2^BITS counts), weights, and the at most ``FREQUENT`` most frequent words with
-their scores, which are broadcast. All other words of a document meet their scores in a join.
-
-Defined results: a null or empty text is the end only. Without training text the spelling knows nothing (each bit 1/2),
-and known counts are 0. Rows that repeat a document are scored as rows of their own. A document without an id is trained on.
+Defined results: a null or empty text is the end only and has no bits per byte. Without training text the predictors know
+nothing (each bit 1/2), and known counts are 0. Rows that repeat a document are scored as rows of their own. A document
+without an id is trained on.
 """
 
 from __future__ import annotations
@@ -39,30 +37,28 @@ from quayside.llm.links import stored
 
 FOLDS, HELD_OUT = 5, 1
 ORDERS = (1, 2, 3, 4, 6)
-BITS = 19
-GATES = 16
-KINDS, PASSES, FIRST = 8, 3, 2048  # passes over all training texts; FIRST texts only begin the search
+LONGEST = max(ORDERS)
+PREDICTORS = len(ORDERS) + 1  # the last one's context is the word so far
+NEAR = 4  # events are grouped by so many bytes before
+GATES = 64
 STEPS = 33  # of the adaptive map, for each bit of a byte
 ROUNDS, RATE = 1, 0.1
-FREQUENT = 200_000
-CHUNK = 1 << 16  # bytes of words at a time: a step of online learning
-SLICES = 16  # of the tables, when they are summed
+FREQUENT, EVENTS = 200_000, 16
+CHUNK = 1 << 13  # events at a time: a step of online learning
+MOST = 1 << 22  # different events that a task holds before it gives them on
+ROWS = 1 << 16
 
 _U = np.uint64
-_SPREAD = ragged.mix(np.arange(1, 8, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+_HIGH = _U(1 << 63)
 
 
 class Counts(NamedTuple):
-    """Of training words: tokens, different ones, texts, discount; tokens, different ones, discounts and texts by kind."""
+    """Of training texts: words, different ones, texts, bytes."""
 
     tokens: int
     types: int
     texts: int
-    discount: float
-    kind_tokens: np.ndarray
-    kind_types: np.ndarray
-    kind_discounts: np.ndarray
-    kind_texts: np.ndarray
+    bytes: int
 
     @property
     def all_tokens(self) -> int:
@@ -74,66 +70,12 @@ class Counts(NamedTuple):
 
     @property
     def end(self) -> float:
-        """Probability that a token is the end."""
-        return (self.texts + 0.5) / (self.all_tokens + 1)
-
-    @property
-    def share(self) -> np.ndarray:
-        return (self.kind_texts + 0.5) / (self.kind_texts + 0.5).sum()
-
-    def words(self, c: np.ndarray, by_kind: np.ndarray, spelled: np.ndarray) -> np.ndarray:
-        """log10 of the probability of words in texts of each kind, by their counts and the log10 of their spelling's."""
-        any_ = 10.0 ** np.maximum(spelled, -290)
-        if self.tokens:
-            any_ = (np.maximum(c - self.discount, 0) + self.discount * self.types * any_) / self.tokens
-        n, d = np.maximum(self.kind_tokens, 1), self.kind_discounts
-        back = np.where(self.kind_tokens > 0, d * self.kind_types / n, 1.0)
-        return np.log10(np.maximum(by_kind - d, 0) / n + back * any_[:, None] + 1e-300) + math.log10(1 - self.end)
-
-
-def letters(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """The root of each byte's share in each text."""
-    n = len(offs) - 1
-    of = np.repeat(np.arange(n), np.diff(offs))
-    found = np.bincount(of * 256 + buf, minlength=n * 256).reshape(n, 256)
-    return np.sqrt(found / np.maximum(found.sum(axis=1), 1)[:, None])
-
-
-def nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.argmin((centres**2).sum(axis=1) - 2 * points @ centres.T, axis=1)
-
-
-def _kinds(texts: DataFrame) -> np.ndarray:
-    """Centres of the kinds: begun on a few texts, then moved ``PASSES`` times to the means over all training texts."""
-    some = texts.where("text <> ''").orderBy(F.xxhash64("alike"), "id").select("text").limit(FIRST).toArrow()["text"].combine_chunks()
-    points = letters(*(lambda b, o: (ragged.LOWER[b], o))(*ragged.flat(some))) if len(some) else np.zeros((1, 256))
-    centres = points[:1]
-    for _ in range(KINDS - 1):  # the farthest text begins the next kind
-        gap = ((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2).min(axis=1)
-        centres = np.vstack([centres, points[int(np.argmax(gap))]])
-    for _ in range(10):
-        kind = nearest(points, centres)
-        centres = np.array([points[kind == k].mean(axis=0) if (kind == k).any() else centres[k] for k in range(KINDS)])
-
-    for _ in range(PASSES):
-        now = centres
-
-        def add(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((KINDS, 257))
-            for rows in ragged.slices(batches):
-                buf, offs = ragged.flat(rows.column("text"))
-                points = letters(ragged.LOWER[buf], offs)
-                kind = nearest(points, now)
-                np.add.at(total, kind, np.hstack([points, np.ones((len(points), 1))]))
-            yield _numbered(total)
-
-        total = _summed(texts.select("text"), add, KINDS * 257).reshape(KINDS, 257)
-        centres = np.where(total[:, 256:] > 0, total[:, :256] / np.maximum(total[:, 256:], 1), centres)
-    return centres
+        """Probability that a text ends where a byte could follow."""
+        return (self.texts + 0.5) / (self.bytes + self.texts + 1)
 
 
 class Spelling(NamedTuple):
-    """The predictors' tables, the mixer's weights, and the adaptive map."""
+    """Counts of each context's nodes, the mixer's weights, and the adaptive map."""
 
     zeros: np.ndarray
     ones: np.ndarray
@@ -142,19 +84,20 @@ class Spelling(NamedTuple):
 
     @classmethod
     def empty(cls) -> Spelling:
-        size = len(ORDERS) << BITS
-        return cls(np.zeros(size, np.float32), np.zeros(size, np.float32), np.full((GATES, len(ORDERS) + 1), [*[1.5 / len(ORDERS)] * len(ORDERS), 0.0]), np.zeros((2, 8, STEPS)))
+        """Knows one context for each predictor, in which nothing was seen."""
+        size = PREDICTORS << 8
+        return cls(np.zeros(size), np.zeros(size), np.full((GATES, PREDICTORS + 1), [*[1.5 / PREDICTORS] * PREDICTORS, 0.0]), np.zeros((2, 8, STEPS)))
 
     def mixed(self, places: np.ndarray, bit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, gate and probability of a 1. With ``bit``, each event is taken out of its own counts."""
         n0, n1 = self.zeros[places], self.ones[places]
         if bit is not None:
             n1, n0 = np.maximum(n1 - bit, 0), np.maximum(n0 - (1 - bit), 0)
-        inputs = np.empty((len(ORDERS) + 1, places.shape[1]))
+        inputs = np.empty((PREDICTORS + 1, places.shape[1]))
         inputs[:-1] = np.clip(np.log((n1 + 0.1) / (n0 + 0.1)), -9, 9)
         inputs[-1] = 0.3
-        total = n0 + n1
-        gate = np.minimum(np.log2(total[-1] + 1) / 2, 3).astype(np.int64) * 4 + np.minimum(np.log2(total[2] + 1) / 3, 3).astype(np.int64)
+        seen = lambda i: np.minimum(np.log2(n0[i] + n1[i] + 1) / 2, 3).astype(np.int64)
+        gate = seen(-1) * 16 + seen(-2) * 4 + seen(2)
         logit = np.clip((self.weights[gate].T * inputs).sum(axis=0), -14, 14)
         return inputs, gate, logit
 
@@ -167,96 +110,184 @@ class Spelling(NamedTuple):
         return np.clip(0.5 * p + 0.5 * np.interp(logit, np.linspace(-14, 14, STEPS), rate), 1e-6, 1 - 1e-6)
 
 
+def grams(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Of each byte of texts all that its contexts need: the byte (lowest), the 6 before it in its text, how many there are (highest)."""
+    place = ragged.ranges(np.zeros(len(offs) - 1, np.int64), np.diff(offs))
+    gram = buf.astype(_U)
+    for back in range(1, min(LONGEST, len(buf) - 1) + 1):
+        gram[back:] |= np.where(place[back:] >= back, buf[:-back].astype(_U) << _U(8 * back), _U(0))
+    return gram | (np.minimum(place, LONGEST).astype(_U) << _U(56))
+
+
+def contexts(gram: np.ndarray) -> np.ndarray:
+    """A number for each predictor's context, the same for the same bytes. Those of fewer than NEAR bytes are below 2^48."""
+    past, place = (gram >> _U(8)) & _U((1 << 48) - 1), gram >> _U(56)
+    # the bytes of the word before, which are the last LONGEST where it has more
+    size = place.astype(np.int64)
+    for back in range(LONGEST, 0, -1):
+        size = np.where((place >= _U(back)) & ragged.SPACE[((past >> _U(8 * back - 8)) & _U(255)).astype(np.uint8)], back - 1, size)
+    out = np.empty((PREDICTORS, len(gram)), _U)
+    for i, width in enumerate([*(np.minimum(place, _U(order)) for order in ORDERS), size.astype(_U)]):
+        bytes_ = past & ((_U(1) << (_U(8) * width)) - _U(1))
+        out[i] = bytes_ | np.where(width < _U(NEAR), width << _U(40) | _U(i << 43), width << _U(48) | _U(i << 59) | _HIGH)
+    return out
+
+
+def numbered(context: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Each context's number among the different ones of all predictors, and those of each predictor."""
+    numbers, different, at = np.empty(context.shape, np.int64), [], 0
+    for i, one in enumerate(context):
+        values, inverse = np.unique(one, return_inverse=True)
+        numbers[i] = inverse + at
+        different.append(values)
+        at += len(values)
+    return numbers, different
+
+
 def events(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of words: the bytes to spell with a space after each word, the word of each, and a hash of each order's bytes before."""
-    sizes = np.diff(offs) + 1
-    spelled = np.insert(buf, offs[1:], 0x20)
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    place = ragged.ranges(np.zeros(len(sizes), np.int64), sizes)
-    context, at = np.zeros((len(ORDERS), len(spelled)), _U), 0
-    past = np.zeros(len(spelled), _U)
-    for back in range(1, max(ORDERS) + 1):
-        byte = np.zeros(len(spelled), _U)
-        byte[back:] = spelled[:-back]
-        past = past + np.where(place >= back, byte + _U(1), _U(0)) * _SPREAD[back]
-        if back in ORDERS:
-            context[at] = ragged.mix(past + _U(back))
-            at += 1
-    return spelled, of, context
+    """Of texts: the bytes, the text of each, and the number of each predictor's context."""
+    return buf, np.repeat(np.arange(len(offs) - 1), np.diff(offs)), numbered(contexts(grams(buf, offs)))[0]
 
 
 def bits(spelled: np.ndarray, context: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each of a byte's bits, the highest first: its number, each order's place in the tables, the bits."""
-    table = (np.arange(len(ORDERS)) << BITS)[:, None]
+    """For each of a byte's bits, the highest first: its number, the place of each context's node, the bits."""
     for k in range(8):
         node = (1 << k) | (spelled.astype(np.int64) >> (8 - k))
-        hashed = (context ^ (node.astype(_U) * _SPREAD[0])) * _U(0x9E3779B97F4A7C15)
-        yield k, (hashed >> _U(64 - BITS)).astype(np.int64) + table, (spelled >> (7 - k)) & 1
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for rows in ragged.slices(batches, "word", CHUNK):
-        yield rows, *ragged.flat(rows.column("word"))
+        yield k, (context << 8) | node, (spelled >> (7 - k)) & 1
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different events of a task's texts: how often in training texts, and in all."""
+
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        gram, n, f = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(gram)
+        gram = gram[order]
+        first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]))
+        return gram[first], np.add.reduceat(n[order], first), np.add.reduceat(f[order], first)
+
+    def rows_of(part: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(part[0]), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + ROWS].view(np.int64)) for x in part], names=["gram", "n", "f"])
+
+    kept: list[tuple[np.ndarray, ...]] = []
+    size = least = 0
+    for rows in ragged.slices(batches):
+        buf, offs = ragged.flat(rows.column("text"))
+        if not len(buf):
+            continue
+        train = np.repeat(~rows.column("held_out").to_numpy(zero_copy_only=False), np.diff(offs))
+        kept.append(merged([(grams(buf, offs), train.astype(np.int64), np.ones(len(buf), np.int64))]))
+        size += len(kept[-1][0])
+        if size > least + MOST // 2:
+            kept = [merged(kept)]
+            size = least = len(kept[0][0])
+            if size > MOST:
+                yield from rows_of(kept[0])
+                kept, size, least = [], 0, 0
+    if kept:
+        yield from rows_of(merged(kept))
+
+
+def near(gram: np.ndarray) -> np.ndarray:
+    """The NEAR bytes before; as ``_NEAR`` in Spark."""
+    return ((gram >> _U(8)) & _U((1 << 8 * NEAR) - 1)) | (np.minimum(gram >> _U(56), _U(NEAR)) << _U(8 * NEAR))
+
+
+_NEAR = f"(shiftrightunsigned(gram, 8) & {(1 << 8 * NEAR) - 1}L) | shiftleft(least(shiftrightunsigned(gram, 56), {NEAR}L), {8 * NEAR})"
+
+
+def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events sorted by ``near`` as rows of about CHUNK; those after the same NEAR bytes share a row."""
+    wait: list[np.ndarray] = []
+
+    def rows_of(part: np.ndarray, last: bool) -> tuple[list[bytes], np.ndarray]:
+        alike = near(part[0].view(_U))
+        starts = np.flatnonzero(np.diff(alike, prepend=~alike[:1]))
+        ends = np.append(starts[1:], part.shape[1]) if last else starts[1:]
+        blobs, at = [], 0
+        for end in ends.tolist():
+            if end - at >= CHUNK or (last and end == part.shape[1]):
+                blobs.append(part[:, at:end])
+                at = end
+        return [(x.shape[1], ragged.packed(list(x))) for x in blobs], part[:, at:]
+
+    def batch_of(rows) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["size", "part"])
+
+    for batch in batches:
+        wait.append(np.stack([batch.column(c).to_numpy() for c in ("gram", "n", "f")]))
+        if sum(x.shape[1] for x in wait) >= 4 * CHUNK:
+            rows, rest = rows_of(np.hstack(wait), False)
+            wait = [rest]
+            yield batch_of(rows)
+    if wait and (part := np.hstack(wait)).shape[1]:
+        yield batch_of(rows_of(part, True)[0])
+
+
+class Pack(NamedTuple):
+    gram: np.ndarray
+    n: np.ndarray
+    f: np.ndarray
 
+    @property
+    def byte(self) -> np.ndarray:
+        return self.gram.astype(np.uint8)
 
-_BY_KIND = [f"c{k}" for k in range(KINDS)]
-
+    def train(self) -> Pack:
+        return Pack(*(x[self.n > 0] for x in self))
 
-def _words(centres: np.ndarray):
-    """Different words of a few texts: how often each is in training texts of each kind, and in all texts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in ragged.slices(batches):
-            buf, offs = ragged.flat(rows.column("text"))
-            buf = ragged.LOWER[buf]
-            w = ragged.words(buf, offs)
-            number, first = ragged.distinct(buf, w.start, w.end)
-            of = np.repeat(np.arange(rows.num_rows), np.diff(w.first))
-            kind = np.where(rows.column("held_out").to_numpy(zero_copy_only=False), KINDS, nearest(letters(buf, offs), centres))
-            c = np.bincount(number * (KINDS + 1) + kind[of], minlength=len(first) * (KINDS + 1)).reshape(-1, KINDS + 1)
-            raw = buf.tobytes()
-            # cutting a text at white space leaves whole characters
-            found = [raw[a:b].decode() for a, b in zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)]
-            columns = [pa.array(found, pa.string()), *(pa.array(c[:, k]) for k in range(KINDS)), pa.array(c.sum(axis=1))]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", *_BY_KIND, "f"])
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[Pack]:
+    for batch in batches:
+        for size, part in zip(batch.column("size").to_pylist(), batch.column("part").to_pylist(), strict=True):
+            yield Pack(*ragged.unpacked(part, 24 + 24 * size, [_U, np.int64, np.int64]))
 
-    return count
 
+class Short(NamedTuple):
+    """How often each byte came after each context of fewer than NEAR bytes, sorted by context and byte."""
 
-def _learned(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The tables of all distinct training words: summed in each of a few tasks, then slice by slice."""
-    spark = words.sparkSession
-    size = len(ORDERS) << BITS
-    cut = [size * i // SLICES for i in range(SLICES + 1)]
+    keys: np.ndarray
+    n: np.ndarray
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((2, size), np.float32)
-        for _, buf, offs in _chunks(batches):
-            spelled, _, context = events(buf, offs)
-            for _, places, bit in bits(spelled, context):
-                for value in (0, 1):
-                    np.add.at(tables[value], places[:, bit == value].ravel(), np.float32(1))
-        for i in range(SLICES):
-            part = np.ascontiguousarray(tables[:, cut[i] : cut[i + 1]])
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([ragged.packed([part.ravel()])], pa.binary())], names=["i", "part"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, part in zip(batch.column("i").to_pylist(), batch.column("part").to_pylist(), strict=True):
-                (one,) = ragged.unpacked(part, 8 + 8 * (cut[i + 1] - cut[i]), [np.float32])
-                sums[i] = sums[i] + one if i in sums else one
-        for i, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([ragged.packed([total])], pa.binary())], names=["i", "part"])
 
-    few = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    parts = words.coalesce(few).mapInArrow(learn, "i int, part binary").repartitionById(SLICES, F.col("i")).mapInArrow(add, "i int, part binary")
-    tables = np.zeros((2, size), np.float32)
-    for row in parts.toLocalIterator():
-        i = row["i"]
-        (part,) = ragged.unpacked(bytes(row["part"]), 8 + 8 * (cut[i + 1] - cut[i]), [np.float32])
-        tables[:, cut[i] : cut[i + 1]] = part.reshape(2, -1)
-    return tables[0], tables[1]
+def _short(events: DataFrame) -> Short:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pack in _packs(batches):
+            pack = pack.train()
+            context = contexts(pack.gram)
+            mine = context < _U(1 << 48)
+            keys = ((context << _U(8)) | pack.byte)[mine]
+            values, inverse = np.unique(keys, return_inverse=True)
+            n = np.zeros(len(values), np.int64)
+            np.add.at(n, inverse, np.broadcast_to(pack.n, mine.shape)[mine])
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    found = events.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    keys, n = found["key"].to_numpy().view(_U), found["n"].to_numpy()
+    order = np.argsort(keys)
+    return Short(keys[order], n[order])
+
+
+def known(pack: Pack, short: Short, model: Spelling) -> tuple[np.ndarray, Spelling]:
+    """The contexts of a pack's events as numbers, and the model with the exact counts of all their nodes."""
+    numbers, different = numbered(contexts(pack.gram))
+    size = sum(len(x) for x in different) << 8
+    zeros, ones = np.zeros(size, np.float64), np.zeros(size, np.float64)
+    at = 0
+    for i, values in enumerate(different):
+        few = values[values < _U(1 << 48)]  # the first of the sorted
+        low, high = np.searchsorted(short.keys, few << _U(8)), np.searchsorted(short.keys, (few + _U(1)) << _U(8))
+        entry = ragged.ranges(low, high - low)
+        own = numbers[i] >= at + len(few)
+        byte = np.concatenate([short.keys[entry].astype(np.uint8), pack.byte[own]])
+        n = np.concatenate([short.n[entry], pack.n[own]])
+        number = np.concatenate([np.repeat(np.arange(len(few)) + at, high - low), numbers[i][own]])
+        for _, places, bit in bits(byte, number):
+            np.add.at(zeros, places, n * (1 - bit.astype(np.int64)))
+            np.add.at(ones, places, n * bit.astype(np.int64))
+        at += len(values)
+    return numbers, model._replace(zeros=zeros, ones=ones)
 
 
 def _numbered(values: np.ndarray) -> pa.RecordBatch:
@@ -264,216 +295,201 @@ def _numbered(values: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat.astype(np.float64))], names=["i", "v"])
 
 
-def _summed(words: DataFrame, f, n: int) -> np.ndarray:
+def _summed(rows: DataFrame, f, n: int) -> np.ndarray:
     """The sums of the n numbers that each task gives."""
     out = np.zeros(n)
-    for row in words.mapInArrow(f, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+    for row in rows.mapInArrow(f, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
         out[row["i"]] = row["v"]
     return out
 
 
-def _round(words: DataFrame, model: Spelling) -> np.ndarray:
+def _round(events: DataFrame, short, model: Spelling) -> np.ndarray:
     """One pass of online learning in every task from the same weights; their mean by the number of events at each gate."""
-    sent = words.sparkSession.sparkContext.broadcast(model)
-    width = len(ORDERS) + 1
+    width = PREDICTORS + 1
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, past, mass = sent.value.weights.copy(), np.full((GATES, width), 1e-4), np.zeros(GATES)
-        for _, buf, offs in _chunks(batches):
-            now = sent.value._replace(weights=weights)
-            spelled, _, context = events(buf, offs)
-            slope, n = np.zeros((GATES, width)), np.zeros(GATES)
-            for _, places, bit in bits(spelled, context):
-                inputs, gate, logit = now.mixed(places, bit)
-                error = 1 / (1 + np.exp(-logit)) - bit
-                n += np.bincount(gate, minlength=GATES)
-                for i in range(width):
-                    slope[:, i] += np.bincount(gate, error * inputs[i], GATES)
-            slope /= np.maximum(n, 1)[:, None]
-            past += slope**2
-            weights = weights - RATE * slope / np.sqrt(past)
-            mass += n
+        weights, past, mass = model.weights.copy(), np.full((GATES, width), 1e-4), np.zeros(GATES)
+        for pack in _packs(batches):
+            pack = pack.train()
+            numbers, now = known(pack, short.value, model)
+            for k, places, bit in bits(pack.byte, numbers):
+                inputs, gate, logit = now._replace(weights=weights).mixed(places, bit)
+                error = (1 / (1 + np.exp(-logit)) - bit) * pack.n
+                n = np.bincount(gate, pack.n, GATES)
+                slope = np.stack([np.bincount(gate, error * x, GATES) for x in inputs], axis=1) / np.maximum(n, 1)[:, None]
+                past += slope**2
+                weights = weights - RATE * slope / np.sqrt(past)
+                mass += n
         yield _numbered(np.concatenate([(weights * mass[:, None]).ravel(), mass]))
 
-    sums = _summed(words, learn, GATES * width + GATES)
+    sums = _summed(events, learn, GATES * width + GATES)
     mass = sums[GATES * width :]
     mean = sums[: GATES * width].reshape(GATES, width) / np.maximum(mass, 1)[:, None]
     return np.where(mass[:, None] > 0, mean, model.weights)
 
 
-def _map(words: DataFrame, model: Spelling) -> np.ndarray:
+def _map(events: DataFrame, short, model: Spelling) -> np.ndarray:
     """How often what the mixer says came true, by bit and by step of its logit."""
-    sent = words.sparkSession.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 8, STEPS))
-        for _, buf, offs in _chunks(batches):
-            spelled, _, context = events(buf, offs)
-            for k, places, bit in bits(spelled, context):
-                _, _, logit = sent.value.mixed(places, bit)
-                step = np.rint((logit + 14) / 28 * (STEPS - 1)).astype(np.int64)
-                total[0, k] += np.bincount(step, minlength=STEPS)
-                total[1, k] += np.bincount(step, bit, STEPS)
+        for pack in _packs(batches):
+            pack = pack.train()
+            numbers, now = known(pack, short.value, model)
+            for k, places, bit in bits(pack.byte, numbers):
+                step = np.rint((now.mixed(places, bit)[2] + 14) / 28 * (STEPS - 1)).astype(np.int64)
+                total[0, k] += np.bincount(step, pack.n, STEPS)
+                total[1, k] += np.bincount(step, pack.n * bit, STEPS)
         yield _numbered(total)
 
-    return _summed(words, count, 2 * 8 * STEPS).reshape(2, 8, STEPS)
+    return _summed(events, count, 2 * 8 * STEPS).reshape(2, 8, STEPS)
 
 
-def fit(words: DataFrame) -> Spelling:
-    """``words`` has each distinct training word once."""
-    zeros, ones = _learned(words)
-    model = Spelling.empty()._replace(zeros=zeros, ones=ones)
+def fit(events: DataFrame, short) -> Spelling:
+    model = Spelling.empty()
     for _ in range(ROUNDS):
-        model = model._replace(weights=_round(words, model))
-    return model._replace(came_true=_map(words, model))
+        model = model._replace(weights=_round(events, short, model))
+    return model._replace(came_true=_map(events, short, model))
 
 
-def spelled(buf: np.ndarray, offs: np.ndarray, model: Spelling) -> np.ndarray:
-    """log10 of the probability of each word's spelling."""
-    text, of, context = events(buf, offs)
-    total = np.zeros(len(offs) - 1)
-    for k, places, bit in bits(text, context):
-        p = model.refined(model.mixed(places)[2], k)
-        total += np.bincount(of, np.log10(np.where(bit == 1, p, 1 - p)), len(total))
-    return total
+def _scored_events(events: DataFrame, short, model: Spelling) -> DataFrame:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pack in _packs(batches):
+            numbers, now = known(pack, short.value, model)
+            total = np.zeros(len(pack.gram))
+            for k, places, bit in bits(pack.byte, numbers):
+                p = now.refined(now.mixed(places)[2], k)
+                total += np.log10(np.where(bit == 1, p, 1 - p))
+            yield pa.RecordBatch.from_arrays([pa.array(ragged.mix(pack.gram).view(np.int64)), pa.array(pack.f), pa.array(total)], names=["key", "f", "lp"])
 
+    return events.mapInArrow(score, "key long, f long, lp double")
 
-_LP = [f"lp{k}" for k in range(KINDS)]
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different words of a few texts by their hash: how often each is in training texts, and in all texts."""
+    for rows in ragged.slices(batches):
+        buf, offs = ragged.flat(rows.column("text"))
+        buf = ragged.LOWER[buf]
+        w = ragged.words(buf, offs)
+        words, number = np.unique(word_key(buf, w), return_inverse=True)
+        train = np.repeat(~rows.column("held_out").to_numpy(zero_copy_only=False), np.diff(w.first))
+        c = np.bincount(number[train], minlength=len(words))
+        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(c), pa.array(np.bincount(number, minlength=len(words)))], names=["key", "c", "f"])
 
-def _scored_words(vocabulary: DataFrame, model: Spelling, counts: Counts) -> DataFrame:
-    sent = vocabulary.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in _chunks(batches):
-            c = rows.column("c").to_numpy()
-            by_kind = np.stack([rows.column(k).to_numpy() for k in _BY_KIND], axis=1)
-            lp = counts.words(c, by_kind, spelled(buf, offs, sent.value))
-            columns = [rows.column("word"), rows.column("c"), rows.column("f"), pa.array(counts.base(c)), *(pa.array(lp[:, k]) for k in range(KINDS))]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "c", "f", "base", *_LP])
-
-    return vocabulary.mapInArrow(score, f"word string, c long, f long, base double, {', '.join(f'{x} double' for x in _LP)}")
+def word_key(buf: np.ndarray, w: ragged.Words) -> np.ndarray:
+    return ragged.mix(ragged.Rolling(buf).spans(w.start, w.end) ^ _HIGH)
 
 
 class Frequent(NamedTuple):
-    hashes: np.ndarray
-    known: np.ndarray
-    base: np.ndarray
-    lp: np.ndarray
+    keys: np.ndarray
+    values: tuple[np.ndarray, ...]
+    least: int
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the keys are, and whether they are there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
 
 
-def _frequent(words: DataFrame, most: int) -> tuple[Frequent, int]:
-    """At most ``most`` words, those that occur ``least`` times or more, and ``least``."""
-    levels = words.groupBy(F.floor(F.log2("f") * 4).alias("level")).agg(F.count("*").alias("n"), F.min("f").alias("least")).orderBy(F.col("level").desc()).collect()
+def _frequent(table: DataFrame, most: int, columns: list[str]) -> Frequent:
+    """At most ``most`` keys, those that occur ``least`` times or more."""
+    levels = table.groupBy(F.floor(F.log2("f") * 4).alias("level")).agg(F.count("*").alias("n"), F.min("f").alias("least")).orderBy(F.col("level").desc()).collect()
     least, room = 2**62, most
     for row in levels:
         room -= row["n"]
         if room < 0:
             break
         least = row["least"]
-    rows = words.where(F.col("f") >= least).select("word", "c", "base", *_LP).toArrow()
-    buf, offs = ragged.flat(rows["word"].combine_chunks() if rows.num_rows else pa.array([], pa.string()))
-    hashes = ragged.Rolling(buf).spans(offs[:-1], offs[1:])
-    order = np.argsort(hashes)
-    lp = np.stack([rows[x].to_numpy() for x in _LP], axis=1)
-    return Frequent(hashes[order], rows["c"].to_numpy()[order], rows["base"].to_numpy()[order], lp[order]), least
+    rows = table.where(F.col("f") >= least).select("key", *columns).toArrow()
+    keys = rows["key"].to_numpy().view(_U)
+    order = np.argsort(keys)
+    return Frequent(keys[order], tuple(rows[c].to_numpy()[order] for c in columns), least)
 
 
-_SCORES = [f"s{k}" for k in range(KINDS)]
-_PARTS = "id long, alike long, word string, n long, known long, rows long, base double, " + ", ".join(f"{x} double" for x in _SCORES)
+_PARTS = "id long, alike long, key long, n long, rows long, tokens long, known long, size long, base double, score double"
 
 
-def _texts(sent, counts: Counts):
-    """Per text a row with the sums over its frequent words, and a row for each other word of it."""
+def _texts(sent_words, sent_events, counts: Counts):
+    """Per text a row with the sums over its frequent words and events, and a row for each other one of it."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top: Frequent = sent.value
+        words, events = sent_words.value, sent_events.value
         for rows in ragged.slices(batches):
-            buf, offs = ragged.flat(rows.column("text"))
-            buf = ragged.LOWER[buf]
+            raw, offs = ragged.flat(rows.column("text"))
+            n, sizes = rows.num_rows, np.diff(offs)
+            buf = ragged.LOWER[raw]
             w = ragged.words(buf, offs)
-            n = rows.num_rows
-            of = np.repeat(np.arange(n), np.diff(w.first))
-            hashes = ragged.Rolling(buf).spans(w.start, w.end)
-            at = np.minimum(np.searchsorted(top.hashes, hashes), max(len(top.hashes) - 1, 0))
-            hit = top.hashes[at] == hashes if len(top.hashes) else np.zeros(len(hashes), bool)
-            sums = [np.bincount(of[hit], x[at[hit]], n) for x in (top.known > 0, top.base, *top.lp.T)]
-            rest = np.flatnonzero(~hit)
-            _, first, often = np.unique(ragged.mix(hashes[rest] + of[rest].astype(_U) * _SPREAD[0]), return_index=True, return_counts=True)
-            one = rest[first]
-            raw = buf.tobytes()
+            sums, others = [], []
+            for table, keys, per_text in ((words, word_key(buf, w), np.diff(w.first)), (events, ragged.mix(grams(raw, offs)), sizes)):
+                order = np.argsort(keys)
+                keys, of = keys[order], np.repeat(np.arange(n), per_text)[order]
+                at, hit = table.places(keys)
+                sums += [np.bincount(of[hit], x[at[hit]], n) for x in table.values]
+                rest = np.flatnonzero(~hit)
+                _, first, often = np.unique(ragged.mix(keys[rest] ^ ragged.mix(of[rest].astype(_U))), return_index=True, return_counts=True)
+                others.append((keys[rest[first]].view(np.int64), of[rest[first]], often))
+            key, of, often = (np.concatenate(x) for x in zip(*others, strict=True))
+            seen, base, lp = sums
             ids, alike = rows.column("id").to_numpy(), rows.column("alike").to_numpy()
-            # a text's own row meets no word; its key keeps such rows apart
-            words = [f" {i}" for i in alike.tolist()] + [raw[a:b].decode() for a, b in zip(w.start[one].tolist(), w.end[one].tolist(), strict=True)]
-            zero = np.zeros(len(one), np.int64)
-            end = float(counts.base(np.array(counts.texts)))
-            columns = [
-                np.concatenate([ids, ids[of[one]]]), np.concatenate([alike, alike[of[one]]]), pa.array(words, pa.string()), np.concatenate([np.diff(w.first) + 1, often]),
-                np.concatenate([sums[0].astype(np.int64) + int(counts.texts > 0), zero]), np.concatenate([np.ones(n, np.int64), zero]),
-                np.concatenate([sums[1] + end, zero]), *(np.concatenate([x + math.log10(counts.end), zero]) for x in sums[2:]),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "alike", "word", "n", "known", "rows", "base", *_SCORES])
+            score = lp + sizes * math.log10(1 - counts.end) + math.log10(counts.end)
+            own = [np.ones(n, np.int64), np.diff(w.first) + 1, seen.astype(np.int64) + int(counts.texts > 0), sizes, base + float(counts.base(np.array(counts.texts))), score]
+            # a text's own row meets nothing; its key keeps such rows apart
+            columns = [np.concatenate([ids, ids[of]]), np.concatenate([alike, alike[of]]), np.concatenate([alike, key]), np.concatenate([np.zeros(n, np.int64), often])]
+            columns += [np.concatenate([x, np.zeros(len(of), x.dtype)]) for x in own]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in _PARTS.split(", ")])
 
     return score
 
 
 def scored(docs: DataFrame, held_out, frequent: int = FREQUENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score. ``held_out``
+    """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte. ``held_out``
     is a condition on doc_id of the rows not to learn from."""
-    none = -(2**63)
+    spark, none = docs.sparkSession, -(2**63)
+    send = spark.sparkContext.broadcast
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(none)).alias("id"), F.xxhash64("text").alias("alike"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out")
     )
-    learn = texts.where("NOT held_out")
-    centres = _kinds(learn)
-    schema = "word string, " + ", ".join(f"{k} long" for k in [*_BY_KIND, "f"])
-    counted = texts.mapInArrow(_words(centres), schema).groupBy("word").agg(*(F.sum(k).alias(k) for k in [*_BY_KIND, "f"]))
-    vocabulary = stored(counted.withColumn("c", sum((F.col(k) for k in _BY_KIND[1:]), F.col("c0"))), "words")
-    known = vocabulary.where("c > 0")
-    each = [x for k in ("c", *_BY_KIND) for x in (F.coalesce(F.sum(k), F.lit(0)), *(F.count_if(condition) for condition in (F.col(k) > 0, F.col(k) == 1, F.col(k) == 2)))]
-    numbers = np.array([*known.agg(*each).first()], np.int64).reshape(-1, 4)
-    discounts = np.where(numbers[:, 2] * numbers[:, 3] > 0, numbers[:, 2] / np.maximum(numbers[:, 2] + 2 * numbers[:, 3], 1), 0.5)
-
-    def texts_of_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(KINDS)
-        for rows in ragged.slices(batches):
-            buf, offs = ragged.flat(rows.column("text"))
-            total += np.bincount(nearest(letters(ragged.LOWER[buf], offs), centres), minlength=KINDS)
-        yield _numbered(total)
+    each = texts.select("text", "held_out")
+    vocabulary = stored(each.mapInArrow(_words, "key long, c long, f long").groupBy("key").agg(F.sum("c").alias("c"), F.sum("f").alias("f")), "words")
+    numbers = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    learn = texts.where("NOT held_out").agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    counts = Counts(*numbers, *learn)
 
-    kind_texts = _summed(learn.select("text"), texts_of_kinds, KINDS)
-    counts = Counts(int(numbers[0, 0]), int(numbers[0, 1]), int(kind_texts.sum()), float(discounts[0]), numbers[1:, 0], numbers[1:, 1], discounts[1:], kind_texts)
-    model = fit(known.select("word"))
-    words = stored(_scored_words(vocabulary, model, counts), "word-scores")
-    top, least = _frequent(words, frequent)
-    sent = docs.sparkSession.sparkContext.broadcast(top)
-    parts = texts.select("id", "alike", "text").mapInArrow(_texts(sent, counts), _PARTS)
-    rare = words.where(F.col("f") < least).select("word", F.col("c").alias("seen"), F.col("base").alias("one_base"), *_LP)
-    both = parts.join(rare, "word", "left")
-    other = F.col("rows") == 0
-    tf = F.when(other, F.col("n")).otherwise(0)
-    found = both.groupBy("id", "alike").agg(
-        F.sum("rows").alias("rows"),
-        F.sum(F.when(other, 0).otherwise(F.col("n"))).alias("n"),
-        F.sum(F.col("known") + F.when(F.col("seen") > 0, tf).otherwise(0)).alias("known"),
-        F.sum(F.col("base") + F.coalesce(tf * F.col("one_base"), F.lit(0.0))).alias("base"),
-        *(F.sum(F.col(x) + F.coalesce(tf * F.col(y), F.lit(0.0))).alias(x) for x, y in zip(_SCORES, _LP, strict=True)),
-    )
+    few = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    different = each.coalesce(few).mapInArrow(counted, "gram long, n long, f long").withColumn("near", F.expr(_NEAR)).repartition("near")
+    different = different.groupBy("near", "gram").agg(F.sum("n").alias("n"), F.sum("f").alias("f"))
+    events_ = stored(different.sortWithinPartitions("near").select("gram", "n", "f").mapInArrow(packs, "size int, part binary"), "events")
+    short = send(_short(events_))
+    event_scores = stored(_scored_events(events_, short, fit(events_, short)), "event-scores")
+
+    word_scores = vocabulary.select("key", "f", (F.col("c") > 0).cast("long").alias("seen"), F.log10((F.col("c") + 0.5) / F.lit(counts.all_tokens + 0.5 * (counts.types + (counts.texts > 0) + 1))).alias("one_base"))
+    top_words = _frequent(word_scores, frequent, ["seen", "one_base"])
+    top_events = _frequent(event_scores, frequent * EVENTS, ["lp"])
+    parts = texts.select("id", "alike", "text").mapInArrow(_texts(send(top_words), send(top_events), counts), _PARTS)
+    rare_words = word_scores.where(F.col("f") < top_words.least).select("key", "seen", "one_base", F.lit(0.0).alias("lp"))
+    rare_events = event_scores.where(F.col("f") < top_events.least).select("key", F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("one_base"), "lp")
+    rare = rare_words.union(rare_events).withColumnRenamed("key", "rare_key")
+    both = parts.join(rare, (F.col("key") == F.col("rare_key")) & (F.col("rows") == 0), "left")
+    plus = lambda x, y: F.sum(F.col(x) + F.coalesce(F.col("n") * F.col(y), F.lit(0))).alias(x)
+    found = both.groupBy("id", "alike").agg(F.sum("rows").alias("rows"), F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), plus("known", "seen"), plus("base", "one_base"), plus("score", "lp"))
     # rows alike in id and text are summed together, and are as many as before
-    kinds = F.array(*(F.col(x) / F.col("rows") + math.log10(p) for x, p in zip(_SCORES, counts.share.tolist(), strict=True)))
-    each = found.withColumn("best", F.array_max(kinds)).withColumn("row", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
+    out = found.withColumn("row", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
     whole = lambda c: (F.col(c) / F.col("rows")).cast("long").alias
-    return each.select(
+    return out.select(
         F.when(F.col("id") != none, F.col("id")).alias("doc_id"),
-        whole("n")("n_tokens"),
+        whole("tokens")("n_tokens"),
         whole("known")("n_known"),
         F.lit(counts.all_tokens).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("rows")).alias("base_score"),
-        (F.col("best") + F.log10(F.aggregate(kinds, F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), x - F.col("best"))))).alias("score"),
+        (F.col("score") / F.col("rows")).alias("score"),
+        F.when(F.col("size") > 0, -F.col("score") / F.col("size") / math.log10(2)).alias("bits_per_byte"),
     )
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     found = scored(spark.read.parquet(f"{sf_dir}/documents.parquet"), fold == HELD_OUT)
-    return found.select("doc_id", F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")

@@ -225,6 +225,18 @@ def test_scores_learn(docs_of):
     assert score > base
 
 
+def test_scores_read_the_text(docs_of):
+    """The order of the words counts, across their borders, and the bits per byte are those of the score."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["alpha beta", "gamma delta", "omega sigma"]) for _ in range(30))) for i in range(60)]
+    held = [(100, rows[0][1]), (101, " ".join(sorted(rows[0][1].split()))), (102, "")]
+    got = {r["doc_id"]: r for r in op4.scored(docs_of([*rows, *held]), F.col("doc_id") >= 100).collect()}
+    assert abs(got[100]["base_score"] - got[101]["base_score"]) < 1e-9
+    assert got[100]["score"] > got[101]["score"] + 5
+    assert abs(got[100]["bits_per_byte"] * len(rows[0][1]) + got[100]["score"] * np.log2(10)) < 1e-6
+    assert got[102]["bits_per_byte"] is None
+
+
 # --- tokens
 
 
