@@ -237,6 +237,37 @@ def test_scores_read_the_text(docs_of):
     assert got[102]["bits_per_byte"] is None
 
 
+def test_event_counts_are_exact(spark, docs_of, monkeypatch):
+    """Counts at all nodes of all contexts are those of a plain dictionary, over packs and tasks."""
+    monkeypatch.setattr(op4, "CHUNK", 300)
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("ab c\0é", k=rng.randrange(1, 80))) + " longerword longerwords" for _ in range(90)] + ["", "x"]
+    plain = {}
+    for t in texts:
+        t = t.encode()
+        for i, byte in enumerate(t):
+            begin = max([j + 1 for j in range(i) if t[j] in b" \t\n\v\f\r"], default=0)
+            for o, context in enumerate([*((min(i, n), t[max(0, i - n) : i]) for n in op4.ORDERS), t[max(begin, i - 6) : i]]):
+                for k in range(8):
+                    key = (o, context, (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1)
+                    plain[key] = plain.get(key, 0) + 1
+    frame = docs_of([(i, t) for i, t in enumerate(texts)]).select("text", F.lit(False).alias("held_out")).repartition(3)
+    events = frame.mapInArrow(op4.counted, "gram long, n long, f long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("f").alias("f"))
+    rows = list(op4.packs(iter(events.sort(F.expr(op4._NEAR)).toArrow().to_batches(100))))
+    short, got, packs = op4._short(spark.createDataFrame(pa.Table.from_batches(rows))), [], 0
+    for pack in op4._packs(iter(rows)):
+        numbers, model = op4.known(pack, short, op4.Spelling.empty())
+        packs += 1
+        for k, places, bit in op4.bits(pack.byte, numbers):
+            for o in range(op4.PREDICTORS):
+                table = np.stack([model.zeros, model.ones])
+                got += list(zip([o] * len(bit), table[bit.astype(int), places[o]].tolist(), pack.n.tolist(), strict=True))
+    # the sum over all events of the count of what came true: the sum of squares of the plain counts
+    for o in range(op4.PREDICTORS):
+        assert sum(c * n for i, c, n in got if i == o) == sum(v * v for key, v in plain.items() if key[0] == o)
+    assert packs > 3
+
+
 # --- tokens
 
 
