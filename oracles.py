@@ -331,7 +331,7 @@ newest AS (
 city_names AS (SELECT CAST(c_custkey AS VARCHAR) AS id, {normal(CITY_NAME + " || ' - ' || upper(" + letters('c_nationkey', 2) + ") || ' '")} AS n FROM customer),
 country_names AS (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS id, {normal("'Nação ' || " + COUNTRY_SPELLED)} AS n FROM supplier),
 silver AS (
-  SELECT trade_date, coalesce(c.id, 'N/A') AS city_id, left(coalesce(p.id, 'N/A'), 4) AS trade_country_id, coalesce(left(hc, 4), '0000') AS product_category_id,
+  SELECT trade_date, coalesce(c.id, 'N/A') AS city_id, left(coalesce(p.id, 'N/A'), 4) AS trade_country_id, coalesce(hc, '0000') AS product_category_id,
          CAST(fob AS DECIMAL(20,2)) AS fob_value, CAST(kg AS DECIMAL(20,2)) AS net_weight, flag AS trade_flag, stamp AS ingested_at, stamp AS loaded_at, {RUN} AS processed_at
   FROM newest LEFT JOIN city_names c ON {normal('city')} = c.n LEFT JOIN country_names p ON {normal('country')} = p.n
   WHERE CAST(coalesce(fob, '0') AS DECIMAL(20,2)) > 0 AND CAST(coalesce(kg, '0') AS DECIMAL(20,2)) > 0)
@@ -349,7 +349,12 @@ countries AS (
          {SECOND} AS ingested_at, {SECOND} AS loaded_at, {RUN} AS processed_at FROM supplier)
 """
 PRODUCTS = """
-products AS (SELECT DISTINCT left(p_type, 4) AS product_category_id, p_type AS product_category_name, 'Parts of type ' || lower(p_type) AS product_category_description FROM part)
+products AS (SELECT DISTINCT p_type AS product_category_id, p_type AS product_category_name, 'Parts of type ' || lower(p_type) AS product_category_description FROM part)
+"""
+SUMMED = """
+summed AS (
+  SELECT trade_date, city_id, trade_country_id, product_category_id, CAST(sum(fob_value) AS DECIMAL(20,2)) AS fob_value, CAST(sum(net_weight) AS DECIMAL(20,2)) AS net_weight, trade_flag
+  FROM silver GROUP BY ALL)
 """
 FACT = f"""
 fact AS (
@@ -514,6 +519,16 @@ def pipeline_sql() -> dict[str, str]:
             f"WITH {BRONZE} SELECT CASE WHEN flag = 'exp' THEN 'export' ELSE 'import' END AS flow, strftime(trade_date, '%Y%m') AS period, "
             "count(*) AS records, sum(CAST(kg AS DECIMAL(20,2))) AS kg FROM bronze GROUP BY 1, 2"
         ),
+        "unknown_members": (
+            f"WITH {BRONZE} SELECT trade_flag, count(*) AS keys, CAST(sum(n) AS BIGINT) AS records, CAST(sum(fob) AS DECIMAL(38,2)) AS fob_value, CAST(sum(kg) AS DECIMAL(38,2)) AS net_weight FROM "
+            "(SELECT trade_flag, count(*) AS n, sum(fob_value) AS fob, sum(net_weight) AS kg FROM silver WHERE trade_flag = 'exp' AND city_id = 'N/A' "
+            "GROUP BY trade_date, trade_country_id, product_category_id, trade_flag HAVING count(*) > 1) GROUP BY 1"
+        ),
+        "cut_values": (
+            "SELECT 'seed_product_categories' AS table_name, column_name, value, CAST(length(value) AS INTEGER) AS length, left(value, w) AS kept, count(*) AS rows FROM "
+            "(SELECT DISTINCT p_type FROM part), LATERAL (VALUES ('product_category_id', p_type, 4), ('product_category_description', 'Parts of type ' || lower(p_type), 18)) v(column_name, value, w) "
+            "WHERE length(value) > w GROUP BY ALL"
+        ),
         "chapter_headings": "SELECT DISTINCT '03' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS heading_code FROM part WHERE p_size <> 9",
     }
 
@@ -758,7 +773,12 @@ def narrative_sql() -> dict[str, str]:
     }
 
 
-SEED = "(SELECT DISTINCT left(p_type, 4) AS product_category_id, p_type AS product_category_name, 'Parts of type ' || lower(p_type) AS product_category_description FROM part)"
+SEED = "(SELECT DISTINCT p_type AS product_category_id, p_type AS product_category_name, 'Parts of type ' || lower(p_type) AS product_category_description FROM part)"
+
+
+def summed(sql: str) -> str:
+    """The same over silver rows that are one row for each key."""
+    return sql.replace("fact AS (", f"{SUMMED.strip()},\nfact AS (", 1).replace("FROM silver LEFT JOIN ratios", "FROM summed LEFT JOIN ratios")
 
 
 def case_sql() -> dict[str, str]:
@@ -809,9 +829,9 @@ def case_sql() -> dict[str, str]:
         "landing_scan": f"WITH {BRONZE} SELECT CASE WHEN flag = 'exp' THEN 'export' ELSE 'import' END AS flow, count(*) AS records, count(country) AS with_country FROM bronze GROUP BY 1",
         "landing_listing": "SELECT 'trade_' || flow || '_199201_200112.parquet' AS path, flow, DATE '1992-01-01' AS date_from, DATE '2001-12-01' AS date_to "
         "FROM (SELECT DISTINCT CASE WHEN l_linestatus = 'O' THEN 'export' ELSE 'import' END AS flow FROM lineitem)",
-        "monthly_run_full": p["fact_trades"],
-        "monthly_run_incremental": f"SELECT * EXCLUDE (fob_value_real) FROM ({p['fact_trades']})",
-        "monthly_run_gate": f"SELECT * FROM ({p['quality_gold'].replace(" UNION ALL SELECT 'N/A')", ')')}) WHERE failures > 0",
+        "monthly_run_full": summed(p["fact_trades"]),
+        "monthly_run_incremental": f"SELECT * EXCLUDE (fob_value_real) FROM ({summed(p['fact_trades'])})",
+        "monthly_run_gate": f"SELECT * FROM ({summed(p['quality_gold']).replace(" UNION ALL SELECT 'N/A')", ')')}) WHERE failures > 0",
         "calendar_english": days(english, english_days, "Q"),
         "calendar_spanish": days(spanish, spanish_days, "T"),
     }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,13 +35,39 @@ def resolve_name(rows: DataFrame, text: str, members: DataFrame, member_text: st
 
     Members are joined as they come: two members with one normalised name double the rows that
     carry it (see :func:`ambiguous_names`). Which side is broadcast, if any, is left to measured size;
-    a name held by a large part of the rows is split by the adaptive skew join.
+    a name held by a large part of the rows is split by the adaptive skew join. Rows without a name
+    match nothing: they get spread keys of their own, so that they are not one hot key of the join.
     """
     names = members.select(normalize_name(F.col(member_text)).alias("_name"), F.col(member_id).alias(out))
-    keyed = rows.withColumn("_name", normalize_name(F.col(text)))
+    spread = F.concat(F.lit("-"), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("string"))  # no name has a "-"
+    keyed = rows.withColumn("_name", F.coalesce(normalize_name(F.col(text)), spread))
     return keyed.join(names, "_name", "left").drop("_name")
 
 
+def shares_unknown(members: Mapping[str, str]) -> Column:
+    """Whether a row has an unknown member in one of these columns (column -> the unknown member)."""
+    tests = [F.col(c) == unknown for c, unknown in members.items()]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def sum_unknown(rows: DataFrame, keys: Sequence[str], record: Sequence[str], members: Mapping[str, str], sums: Sequence[str]) -> DataFrame:
+    """Rows that share a key only because their names were not found, summed into one row with their number in ``records``.
+
+    ``record`` are the names as they came. Two rows of one key and one record are the same record twice, and so are two
+    rows whose members are all known: those stay as they are, for the key test to find. Other columns get their greatest
+    value. One grouping does both: known rows are grouped with their record, unknown ones without.
+    """
+    unknown = shares_unknown(members)
+    whole = F.struct(*[F.col(c) for c in record])
+    once = rows.withColumn("_copies", F.row_number().over(Window.partitionBy(*keys, *record).orderBy(*sums)))
+    single = F.when(unknown, F.lit(None)).otherwise(whole)
+    others = [c for c in rows.columns if c not in {*keys, *record, *sums}]
+    groups = once.groupBy(*keys, single.alias("_record"), "_copies").agg(
+        *[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in sums], *[F.max(c).alias(c) for c in others], F.count("*").alias("records")
+    )
+    return groups.select(*[c for c in rows.columns if c not in record], "records")
+
+
 def ambiguous_names(members: DataFrame, member_text: str, member_id: str) -> DataFrame:
     """Normalised names shared by more than one member."""
     names = members.select(normalize_name(F.col(member_text)).alias("normalized"), F.col(member_id).alias("id")).distinct()

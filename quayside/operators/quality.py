@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +40,27 @@ def relationships(frame: DataFrame, table: str, column: str, parent: DataFrame,
     return _result(orphans, table, "relationships", column, F.sum("n"))
 
 
+def cut_values(frame: DataFrame, table: str, widths: Mapping[str, int]) -> DataFrame:
+    """Values longer than the width their column is cut to: (table_name, column_name, value, length, kept, rows).
+
+    Two of them may become one after the cut; trailing blanks carry no meaning. Only long values are grouped.
+    """
+    texts = F.create_map(*[x for c in widths for x in (F.lit(c), F.rtrim(F.col(c).cast("string")))])
+    limits = F.create_map(*[x for c, w in widths.items() for x in (F.lit(c), F.lit(w))])
+    each = frame.select(F.explode(texts).alias("column_name", "value")).withColumn("width", limits[F.col("column_name")])
+    long = each.filter(F.char_length("value") > F.col("width"))
+    kept = F.substring(F.col("value"), F.lit(1), F.col("width")).alias("kept")
+    groups = long.groupBy("column_name", "value", "width").agg(F.count("*").alias("rows"))
+    return groups.select(F.lit(table).alias("table_name"), "column_name", "value", F.char_length("value").alias("length"), kept, "rows")
+
+
+def widths_fit(frame: DataFrame, table: str, widths: Mapping[str, int]) -> DataFrame:
+    """Rows with a value that would be cut, for each column."""
+    counts = frame.agg(*[F.count_if(F.char_length(F.rtrim(F.col(c).cast("string"))) > w).alias(c) for c, w in widths.items()])
+    long = counts.unpivot([], list(widths), "column_name", "failures")
+    return long.select(F.lit(table).alias("table_name"), F.lit("width").alias("test"), "column_name", "failures")
+
+
 def report(*tests: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tests)
 

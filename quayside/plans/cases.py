@@ -17,7 +17,7 @@ from quayside.plans import table_bronze as B
 from quayside.plans.star import FilterContext, Star
 from quayside.plans.table_star import read, table_star
 from quayside.session import scratch_path
-from quayside.sources import files, tables
+from quayside.sources import files, partitioned, tables
 from quayside.streaming.load import load_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +31,11 @@ def fact_partition_growth(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", F.lpad((F.col("o_custkey") % 7).cast("string"), 4, "0").alias("part"), F.col("o_totalprice").cast("decimal(20,2)").alias("value")
     )
     key = ["o_orderkey", "part"]
-    tables.upsert_partitions(spark, path, rows, key, "part")
-    tables.upsert_partitions(spark, path, rows.filter("o_orderkey % 3 = 0").withColumn("note", F.lit("x")), key, "part")
+    partitioned.upsert(spark, path, rows, key, "part")
+    partitioned.upsert(spark, path, rows.filter("o_orderkey % 3 = 0").withColumn("note", F.lit("x")), key, "part")
     raised = rows.filter("o_orderkey % 3 = 1 AND part < '0004'").withColumn("value", (F.col("value") + 1).cast("decimal(20,2)"))
-    tables.upsert_partitions(spark, path, raised, key, "part")
-    return tables.read_partitioned(spark, path, {"part": "string"}).select("o_orderkey", "part", "value", "note")
+    partitioned.upsert(spark, path, raised, key, "part")
+    return partitioned.read(spark, path).select("o_orderkey", "part", "value", "note")
 
 
 def streamed_load_late(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,7 +48,7 @@ def streamed_load_late(spark: SparkSession, sf: str) -> DataFrame:
         spark, f"{base}/landing", landed.schema, f"{base}/target", f"{base}/progress",
         ["record", "period"], "period", "loaded_at", ("metricFOB", "metricKG"), files_per_batch=1,
     )
-    return spark.read.schema(landed.schema).parquet(f"{base}/target")
+    return partitioned.read(spark, f"{base}/target")
 
 
 def approx_partners_sliced(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,20 +130,20 @@ def monthly_run_gate(spark: SparkSession, sf: str) -> DataFrame:
     """A run without an unknown member stops at the gold layer's gate: the failing tests, one row each."""
     root, bronze = scratch_path(spark, "gate"), _bronze(spark, sf)
     try:
-        build.run(spark, root, bronze, B.RUN_AT, full_refresh=True)
+        build.run(spark, root, bronze, B.RUN_AT, full_refresh=True, unknown="sum", widths=pipeline.WIDTHS)
     except quality.QualityError:
         return gold.star_tests(*build.read_gold(spark, root)).filter("failures > 0")
     raise AssertionError("the gate let unmatched names pass")
 
 
 def _gold_fact(spark: SparkSession, root: str) -> DataFrame:
-    return tables.read_partitioned(spark, f"{root}/gold/fact_trades", {"trade_date": "date"}).select(*gold.FACT_COLUMNS)
+    return partitioned.read(spark, f"{root}/gold/fact_trades").select(*gold.FACT_COLUMNS)
 
 
 def monthly_run_full(spark: SparkSession, sf: str) -> DataFrame:
     """One whole run from bronze to checked gold: silver, its tests, gold, its tests; the fact table."""
     root = scratch_path(spark, "run")
-    build.run(spark, root, _bronze(spark, sf, True), B.RUN_AT, full_refresh=True, unknown_member=True)
+    build.run(spark, root, _bronze(spark, sf, True), B.RUN_AT, full_refresh=True, unknown_member=True, unknown="sum", widths=pipeline.WIDTHS)
     return _gold_fact(spark, root)
 
 
@@ -153,8 +153,8 @@ def monthly_run_incremental(spark: SparkSession, sf: str) -> DataFrame:
     root, bronze = scratch_path(spark, "runs"), _bronze(spark, sf, True)
     early = F.concat("year", F.lit("-"), "monthNumber") <= pipeline.CUT.strftime("%Y-%m")
     first = replace(bronze, exports=bronze.exports.filter(early), imports=bronze.imports.filter(early))
-    build.run(spark, root, first, B.RUN_AT, unknown_member=True)
-    build.run(spark, root, bronze, B.RUN_AT, unknown_member=True)
+    build.run(spark, root, first, B.RUN_AT, unknown_member=True, unknown="sum", widths=pipeline.WIDTHS)
+    build.run(spark, root, bronze, B.RUN_AT, unknown_member=True, unknown="sum", widths=pipeline.WIDTHS)
     return _gold_fact(spark, root).drop("fob_value_real")
 
 

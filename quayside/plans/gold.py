@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +11,8 @@ from quayside.functions.text import char, varchar
 from quayside.operators import quality
 from quayside.operators.incremental import newer_than
 from quayside.operators.inflation import deflate, latest_index
-from quayside.plans.silver import run_time
+from quayside.plans.silver import FACT_KEY, WIDTHS, Widths, run_time
 
-FACT_KEY = ("trade_date", "city_id", "trade_country_id", "product_category_id", "trade_flag")
 FACT_COLUMNS = (*FACT_KEY[:4], "fob_value", "fob_value_real", "net_weight", "trade_flag", "created_at")
 
 
@@ -23,16 +22,19 @@ def fact_trades(
     index: DataFrame,
     run_at: datetime | None = None,
     target: DataFrame | None = None,
+    since: date | None = None,
 ) -> DataFrame:
     """Both directions with real values; nothing at all when there is no index.
 
-    With a ``target`` only months from its latest on are built, and real values of older rows stay
+    With a ``target``, or its mark in ``since``, only months from its latest on are built, and real values of older rows stay
     as they were written. Without one, everything is recomputed with the latest index.
     """
     columns = [*FACT_KEY[:4], "fob_value", "net_weight", "trade_flag"]
     sides = [s.select(*columns) for s in (imports, exports)]
     if target is not None:
         sides = [newer_than(s, target, "trade_date", or_equal=True) for s in sides]
+    if since is not None:
+        sides = [s.filter(F.col("trade_date") >= F.lit(since)) for s in sides]
     united = sides[0].unionByName(sides[1]).filter(latest_index(index).scalar().isNotNull())
     return deflate(united, index).withColumn("created_at", run_time(run_at)).select(*FACT_COLUMNS)
 
@@ -46,10 +48,10 @@ def dim_countries(silver: DataFrame, run_at: datetime | None = None) -> DataFram
     return silver.select("country_id", "country_name", run_time(run_at).alias("created_at"))
 
 
-def dim_product_categories(seed: DataFrame) -> DataFrame:
+def dim_product_categories(seed: DataFrame, widths: Widths = WIDTHS) -> DataFrame:
     return seed.select(
-        char(F.col("product_category_id"), 4).alias("product_category_id"),
-        varchar(F.col("product_category_name"), 100).alias("product_category_name"),
+        char(F.col("product_category_id"), widths.heading).alias("product_category_id"),
+        varchar(F.col("product_category_name"), widths.name).alias("product_category_name"),
         F.col("product_category_description").cast("string").alias("product_category_description"),
     )
 

@@ -18,22 +18,34 @@ from quayside.plans import gold, silver
 from quayside.plans import table_bronze as B
 from quayside.plans.table_star import price_index, read, trade_lines
 from quayside.session import scratch_path
-from quayside.sources import files, responses, tables
+from quayside.sources import files, partitioned, responses, tables
 from quayside.streaming.load import load_landed
 
-CITY_ID_WIDTH = 19  # customer numbers are longer than the seven digits of a city code
+# customer numbers and part types are longer than the codes they stand for
+WIDTHS = silver.Widths(city=19, heading=25)
 CUT = date(2000, 12, 1)
 
 
 def silver_side(spark: SparkSession, sf: str, flag: str, target: DataFrame | None = None) -> DataFrame:
     cities = latest_per_key(B.bronze_cities(spark, sf), ["id"])  # bronze holds a copy per load
     countries = B.country_names(spark, sf)
-    return silver.silver_trades(B.bronze_trades(spark, sf, flag), cities, countries, flag, B.RUN_AT, target)
+    return silver.silver_trades(B.bronze_trades(spark, sf, flag), cities, countries, flag, B.RUN_AT, target, WIDTHS)
+
+
+def unknown_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Exports that meet on a key only because their city is not known: how many keys and records, and their values."""
+    cities, countries = latest_per_key(B.bronze_cities(spark, sf), ["id"]), B.country_names(spark, sf)
+    return silver.unknown_report(silver.resolved_trades(B.bronze_trades(spark, sf, "exp"), cities, countries, "exp", B.RUN_AT, widths=WIDTHS))
+
+
+def cut_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts that four-letter headings and ten-letter names would cut, with what would be left of them."""
+    return quality.cut_values(B.product_seed(spark, sf), "seed_product_categories", {"product_category_id": 4, "product_category_description": 18})
 
 
 def cities_silver(spark: SparkSession, sf: str) -> DataFrame:
     return silver.silver_cities(
-        B.bronze_cities(spark, sf), B.bronze_states(spark, sf), B.state_regions(spark, sf), B.RUN_AT, id_width=CITY_ID_WIDTH
+        B.bronze_cities(spark, sf), B.bronze_states(spark, sf), B.state_regions(spark, sf), B.RUN_AT, widths=WIDTHS
     )
 
 
@@ -94,7 +106,7 @@ def gold_quality(spark: SparkSession, sf: str) -> DataFrame:
     run_at = silver.run_time(B.RUN_AT)
     cities = quality.with_unknown_member(gold.dim_cities(cities_silver(spark, sf), B.RUN_AT), "city_id", created_at=run_at)
     countries = quality.with_unknown_member(gold.dim_countries(countries_silver(spark, sf), B.RUN_AT), "country_id", created_at=run_at)
-    products = gold.dim_product_categories(B.product_seed(spark, sf))
+    products = gold.dim_product_categories(B.product_seed(spark, sf), WIDTHS)
     return gold.star_tests(tables.stored(fact(spark, sf), "fact"), cities, countries, products)
 
 
@@ -217,11 +229,11 @@ def fact_partition_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """First load up to a cut month, then the months from it on with corrected weights, by month partition."""
     path = scratch_path(spark, "fact")
     rows = _grain(spark, sf)
-    tables.upsert_partitions(spark, path, rows.filter(F.col("trade_date") <= F.lit(CUT)), gold.FACT_KEY, "trade_date")
+    partitioned.upsert(spark, path, rows.filter(F.col("trade_date") <= F.lit(CUT)), gold.FACT_KEY, "trade_date")
     later = rows.filter(F.col("trade_date") >= F.lit(CUT))
     later = later.withColumn("net_weight", (F.col("net_weight") + 1).cast("decimal(20,2)"))
-    tables.upsert_partitions(spark, path, later, gold.FACT_KEY, "trade_date")
-    return spark.read.parquet(path).select(*gold.FACT_KEY, "fob_value", "net_weight")
+    partitioned.upsert(spark, path, later, gold.FACT_KEY, "trade_date")
+    return partitioned.read(spark, path).select(*gold.FACT_KEY, "fob_value", "net_weight")
 
 
 def landed_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,7 +256,7 @@ def streamed_load(spark: SparkSession, sf: str) -> DataFrame:
             spark, f"{base}/landing", schema, f"{base}/target", f"{base}/progress",
             ["record", "period"], "period", "loaded_at", ("metricFOB", "metricKG"),
         )
-    return spark.read.schema(schema).parquet(f"{base}/target")
+    return partitioned.read(spark, f"{base}/target")
 
 
 def landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,7 +292,7 @@ def pipeline_queries():
         "fact_trades_incremental": fact_since,
         "dim_cities_insert_only": dim_cities_with_new,
         "dim_countries": lambda s, sf: gold.dim_countries(countries_silver(s, sf), B.RUN_AT),
-        "dim_product_categories": lambda s, sf: gold.dim_product_categories(B.product_seed(s, sf)),
+        "dim_product_categories": lambda s, sf: gold.dim_product_categories(B.product_seed(s, sf), WIDTHS),
         "quality_silver": silver_quality,
         "quality_gold": gold_quality,
         "quality_orders": order_quality,
@@ -300,4 +312,6 @@ def pipeline_queries():
         "streamed_load": streamed_load,
         "landing_round_trip": landing_round_trip,
         "chapter_headings": chapter_headings,
+        "unknown_members": unknown_members,
+        "cut_values": cut_values,
     }

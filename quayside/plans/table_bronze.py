@@ -125,7 +125,7 @@ def bronze_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = read(spark, sf_dir, "part").select("p_type").distinct()
     return kinds.select(
-        F.left("p_type", F.lit(4)).alias("product_category_id"),
+        F.col("p_type").alias("product_category_id"),
         F.col("p_type").alias("product_category_name"),
         F.concat(F.lit("Parts of type "), F.lower("p_type")).alias("product_category_description"),
     )

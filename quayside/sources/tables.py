@@ -1,25 +1,25 @@
-"""Parquet tables: snapshot, append, partition upsert, and versioned upsert."""
+"""Parquet tables: snapshot, append, and versioned upsert; partitioned ones are in ``partitioned``."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.cleansing import latest_per_key
 from quayside.operators.incremental import insert_new, merge, require_unique
 from quayside.session import scratch_path
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its form."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs(spark, path)
+    fs, jpath = file_system(spark, path)
     return fs.exists(jpath)
 
 
@@ -28,16 +28,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def read_partitioned(spark: SparkSession, path: str, partition_types: Mapping[str, T.DataType | str]) -> DataFrame:
-    """A partitioned table with the columns of all its files, and partition values of the declared types.
-
-    Without that a column that only some months have may be missed, and the text ``0301`` read as a number.
-    """
-    found = spark.read.option("mergeSchema", "true").parquet(path).schema
-    types = {n: T.DataType.fromDDL(t) if isinstance(t, str) else t for n, t in partition_types.items()}
-    return spark.read.schema(T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found])).parquet(path)
-
-
 def write_snapshot(frame: DataFrame, path: str) -> None:
     """Replace the whole table."""
     frame.write.mode("overwrite").parquet(path)
@@ -51,57 +41,17 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 
 def append(frame: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
-    _sized(frame, partition).write.mode("append").partitionBy(*partition).parquet(path)
+    sized(frame, partition).write.mode("append").partitionBy(*partition).parquet(path)
 
 
-def _sized(frame: DataFrame, partition: Sequence[str]) -> DataFrame:
+def sized(frame: DataFrame, partition: Sequence[str]) -> DataFrame:
     """Rows of one partition together, but a large partition over several tasks and files."""
     return frame.hint("rebalance", *[F.col(c) for c in partition]) if partition else frame
 
 
-def upsert_partitions(
-    spark: SparkSession,
-    path: str,
-    new: DataFrame,
-    keys: Sequence[str],
-    partition: str,
-    replace: bool = False,
-    newest: str | None = None,
-    ties: Sequence[str] = (),
-) -> None:
-    """Merge into a partitioned table, rewriting only the partitions the new rows touch.
-
-    The partition column must be one of the keys. The new rows are computed once and stored, because
-    the key check, the merge and the write all read them. Only partitions between the first and the last
-    touched one are listed and read. Nothing visible changes until all tasks have written; a lost executor
-    only repeats its tasks, but the commit puts partitions in place one by one. ``replace`` rebuilds the
-    whole table. With ``newest`` the row that is newest by that column wins, else the new one.
-    """
-    if partition not in keys:
-        raise ValueError("the partition column must be part of the key")
-    new = stored(new, "merge")
-    require_unique(new, keys)
-    merged = new
-    touched = new.select(partition).distinct()
-    first, last = touched.agg(F.min(partition), F.max(partition)).first()
-    if first is None and not replace and new.isEmpty():
-        return  # nothing came, as from a file without rows
-    if not replace and exists(spark, path):
-        old = read_partitioned(spark, path, {partition: new.schema[partition].dataType})
-        old = old.filter(F.col(partition).between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)).join(touched, partition, "left_semi")
-        merged = latest_per_key(old.unionByName(new, allowMissingColumns=True), keys, newest, ties) if newest else merge(old, new, keys)
-    (
-        _sized(merged, [partition])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace else "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions, oldest first."""
-    fs, _ = _fs(spark, path)
+    fs, _ = file_system(spark, path)
     done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS"))
     return sorted(int(str(s.getPath().getParent().getName()).split("=")[1]) for s in done or [])
 

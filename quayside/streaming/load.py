@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quayside.operators.cleansing import latest_per_key
-from quayside.sources.tables import upsert_partitions
+from quayside.sources import partitioned
 
 
 def load_landed(
@@ -32,7 +32,7 @@ def load_landed(
 
     def merge_batch(batch: DataFrame, _: int) -> None:
         rows = latest_per_key(batch, keys, newest, ties)
-        upsert_partitions(batch.sparkSession, target, rows, keys, partition, newest=newest, ties=ties)
+        partitioned.upsert(batch.sparkSession, target, rows, keys, partition, newest=newest, ties=ties)
 
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     query = rows.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

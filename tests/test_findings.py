@@ -13,7 +13,7 @@ from quayside.operators.incremental import DuplicateKeys
 from quayside.plans import measures as M
 from quayside.plans.star import FilterContext
 from quayside.plans.table_star import table_star
-from quayside.sources import tables
+from quayside.sources import partitioned, tables
 from quayside.streaming.load import load_landed
 
 
@@ -32,10 +32,10 @@ def test_names_of_all_latin_letters(spark):
 def test_partition_keeps_new_columns_and_text_keys(spark, tmp_path):
     path = str(tmp_path / "t")
     make = lambda rows, schema: spark.createDataFrame(rows, schema)
-    tables.upsert_partitions(spark, path, make([(1, "0301"), (2, "0302")], "k int, h string"), ["k", "h"], "h")
-    tables.upsert_partitions(spark, path, make([(1, "0301", "x")], "k int, h string, note string"), ["k", "h"], "h")
-    tables.upsert_partitions(spark, path, make([(3, "0301")], "k int, h string"), ["k", "h"], "h")
-    got = sorted(map(tuple, tables.read_partitioned(spark, path, {"h": "string"}).select("k", "h", "note").collect()))
+    partitioned.upsert(spark, path, make([(1, "0301"), (2, "0302")], "k int, h string"), ["k", "h"], "h")
+    partitioned.upsert(spark, path, make([(1, "0301", "x")], "k int, h string, note string"), ["k", "h"], "h")
+    partitioned.upsert(spark, path, make([(3, "0301")], "k int, h string"), ["k", "h"], "h")
+    got = sorted(map(tuple, partitioned.read(spark, path).select("k", "h", "note").collect()))
     assert got == [(1, "0301", "x"), (2, "0302", None), (3, "0301", None)]
 
 
@@ -44,7 +44,7 @@ def test_older_copy_in_a_later_file_changes_nothing(spark, tmp_path):
     for stamp in (2, 1):
         spark.createDataFrame([(1, "a", f"v{stamp}", stamp)], schema).write.mode("append").parquet(str(tmp_path / "landing"))
         load_landed(spark, str(tmp_path / "landing"), schema, str(tmp_path / "t"), str(tmp_path / "c"), ["k", "p"], "p", "loaded_at", files_per_batch=1)
-    assert [r.v for r in spark.read.parquet(str(tmp_path / "t")).collect()] == ["v2"]
+    assert [r.v for r in partitioned.read(spark, str(tmp_path / "t")).collect()] == ["v2"]
 
 
 def test_doubled_members_are_refused(spark, tmp_path):

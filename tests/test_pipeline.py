@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quayside.operators import cleansing, incremental, inflation, quality
 from quayside.plans import build, gold, silver
 from quayside.plans import measures as M
-from quayside.sources import files, tables
+from quayside.sources import files, partitioned, tables
 
 RAW = "noMunMinsgUf string, year string, monthNumber string, country string, state string, headingCode string, heading string, metricFOB string, metricKG string, ingested_at timestamp_ntz, loaded_at timestamp_ntz"
 T1, T2, T3 = (dt.datetime(2024, m, 1) for m in (1, 2, 3))
@@ -188,13 +188,15 @@ def test_interrupted_version_is_not_read(spark, tmp_path):
 
 def test_partition_upsert_touches_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
-    tables.upsert_partitions(spark, path, kv(spark, (1, "a"), (2, "b")), ["k", "v"], "v")
-    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "v=a").iterdir()}
-    tables.upsert_partitions(spark, path, kv(spark, (2, "b"), (3, "b"), (4, "c")), ["k", "v"], "v")
-    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "v=a").iterdir()} == before
-    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
+    partitioned.upsert(spark, path, kv(spark, (1, "a"), (2, "b")), ["k", "v"], "v")
+    before = partitioned.version(spark, path)
+    partitioned.upsert(spark, path, kv(spark, (2, "b"), (3, "b"), (4, "c")), ["k", "v"], "v")
+    after = partitioned.version(spark, path)
+    assert [n for n in after.folders if after.folders[n] == before.folders.get(n)] == ["v=a"]
+    assert sorted(r.k for r in partitioned.read(spark, path).collect()) == [1, 2, 3, 4]
+    assert sorted(r.k for r in partitioned.read(spark, path, before).collect()) == [1, 2]
     with pytest.raises(ValueError):
-        tables.upsert_partitions(spark, path, kv(spark, (1, "a")), ["k"], "v")
+        partitioned.upsert(spark, path, kv(spark, (1, "a")), ["k"], "v")
 
 
 def test_insert_only_members_keep_their_name(spark):

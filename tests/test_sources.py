@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from quayside.operators import cleansing
-from quayside.sources import files, responses, tables
+from quayside.sources import files, partitioned, responses, tables
 from quayside.streaming.load import load_landed
 
 
@@ -65,7 +65,7 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     def land(*rows):
         tables.append(spark.createDataFrame(list(rows), schema), where["landing"])
         load_landed(spark, where["landing"], schema, where["target"], where["progress"], ["k", "period"], "period", "loaded_at")
-        return sorted((r.k, r.v) for r in spark.read.schema(schema).parquet(where["target"]).collect())
+        return sorted((r.k, r.v) for r in partitioned.read(spark, where["target"]).collect())
 
     assert land((1, "2024-01", "a", 1), (1, "2024-01", "b", 2), (2, "2024-02", "c", 1)) == [(1, "b"), (2, "c")]
     assert land((2, "2024-02", "d", 2), (3, "2024-02", "e", 1)) == [(1, "b"), (2, "d"), (3, "e")]
