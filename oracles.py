@@ -803,10 +803,6 @@ def case_sql() -> dict[str, str]:
         "CAST(CAST(o_totalprice AS DECIMAL(20,2)) + CASE WHEN o_orderkey % 3 = 1 AND o_custkey % 7 < 4 THEN 1 ELSE 0 END AS DECIMAL(20,2)) AS value, "
         "CASE WHEN o_orderkey % 3 = 0 THEN 'x' END AS note FROM orders",
         "streamed_load_late": late,
-        "approx_partners_sliced": trades_query(
-            "SELECT year, count(DISTINCT country_id) FILTER (WHERE flag = 'exp') AS exports_members, count(DISTINCT country_id) FILTER (WHERE flag = 'imp') AS imports_members "
-            "FROM trades WHERE year IN (1997, 1998) AND region = 'ASIA' GROUP BY year"
-        ),
         "price_share_by_year": trades_query(
             f"SELECT year, round(price, 6) AS export_price, round(price / (SELECT {div(EXP, EXP_KG)} FROM trades), 6) AS share FROM g",
             f"g AS (SELECT year, {div(EXP, EXP_KG)} AS price FROM trades GROUP BY year)",
@@ -837,5 +833,54 @@ def case_sql() -> dict[str, str]:
     }
 
 
+def upkeep_sql() -> dict[str, str]:
+    since, slice_ = "DATE '2000-12-01'", "FROM trades WHERE year IN (1996, 1997, 1998) AND region IN ('ASIA', 'EUROPE') GROUP BY year"
+    state = "count(*) AS rows, count(DISTINCT trade_date) AS months, CAST(sum(kg{}) AS DECIMAL(38,2)) AS kg FROM grain"
+    members = lambda c: {n: f"count(DISTINCT {c}) FILTER (WHERE flag = '{f}')" for f, n in (("exp", "exports"), ("imp", "imports"))}
+    cities, countries = members("city_id"), members("country_id")
+    years = "SELECT strftime(trade_date, '%Y') AS year, coalesce(city, '-') || '|' || country || '|' || coalesce(hc, '-') AS record, trade_date FROM bronze WHERE flag = 'imp'"
+    rolled = (
+        "rolled AS (SELECT trade_date, CAST(nk AS VARCHAR) AS trade_country_id, hc AS product_category_id, flag AS trade_flag, CAST(sum(fob) AS DECIMAL(38,2)) AS fob_value, "
+        f"CAST(sum(CAST(fob * ratio AS DECIMAL(38,4))) AS DECIMAL(38,4)) AS fob_value_real, CAST(sum(kg + CASE WHEN trade_date >= {since} THEN 1 ELSE 0 END) AS DECIMAL(38,2)) AS net_weight "
+        "FROM grain LEFT JOIN ratios ON trade_date = cpi_date GROUP BY ALL)"
+    )
+    pages = (
+        "pages AS (SELECT event_id AS e, CASE event_id % 10 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no record list' WHEN 3 THEN 'empty' ELSE 'accepted' END AS reason, "
+        "CASE WHEN event_id % 10 < 5 AND event_id % 10 > 0 THEN 0 ELSE 1 END AS n FROM events)"
+    )
+    return {
+        "fact_partition_pointer": (
+            f"WITH {BRONZE} SELECT 'lost' AS state, {state.format('')} WHERE trade_date <= {since} UNION ALL SELECT 'earlier', {state.format('')} WHERE trade_date <= {since} "
+            f"UNION ALL SELECT 'repeated', {state.format(f' + CASE WHEN trade_date >= {since} THEN 1 ELSE 0 END')}"
+        ),
+        "loads_after_stop": (
+            f"WITH {BRONZE}, y AS ({years}) SELECT year, 'import' AS flow, CAST(1 AS BIGINT) AS ledger_rows, count(DISTINCT (record, trade_date)) AS records, "
+            "CAST((SELECT count(DISTINCT year) FROM y WHERE year >= '1996') AS INTEGER) AS loaded_late, 0 AS loaded_again FROM y GROUP BY year"
+        ),
+        "rollup_after_loads": f"WITH {BRONZE}, {indices()}, {rolled} SELECT *, CAST((SELECT count(DISTINCT trade_date) FROM grain WHERE trade_date >= {since}) AS INTEGER) AS months_again FROM rolled",
+        "rollup_report": trades_query(f"SELECT year, country_name, {EXP} AS exports, {minus(EXP, IMP)} AS balance, {minus(EXP_REAL, IMP_REAL)} AS balance_real FROM trades GROUP BY year, country_name"),
+        "approx_partners_sliced": trades_query(
+            f"SELECT year, {countries['exports']} AS exports_members, {countries['imports']} AS imports_members FROM trades WHERE year IN (1997, 1998) AND region = 'ASIA' GROUP BY year"
+        ),
+        "partners_by_slice": trades_query(
+            "SELECT year, " + ", ".join(f"{c} AS {n}_members, {c} AS {n}_estimate, true AS {n}_within" for n, c in countries.items()) + f" {slice_}"
+        ),
+        "cities_by_slice": trades_query("SELECT year, " + ", ".join(f"{c} AS {n}_members, true AS {n}_within" for n, c in cities.items()) + f" {slice_}"),
+        "category_exports_of_top_countries": trades_query(
+            f"SELECT product_category_name, {EXP} AS exports FROM trades JOIN best USING (country_name) GROUP BY 1",
+            f"best AS (SELECT country_name FROM trades WHERE country_name IS NOT NULL GROUP BY 1 QUALIFY rank() OVER (ORDER BY {EXP} DESC NULLS LAST) <= 10)",
+        ),
+        "exports_of_best_state_years": trades_query(
+            f"SELECT product_category_name, {EXP} AS exports, {IMP} AS imports FROM trades JOIN pairs USING (state_name, year) WHERE year IN (1996, 1997, 1998) GROUP BY 1",
+            f"pairs AS (SELECT state_name, year FROM trades GROUP BY ALL HAVING {EXP} > 1000000)",
+        ),
+        "rejected_pages": f"WITH {pages} SELECT reason, count(*) AS pages, min('page-' || e) AS first_path, CAST(sum(n) AS BIGINT) AS records FROM pages GROUP BY reason",
+        "unreadable_values": (
+            "SELECT event_type, 'amount' AS column_name, 'decimal(20,2)' AS type, count(*) AS rows, min('x' || event_id) AS first_value FROM events WHERE event_id % 9 = 0 GROUP BY event_type"
+        ),
+        "empty_manifest": f"SELECT 'before' AS state, CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS files UNION ALL SELECT 'after', count(*), count(DISTINCT path) FROM ({pipeline_sql()['landing_manifest']})",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**report_sql(), **pipeline_sql(), **calendar_queries_sql(), **narrative_sql(), **case_sql()}
+    return {**report_sql(), **pipeline_sql(), **calendar_queries_sql(), **narrative_sql(), **case_sql(), **upkeep_sql()}

@@ -40,6 +40,38 @@ def relationships(frame: DataFrame, table: str, column: str, parent: DataFrame,
     return _result(orphans, table, "relationships", column, F.sum("n"))
 
 
+def suite(frame: DataFrame, table: str, columns: Sequence[str], keys: Sequence[str] = (), parents: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """:func:`not_null`, :func:`unique` and :func:`relationships` of a table from one read of it.
+
+    Rows are grouped by the key, with its copies and missing values counted, which is the exchange the key test needs
+    anyway. Each group then gives one row for the totals and one for each foreign key, which are summed by value
+    before any exchange and meet the parents' keys in one join.
+    """
+    parents = dict(parents or {})
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)]
+    groups = frame.groupBy(*keys).agg(F.count("*").alias("_n"), *nulls) if keys else frame.agg(F.count("*").alias("_n"), *nulls)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
+    twice = (known & (F.col("_n") > 1)).cast("long") if keys else F.lit(0).cast("long")
+    counts = [F.col(f"_null_{i}").cast("long") for i in range(len(columns))]
+    none = F.lit(0).cast("long")
+    rows = [F.struct(F.lit("").alias("fk"), F.lit(None).cast("string").alias("value"), none.alias("n"), twice.alias("twice"), *[c.alias(f"c{i}") for i, c in enumerate(counts)])]
+    for fk in parents:
+        rows.append(F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("value"), F.col("_n").cast("long").alias("n"), none.alias("twice"), *[none.alias(f"c{i}") for i in range(len(counts))]))
+    summed = ["n", "twice", *[f"c{i}" for i in range(len(counts))]]
+    each = groups.select(F.inline(F.array(*rows))).groupBy("fk", "value").agg(*[F.sum(c).alias(c) for c in summed])
+    if parents:
+        known_keys = reduce(DataFrame.unionByName, [p.select(F.lit(fk).alias("fk"), F.col(k).cast("string").alias("value")) for fk, (p, k) in parents.items()])
+        each = each.join(known_keys.distinct().withColumn("found", F.lit(1)), ["fk", "value"], "left")
+        lost = F.when(F.col("found").isNull() & F.col("value").isNotNull(), F.col("n"))
+    else:
+        lost = none
+    total = each.agg(*[F.sum(c).alias(c) for c in summed[1:]], *[F.sum(F.when(F.col("fk") == fk, lost)).alias(f"fk{i}") for i, fk in enumerate(parents)])
+    tests = [("not_null", c, f"c{i}") for i, c in enumerate(columns)] + ([("unique", ", ".join(keys), "twice")] if keys else [])
+    tests += [("relationships", fk, f"fk{i}") for i, fk in enumerate(parents)]
+    found = [F.struct(F.lit(t).alias("test"), F.lit(c).alias("column_name"), F.coalesce(F.col(v), none).alias("failures")) for t, c, v in tests]
+    return total.select(F.inline(F.array(*found))).select(F.lit(table).alias("table_name"), "test", "column_name", "failures")
+
+
 def cut_values(frame: DataFrame, table: str, widths: Mapping[str, int]) -> DataFrame:
     """Values longer than the width their column is cut to: (table_name, column_name, value, length, kept, rows).
 

@@ -16,6 +16,7 @@ from quayside.plans.cases import case_queries
 from quayside.plans.pipeline import pipeline_queries
 from quayside.plans.star import FilterContext, Star
 from quayside.plans.table_star import read, table_star
+from quayside.plans.upkeep import upkeep_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATEGORY = R.CATEGORY
@@ -152,4 +153,4 @@ def calendar_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return {**report_queries(), **pipeline_queries(), **calendar_queries(), **case_queries()}
+    return {**report_queries(), **pipeline_queries(), **calendar_queries(), **case_queries(), **upkeep_queries()}

@@ -57,20 +57,14 @@ def dim_product_categories(seed: DataFrame, widths: Widths = WIDTHS) -> DataFram
 
 
 def star_tests(fact: DataFrame, cities: DataFrame, countries: DataFrame, products: DataFrame) -> DataFrame:
-    """Data tests of the gold layer."""
+    """Data tests of the gold layer; the fact is read once for all of its tests."""
     q = quality
+    parents = {"city_id": (cities, "city_id"), "trade_country_id": (countries, "country_id"), "product_category_id": (products, "product_category_id")}
     return q.report(
-        q.not_null(fact, "fact_trades", [c for c in FACT_COLUMNS if c != "fob_value_real"]),
-        q.unique(fact, "fact_trades", FACT_KEY),
-        q.relationships(fact, "fact_trades", "city_id", cities, "city_id"),
-        q.relationships(fact, "fact_trades", "trade_country_id", countries, "country_id"),
-        q.relationships(fact, "fact_trades", "product_category_id", products, "product_category_id"),
-        q.not_null(cities, "dim_cities", cities.columns),
-        q.unique(cities, "dim_cities", ["city_id"]),
-        q.not_null(countries, "dim_countries", countries.columns),
-        q.unique(countries, "dim_countries", ["country_id"]),
-        q.not_null(products, "dim_product_categories", products.columns),
-        q.unique(products, "dim_product_categories", ["product_category_id"]),
+        q.suite(fact, "fact_trades", [c for c in FACT_COLUMNS if c != "fob_value_real"], FACT_KEY, parents),
+        q.suite(cities, "dim_cities", cities.columns, ["city_id"]),
+        q.suite(countries, "dim_countries", countries.columns, ["country_id"]),
+        q.suite(products, "dim_product_categories", products.columns, ["product_category_id"]),
     )
 
 
@@ -89,14 +83,9 @@ def silver_tests(exports: DataFrame, imports: DataFrame, cities: DataFrame, coun
     """Data tests of the silver layer."""
     q = quality
     return q.report(
-        q.not_null(exports, "silver_exports", exports.columns),
-        q.unique(exports, "silver_exports", FACT_KEY),
-        q.not_null(imports, "silver_imports", imports.columns),
-        q.unique(imports, "silver_imports", FACT_KEY),
-        q.not_null(cities, "silver_cities", cities.columns),
-        q.unique(cities, "silver_cities", ["city_id"]),
-        q.not_null(countries, "silver_countries", countries.columns),
-        q.unique(countries, "silver_countries", ["country_id"]),
-        q.not_null(index, "silver_cpi", index.columns),
-        q.unique(index, "silver_cpi", ["cpi_date"]),
+        q.suite(exports, "silver_exports", exports.columns, FACT_KEY),
+        q.suite(imports, "silver_imports", imports.columns, FACT_KEY),
+        q.suite(cities, "silver_cities", cities.columns, ["city_id"]),
+        q.suite(countries, "silver_countries", countries.columns, ["country_id"]),
+        q.suite(index, "silver_cpi", index.columns, ["cpi_date"]),
     )

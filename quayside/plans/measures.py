@@ -132,15 +132,6 @@ def members_by_flag(star: Star, member: str, by: list[str], ctx: FilterContext =
     return seen.groupBy(*by).agg(F.sum("e").alias("exports_members"), F.sum("i").alias("imports_members"))
 
 
-def approximate_members(star: Star, member: str, by: list[str], ctx: FilterContext = EVERYTHING) -> DataFrame:
-    """Opt-in estimate of :func:`members_by_flag` in one shuffle; ``by`` holds keys or periods."""
-    def seen(flag: str) -> Column:
-        return F.approx_count_distinct(F.when(F.col("trade_flag") == flag, F.col(member)))
-
-    rows = star.filtered([member, *by], ctx.without("trade_flag"))
-    return rows.groupBy(*by).agg(seen("exp").alias("exports_members"), seen("imp").alias("imports_members"))
-
-
 def data_span(star: Star) -> DataFrame:
     """First and last month of the unfiltered fact."""
     return star.fact().agg(F.min("trade_date").alias("first_month"), F.max("trade_date").alias("last_month"))

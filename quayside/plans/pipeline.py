@@ -39,7 +39,7 @@ def unknown_members(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cut_values(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts that four-letter headings and ten-letter names would cut, with what would be left of them."""
+    """Texts that headings of four letters and descriptions of 18 would cut, with what would be left of them."""
     return quality.cut_values(B.product_seed(spark, sf), "seed_product_categories", {"product_category_id": 4, "product_category_description": 18})
 
 
@@ -96,18 +96,19 @@ def dim_cities_with_new(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_quality(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver tests on written tables: each is built once, whatever the number of tests."""
-    sides = [tables.stored(silver_side(spark, sf, f), f"silver-{f}") for f in ("exp", "imp")]
+    """Silver tests: each table is built and read once, whatever the number of tests."""
+    sides = [silver_side(spark, sf, f) for f in ("exp", "imp")]
     return gold.silver_tests(*sides, cities_silver(spark, sf), countries_silver(spark, sf), index_silver(spark, sf))
 
 
 def gold_quality(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold tests on the written fact, with an unknown member in both name-resolved dimensions."""
+    """Gold tests, with an unknown member in both name-resolved dimensions; those are read as parents, too."""
     run_at = silver.run_time(B.RUN_AT)
     cities = quality.with_unknown_member(gold.dim_cities(cities_silver(spark, sf), B.RUN_AT), "city_id", created_at=run_at)
     countries = quality.with_unknown_member(gold.dim_countries(countries_silver(spark, sf), B.RUN_AT), "country_id", created_at=run_at)
     products = gold.dim_product_categories(B.product_seed(spark, sf), WIDTHS)
-    return gold.star_tests(tables.stored(fact(spark, sf), "fact"), cities, countries, products)
+    dims = [tables.stored(d, "dimension") for d in (cities, countries, products)]
+    return gold.star_tests(fact(spark, sf), *dims)
 
 
 def order_quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -35,11 +35,12 @@ def owner(attribute: str) -> str | None:
 
 @dataclass(frozen=True)
 class FilterContext:
-    """Slicer choices: allowed members per attribute, and a range of months (both ends included)."""
+    """Slicer choices: allowed members per attribute, a range of months (both ends included), and tables of members."""
 
     members: Mapping[str, tuple] = field(default_factory=dict)
     date_from: date | None = None
     date_to: date | None = None
+    tables: tuple[DataFrame, ...] = ()
 
     def where(self, **members: Iterable) -> FilterContext:
         """Keep these members; a second choice on the same attribute replaces the first."""
@@ -52,11 +53,21 @@ class FilterContext:
             merged[k] = tuple(m for m in v if k not in merged or m in merged[k])
         return replace(self, members=merged)
 
+    def matching(self, table: DataFrame, keep: bool = False) -> FilterContext:
+        """Keep facts whose members are a row of ``table``, which has an attribute, key or period in each column.
+
+        As in a calculation over a table, earlier choices on its columns are replaced; with ``keep`` they stay, and
+        both count. The table is never collected: it meets the facts in a semi join below the grouping.
+        """
+        base = self if keep else replace(self.without(*table.columns), tables=tuple(t for t in self.tables if not set(t.columns) & set(table.columns)))
+        return replace(base, tables=(*base.tables, table))
+
     def without(self, *attributes: str) -> FilterContext:
         return replace(self, members={k: v for k, v in self.members.items() if k not in attributes})
 
     def without_dates(self) -> FilterContext:
-        return replace(self.without("trade_date", *PERIODS), date_from=None, date_to=None)
+        dates = {"trade_date", *PERIODS}
+        return replace(self.without(*dates), date_from=None, date_to=None, tables=tuple(t for t in self.tables if not dates & set(t.columns)))
 
     def without_lower_date(self) -> FilterContext:
         """Everything up to the last chosen period."""
@@ -79,7 +90,7 @@ class FilterContext:
 
     @property
     def empty(self) -> bool:
-        return not self.members and self.date_from is None and self.date_to is None
+        return not self.members and not self.tables and self.date_from is None and self.date_to is None
 
 
 EVERYTHING = FilterContext()
@@ -102,6 +113,9 @@ class Star:
     a broadcast hint: the planner broadcasts a dimension only below its measured size threshold.
     A lone key with a :class:`Bridge` is summed by the bridge's source key before the bridge is joined,
     unless a period is grouped too.
+
+    ``rollup`` holds the fact's sums by some of its keys (see ``plans.rollup``); it stands in for the fact wherever a
+    query needs no other key.
     """
 
     def __init__(
@@ -111,15 +125,21 @@ class Star:
         countries: DataFrame,
         products: DataFrame,
         bridges: Mapping[str, Bridge] | None = None,
+        rollup: DataFrame | None = None,
     ):
         self._fact = fact
+        self.rollup = rollup
         self.bridges = dict(bridges or {})
         self.dims = {"city": cities, "country": countries, "product": products}
 
     def fact(self, keys: Iterable[str] = (), lo: date | None = None, hi: date | None = None) -> DataFrame:
-        if callable(self._fact):
-            return self._fact(frozenset(keys), lo, hi)
-        frame = self._fact
+        keys = frozenset(keys)
+        if self.rollup is not None and keys <= set(self.rollup.columns):
+            frame = self.rollup
+        elif callable(self._fact):
+            return self._fact(keys, lo, hi)
+        else:
+            frame = self._fact
         if lo is not None:
             frame = frame.filter(F.col("trade_date") >= F.lit(lo))
         if hi is not None:
@@ -132,7 +152,8 @@ class Star:
         Choices on a dimension's attributes cut the facts by a semi join with the chosen members' keys,
         before anything is grouped.
         """
-        asked = set(names) | set(ctx.members)
+        columns = {c for t in ctx.tables for c in t.columns}
+        asked = set(names) | set(ctx.members) | {c for c in columns if not owner(c)} | {KEY_OF[d] for d in map(owner, columns) if d}
         sliced = sorted({d for d in map(owner, ctx.members) if d})
         keys = {k for k in asked if not owner(k) and k not in PERIODS and k not in ("trade_date", "trade_flag")} | {KEY_OF[d] for d in sliced}
         lo, hi = ctx.bounds()
@@ -146,8 +167,20 @@ class Star:
                 if owner(attribute) == d:
                     members = members.filter(F.col(attribute).isin(*chosen))
             facts = facts.join(members.select(KEY_OF[d]), KEY_OF[d], "left_semi")
+        for table in ctx.tables:
+            facts = self._matching(facts, table)
         return facts
 
+    def _matching(self, facts: DataFrame, table: DataFrame) -> DataFrame:
+        """Facts whose members are a row of ``table``: its attributes become keys, and those meet the facts."""
+        rows = table.distinct()
+        for d in sorted({d for d in map(owner, table.columns) if d}):
+            shared = sorted(c for c in table.columns if owner(c) == d)
+            dim = self.dims[d].select(F.col(DIM_KEY[d]).alias(KEY_OF[d]), *[F.col(c).alias(f"_{c}") for c in shared])
+            rows = rows.join(dim, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in shared]).drop(*shared, *[f"_{c}" for c in shared])
+        rows = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
+        return facts.join(rows, [F.col(c[1:]).eqNullSafe(F.col(c)) for c in rows.columns], "left_semi")
+
     def grouped(
         self,
         by: Iterable[str],
@@ -163,12 +196,12 @@ class Star:
         hot key one row per task before anything is shuffled.
         """
         by = list(dict.fromkeys(by))
-        asked = set(by) | set(ctx.members)
+        asked = set(by) | set(ctx.members)  # columns of tables only filter, and are added by filtered()
         dims = sorted({d for d in map(owner, by) if d})  # a dimension that only filters is not joined
         keys = {KEY_OF[d] for d in map(owner, asked) if d} | (asked & set(KEY_OF.values()))
         plain = sorted({b for b in by if not owner(b)} - keys)
         # with a period the source key hardly reduces the rows: the map is joined first
-        bridged = next((k for k in keys if k in self.bridges), None) if len(keys) == 1 and not plain and not ctx.members else None
+        bridged = next((k for k in keys if k in self.bridges), None) if len(keys) == 1 and not plain and not ctx.members and not ctx.tables else None
         raw = {self.bridges[bridged].source} if bridged else keys
         facts = self.filtered(raw | set(by), ctx, real)
         kept = sorted({KEY_OF[d] for d in dims} | (keys & set(by)))  # not the keys that only filter

@@ -66,9 +66,14 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
-    """(path, flow, date_from, date_to) of the landed files; file contents are not read."""
+    """(path, flow, date_from, date_to) of the landed files; file contents are not read.
+
+    A folder with a landing file's name is one landed file, written in parts.
+    """
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
-    return found.select("path").withColumns({k: v for k, v in file_period(F.col("path")).items() if k != "table"})
+    folder = F.regexp_extract("path", r"^(.*_(?:export|import)_\d{6}_\d{6}\.parquet)/[^/]+$", 1)
+    units = found.select(F.when(folder != "", folder).otherwise(F.col("path")).alias("path")).distinct()
+    return units.withColumns({k: v for k, v in file_period(F.col("path")).items() if k != "table"})
 
 
 def read_seed(spark: SparkSession, path: str, delimiter: str, schema: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
     root/data/_load=<id>/<column>=<value>/*.parquet    a load writes only the partitions it touches, beside the older ones
     root/ledger/_load=<id>/*.parquet                   manifest rows of a load
-    root/_commits/<number>.json                        a version: partition folder -> load, schema, loads with manifest rows
+    root/_commits/<number>.json                        a version: partition folder -> load, schema, loads with manifest rows, notes
 
 Readers take the newest commit and open the folders it names, so they see a load whole or not at all, and a reader of an
 older version goes on reading it. A writer that is lost leaves folders that no commit names; the load is simply repeated.
@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +47,7 @@ class Version:
     schema: T.StructType
     folders: dict[str, str]
     ledger: tuple[str, ...] = ()
+    notes: dict[str, str] = field(default_factory=dict)
 
 
 # --- commits
@@ -72,13 +73,13 @@ def version(spark: SparkSession, root: str, number: int | None = None) -> Versio
         state = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return Version(number, state["partition"], T.StructType.fromJson(state["schema"]), state["folders"], tuple(state["ledger"]))
+    return Version(number, state["partition"], T.StructType.fromJson(state["schema"]), state["folders"], tuple(state["ledger"]), state["notes"])
 
 
 def commit(spark: SparkSession, root: str, new: Version) -> None:
     """Makes a version the newest one, or raises :class:`Conflict` when its number is taken."""
     jvm = spark._jvm
-    state = {"partition": new.partition, "schema": new.schema.jsonValue(), "folders": new.folders, "ledger": new.ledger}
+    state = {"partition": new.partition, "schema": new.schema.jsonValue(), "folders": new.folders, "ledger": new.ledger, "notes": new.notes}
     fs, draft = file_system(spark, f"{root}/_commits/_{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(json.dumps(state).encode()))
@@ -175,17 +176,19 @@ def stage(
     newest: str | None = None,
     ties: Sequence[str] = (),
     manifest: DataFrame | None = None,
+    whole: bool = False,
 ) -> Version:
     """Writes the partitions that ``new`` touches, merged with ``base``, and returns the version to commit.
 
-    Nothing is visible before :func:`commit`. ``new`` is read several times and should be a stored frame.
+    Nothing is visible before :func:`commit`. ``new`` is read several times and should be a stored frame. With ``whole``
+    the new rows are all rows of their partitions, and nothing is merged.
     """
     load, touched = uuid.uuid4().hex, _folder_names(new, partition)
     # a later load may bring columns, but keeps those that are there even where it replaces all rows
     schema = new.schema if base is None or replace else grown(base.schema, new.schema)
     folders = {} if base is None or replace else dict(base.folders)
     rows = new
-    again = [name for name in touched if name in folders]
+    again = [] if whole else [name for name in touched if name in folders]
     if again:
         old = read(spark, root, base, again)
         rows = latest_per_key(old.unionByName(new, allowMissingColumns=True), keys, newest, ties) if newest else merge(old, new, keys)
@@ -198,7 +201,7 @@ def stage(
     if manifest is not None:
         manifest.write.parquet(f"{root}/ledger/_load={load}")
         known = (*known, load)
-    return Version(1 if base is None else base.number + 1, partition, schema, folders, known)
+    return Version(1 if base is None else base.number + 1, partition, schema, folders, known, {} if base is None else base.notes)
 
 
 def upsert(
