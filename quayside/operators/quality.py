@@ -45,9 +45,10 @@ def suite(frame: DataFrame, table: str, columns: Sequence[str], keys: Sequence[s
 
     Rows are grouped by the key, with its copies and missing values counted, which is the exchange the key test needs
     anyway. Each group then gives one row for the totals and one for each foreign key, which are summed by value
-    before any exchange and meet the parents' keys in one join.
+    before any exchange and meet the parents' keys in one join. A foreign key outside the key is tested by itself.
     """
-    parents = dict(parents or {})
+    others = {fk: p for fk, p in (parents or {}).items() if fk not in keys}
+    parents = {fk: p for fk, p in (parents or {}).items() if fk in keys}
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)]
     groups = frame.groupBy(*keys).agg(F.count("*").alias("_n"), *nulls) if keys else frame.agg(F.count("*").alias("_n"), *nulls)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
@@ -69,7 +70,8 @@ def suite(frame: DataFrame, table: str, columns: Sequence[str], keys: Sequence[s
     tests = [("not_null", c, f"c{i}") for i, c in enumerate(columns)] + ([("unique", ", ".join(keys), "twice")] if keys else [])
     tests += [("relationships", fk, f"fk{i}") for i, fk in enumerate(parents)]
     found = [F.struct(F.lit(t).alias("test"), F.lit(c).alias("column_name"), F.coalesce(F.col(v), none).alias("failures")) for t, c, v in tests]
-    return total.select(F.inline(F.array(*found))).select(F.lit(table).alias("table_name"), "test", "column_name", "failures")
+    once = total.select(F.inline(F.array(*found))).select(F.lit(table).alias("table_name"), "test", "column_name", "failures")
+    return report(once, *[relationships(frame, table, fk, *p) for fk, p in others.items()])
 
 
 def cut_values(frame: DataFrame, table: str, widths: Mapping[str, int]) -> DataFrame:

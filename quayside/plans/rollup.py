@@ -1,7 +1,8 @@
 """Sums of a partitioned fact by month and some of its keys, kept beside it and brought up to date by month.
 
 The rollup's commit notes from which load of the fact each month was summed. A refresh compares that with the fact's
-newest commit and sums again only the months that lie in another load now; those replace the rollup's months whole.
+newest commit and sums again only the months that lie in another load now; those replace the rollup's months whole, and
+months that the fact has no longer are left out.
 """
 
 from __future__ import annotations
@@ -29,13 +30,16 @@ def refresh(spark: SparkSession, fact: str, root: str, keys: Sequence[str] = KEY
         now, kept = partitioned.version(spark, fact), partitioned.version(spark, root)
         if now is None:
             return 0
-        months = [name for name, load in now.folders.items() if (kept.notes if kept else {}).get(name) != load]
-        if not months:
+        known = kept.notes if kept else {}
+        months = [name for name, load in now.folders.items() if known.get(name) != load]
+        gone = [name for name in known if name not in now.folders]
+        if not months and not gone:
             return 0
         rows = stored(summed(partitioned.read(spark, fact, now, months), keys), "rollup")
         new = partitioned.stage(spark, root, rows, keys, now.partition, kept, whole=True)
+        folders = {name: load for name, load in new.folders.items() if name in now.folders}
         try:
-            partitioned.commit(spark, root, replace(new, notes={name: now.folders[name] for name in new.folders if name in now.folders}))
+            partitioned.commit(spark, root, replace(new, folders=folders, notes=dict(now.folders)))
         except partitioned.Conflict:
             if not left:
                 raise

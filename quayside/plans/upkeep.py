@@ -140,9 +140,9 @@ def rejected_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = read(spark, sf, "events").select(F.concat(F.lit("page-"), F.col("event_id").cast("string")).alias("path"), page.alias("value"))
     kind = "id: string, text: string"
     kept = tables.stored(responses.judged(pages, responses.trade_fault(F.col("value"), kind)), "pages")
-    records = responses.flatten_trade(kept.filter("reason IS NULL"), kind).agg(F.count("*").alias("records")).withColumn("reason", F.lit("accepted"))
+    records = responses.flatten_trade(kept.filter("reason IS NULL"), kind).agg(F.count("*")).scalar()
     outcome = kept.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("pages"), F.min("path").alias("first_path"))
-    return outcome.join(records, "reason", "left").withColumn("records", F.coalesce("records", F.lit(0)))
+    return outcome.withColumn("records", F.when(F.col("reason") == "accepted", records).otherwise(F.lit(0)))
 
 
 def unreadable_values(spark: SparkSession, sf: str) -> DataFrame:
