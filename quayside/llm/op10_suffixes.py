@@ -131,6 +131,31 @@ def agreement(buf: np.ndarray, at: np.ndarray, group: np.ndarray, width: int) ->
     return bound
 
 
+def _group(b: R.Bucket, rank: np.ndarray, again: np.ndarray, key: np.ndarray, begins: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Spans of the strings ``again`` of a bucket, which are all of their minimisers."""
+    lengths = b.lengths[again].astype(np.int64)
+    buf = b.content[ragged.ranges(begins[again], lengths)]
+    starts = ragged.offsets(lengths)
+    h1, h2 = (ragged.Rolling(buf, seed) for seed in (1, 2))
+    grams = h1.fixed(GRAM)
+    # every place of a string's minimiser begins a suffix
+    string = np.repeat(np.arange(len(again)), lengths)[: len(grams)]
+    at = np.flatnonzero(grams == b.key[again][string])
+    at = at[at + GRAM <= starts[string[at] + 1]]
+    string = string[at]
+    bound = agreement(buf, at, key[again][string], width)
+    # windows that hold the place, and end where the suffix may still agree with another
+    low = np.maximum(at - (width - GRAM), starts[string])
+    high = np.minimum(np.minimum(at, starts[string + 1] - width), at + bound - width)
+    some = high >= low
+    marks = np.zeros(len(buf) + 1, np.int32)
+    np.add.at(marks, low[some], 1)
+    np.add.at(marks, high[some] + 1, -1)
+    window = np.flatnonzero(np.cumsum(marks) > 0)
+    string = np.searchsorted(starts, window, "right") - 1
+    yield from R.flagged(b, rank, again[string], window - starts[string], h1.spans(window, window + width), h2.spans(window, window + width), width, within=True)
+
+
 def _compared(width: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs in R.by_bucket(batches):
@@ -147,27 +172,9 @@ def _compared(width: int):
             occurrences = np.bincount(b.of, minlength=len(b.key))
             _, key = np.unique(b.key, return_inverse=True)
             again = np.flatnonzero((np.bincount(key, occurrences)[key] > 1) | (b.anchor < 0))
-            lengths = b.lengths[again].astype(np.int64)
-            buf = b.content[ragged.ranges(ragged.offsets(b.lengths)[:-1][again], lengths)]
-            starts = ragged.offsets(lengths)
-            h1, h2 = (ragged.Rolling(buf, seed) for seed in (1, 2))
-            grams = h1.fixed(GRAM)
-            # every place of a string's minimiser begins a suffix
-            string = np.repeat(np.arange(len(again)), lengths)[: len(grams)]
-            at = np.flatnonzero(grams == b.key[again][string])
-            at = at[at + GRAM <= starts[string[at] + 1]]
-            string = string[at]
-            bound = agreement(buf, at, key[again][string], width)
-            # windows that hold the place, and end where the suffix may still agree with another
-            low = np.maximum(at - (width - GRAM), starts[string])
-            high = np.minimum(np.minimum(at, starts[string + 1] - width), at + bound - width)
-            some = high >= low
-            marks = np.zeros(len(buf) + 1, np.int64)
-            np.add.at(marks, low[some], 1)
-            np.add.at(marks, high[some] + 1, -1)
-            window = np.flatnonzero(np.cumsum(marks) > 0)
-            string = np.searchsorted(starts, window, "right") - 1
-            yield from R.flagged(b, rank, again[string], window - starts[string], h1.spans(window, window + width), h2.spans(window, window + width), width, within=True)
+            begins = ragged.offsets(b.lengths)[:-1]
+            for some in R.groups(key[again], b.lengths[again]):
+                yield from _group(b, rank, again[some], key, begins, width)
 
     return compare
 

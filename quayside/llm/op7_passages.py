@@ -73,17 +73,19 @@ def _compared(width: int):
             _, key = np.unique(b.key, return_inverse=True)
             again = np.flatnonzero(np.bincount(key, occurrences)[key] > 1)
             starts = ragged.offsets(b.lengths)[:-1]
-            lengths = b.lengths[again].astype(np.int64)
-            buf = b.content[ragged.ranges(starts[again], lengths)]
-            w = ragged.words(buf, ragged.offsets(lengths))
-            n = np.diff(w.first)
             units = np.zeros(len(b.key), np.int64)
-            units[again] = n
-            at = ragged.ranges(w.first[:-1], n - width + 1)
-            string = np.repeat(np.arange(len(again)), n - width + 1)
-            h1, h2 = (c.spans(at, at + width) for c in _chains(buf, w.start, w.end))
+            for some in R.groups(key[again], b.lengths[again]):
+                group = again[some]
+                lengths = b.lengths[group].astype(np.int64)
+                buf = b.content[ragged.ranges(starts[group], lengths)]
+                w = ragged.words(buf, ragged.offsets(lengths))
+                n = np.diff(w.first)
+                units[group] = n
+                at = ragged.ranges(w.first[:-1], n - width + 1)
+                string = np.repeat(np.arange(len(group)), n - width + 1)
+                h1, h2 = (c.spans(at, at + width) for c in _chains(buf, w.start, w.end))
+                yield from R.flagged(b, b.id, group[string], at - w.first[string], h1, h2, width, within=False)
             yield R.later(b, b.id, units)
-            yield from R.flagged(b, b.id, again[string], at - w.first[string], h1, h2, width, within=False)
 
     return compare
 

@@ -284,6 +284,26 @@ class Bucket(NamedTuple):
         return cls(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
+#: Bytes of a bucket's strings that are compared at a time, unless one minimiser has more.
+GROUP = 1 << 20
+
+
+def groups(key: np.ndarray, lengths: np.ndarray, limit: int = GROUP) -> Iterator[np.ndarray]:
+    """Strings in groups of whole minimisers with at most ``limit`` bytes, one minimiser at least. Equal windows have equal
+    minimisers, so each group can be compared by itself."""
+    order = np.argsort(key, kind="stable")
+    ends = np.cumsum(lengths[order], dtype=np.int64)
+    edges = np.append(np.flatnonzero(np.diff(key[order])) + 1, len(order))
+    at = 0
+    while at < len(order):
+        before = int(ends[at - 1]) if at else 0
+        fit = int(np.searchsorted(ends, before + limit, "right"))
+        last = int(np.searchsorted(edges, max(fit, at + 1), "right")) - 1
+        to = int(edges[last]) if last >= 0 and edges[last] > at else int(edges[last + 1])
+        yield order[at:to]
+        at = to
+
+
 def spans_batch(id_: np.ndarray, alike: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(id_), pa.array(alike), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["id", "alike", "start", "end"])
 

@@ -434,3 +434,15 @@ def test_ragged_words_stay_in_their_text():
     buf, offs = ragged.flat(column.slice(1))
     w = ragged.words(buf, offs)
     assert w.first.tolist() == [0, 0, 0, 1, 2, 3] and [bytes(buf[a:b]) for a, b in zip(w.start, w.end, strict=True)] == [b"c", b"d", b"e"]
+
+
+def test_groups_hold_whole_minimisers():
+    rng = np.random.default_rng(8)
+    key, lengths = rng.integers(0, 40, 500), rng.integers(1, 30, 500)
+    for limit in (1, 100, 2000, 1 << 20):
+        found = list(repeats.groups(key, lengths, limit))
+        assert sorted(np.concatenate(found).tolist()) == list(range(500))
+        kinds = [set(key[g].tolist()) for g in found]
+        assert sum(map(len, kinds)) == 40  # no minimiser in two groups
+        assert all(len(k) == 1 or lengths[g].sum() <= limit for k, g in zip(kinds, found, strict=True))
+    assert list(repeats.groups(key[:0], lengths[:0])) == []
