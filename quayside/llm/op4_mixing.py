@@ -9,7 +9,8 @@ training share of ends. The probabilities of all texts add up to one; a text's s
 
 All that a prediction needs is the byte and the six before it: an event. Equal events have equal predictions, so different events are counted, learned from (with their count as weight) and scored once. They are grouped on
 Spark by the four bytes before, so that all events of a context of four bytes or more lie in one pack, where the counts of all
-its nodes are exact: no table of a fixed size, no collisions. Counts are 64-bit numbers.
+its nodes are exact: no table of a fixed size, no collisions. Counts are 64-bit numbers. Tasks send their events in boxes, as many
+as the texts' bytes ask for, so that what a task opens at a time does not grow with the corpus.
 
 What goes to all tasks: counts after contexts of fewer than four bytes, weights, and the at most ``FREQUENT`` most frequent
 words and ``EVENTS`` times as many most frequent events with their scores. All others of a document meet their scores in a join.
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import ragged
 from quayside.llm.links import stored
+from quayside.llm.repeats import by_bucket, dealt
 
 FOLDS, HELD_OUT = 5, 1
 ORDERS = (1, 2, 3, 4, 6)
@@ -45,7 +47,8 @@ STEPS = 33  # of the adaptive map, for each bit of a byte
 ROUNDS, RATE = 1, 0.1
 FREQUENT, EVENTS = 200_000, 16
 CHUNK = 1 << 13  # events at a time: a step of online learning
-MOST = 1 << 22  # different events that a task holds before it gives them on
+MOST = 1 << 21  # different events that a task holds before it gives them on
+BUCKET = 1 << 22  # bytes of all texts for each bucket of events
 ROWS = 1 << 16
 
 _U = np.uint64
@@ -150,25 +153,25 @@ def events(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def bits(spelled: np.ndarray, context: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each of a byte's bits, the highest first: its number, the place of each context's node, the bits."""
+    """For each of a byte's bits, the highest first: its number, the place of each context's node, the bits. ``context`` has
+    numbers of contexts, whose nodes are 256 places each, or the places of :func:`known` by bit."""
     for k in range(8):
-        node = (1 << k) | (spelled.astype(np.int64) >> (8 - k))
-        yield k, (context << 8) | node, (spelled >> (7 - k)) & 1
+        if context.ndim == 3:
+            places = context[k]
+        else:
+            places = (context << 8) | (1 << k) | (spelled.astype(np.int64) >> (8 - k))
+        yield k, places, (spelled >> (7 - k)) & 1
 
 
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different events of a task's texts: how often in training texts, and in all."""
+def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The different events of a task's texts, sorted, some millions at a time: how often in training texts, and in all."""
 
     def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
         gram, n, f = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(gram)
         gram = gram[order]
         first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]))
-        return gram[first], np.add.reduceat(n[order], first), np.add.reduceat(f[order], first)
-
-    def rows_of(part: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(part[0]), ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + ROWS].view(np.int64)) for x in part], names=["gram", "n", "f"])
+        return gram[first], *(np.add.reduceat(x[order], first).astype(np.uint32) for x in (n, f))
 
     kept: list[tuple[np.ndarray, ...]] = []
     size = least = 0
@@ -177,16 +180,66 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(buf):
             continue
         train = np.repeat(~rows.column("held_out").to_numpy(zero_copy_only=False), np.diff(offs))
-        kept.append(merged([(grams(buf, offs), train.astype(np.int64), np.ones(len(buf), np.int64))]))
+        kept.append(merged([(grams(buf, offs), train.astype(np.uint32), np.ones(len(buf), np.uint32))]))
         size += len(kept[-1][0])
         if size > least + MOST // 2:
             kept = [merged(kept)]
             size = least = len(kept[0][0])
             if size > MOST:
-                yield from rows_of(kept[0])
+                yield kept[0]
                 kept, size, least = [], 0, 0
     if kept:
-        yield from rows_of(merged(kept))
+        yield merged(kept)
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same as rows."""
+    for part in _flushes(batches):
+        for at in range(0, len(part[0]), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + ROWS].astype(np.int64)) for x in part], names=["gram", "n", "f"])
+
+
+def boxed(buckets: int):
+    """Different events of a task as one blob for each bucket of ``near``: sorted, byte by byte, which packs well."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, n, f in _flushes(batches):
+            group = near(gram)
+            bucket = (ragged.mix(group) % _U(buckets)).astype(np.int64)
+            order = np.lexsort((gram, group, bucket))
+            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            del group, bucket
+            full = np.flatnonzero(np.diff(cut))
+            for at in range(0, len(full), 256):
+                some = full[at : at + 256].tolist()
+                each = [order[cut[b] : cut[b + 1]] for b in some]
+                blobs = [_squeezed(gram[o], n[o], f[o]) for o in each]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([len(o) for o in each], pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "size", "blob"])
+
+    return send
+
+
+def _squeezed(*arrays: np.ndarray) -> bytes:
+    planes = [x.view(np.uint8).reshape(len(x), -1).T.tobytes() for x in arrays]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _opened(size: int, blob: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(blob, decompressed_size=16 * size, codec="zstd", asbytes=True), np.uint8)
+    cuts = (0, 8 * size, 12 * size, 16 * size)
+    kinds = (_U, np.uint32, np.uint32)
+    return [np.ascontiguousarray(raw[a:b].reshape(-1, size).T).view(kind).ravel() for a, b, kind in zip(cuts, cuts[1:], kinds, strict=False)]
+
+
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blobs by bucket to packs: equal events of all tasks become one, with 64-bit counts."""
+    for blobs in by_bucket(batches):
+        gram, n, f = (np.concatenate(x) for x in zip(*(_opened(*x) for x in blobs), strict=True))
+        order = np.lexsort((gram, near(gram)))
+        gram = gram[order]
+        first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]))
+        sums = [np.add.reduceat(x[order].astype(np.int64), first) for x in (n, f)]
+        yield from packs(iter([pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (gram[first], *sums)], names=["gram", "n", "f"])]))
 
 
 def near(gram: np.ndarray) -> np.ndarray:
@@ -270,24 +323,36 @@ def _short(events: DataFrame) -> Short:
 
 
 def known(pack: Pack, short: Short, model: Spelling) -> tuple[np.ndarray, Spelling]:
-    """The contexts of a pack's events as numbers, and the model with the exact counts of all their nodes."""
-    numbers, different = numbered(contexts(pack.gram))
-    size = sum(len(x) for x in different) << 8
-    zeros, ones = np.zeros(size, np.float64), np.zeros(size, np.float64)
-    at = 0
-    for i, values in enumerate(different):
-        few = values[values < _U(1 << 48)]  # the first of the sorted
+    """The places of the nodes on the way of each event, by bit and predictor, and the model with their exact counts.
+
+    For each predictor all (context, byte) are sorted, those of the events and those ``short`` has. The nodes of a bit are
+    then runs of equal leading bits, so only nodes that an event reaches, or its siblings, take space.
+    """
+    places, zeros, ones, at = np.empty((8, PREDICTORS, len(pack.gram)), np.int32), [], [], 0
+    byte, here = pack.byte, np.arange(len(pack.gram))
+    for i, context in enumerate(contexts(pack.gram)):
+        values, number = np.unique(context, return_inverse=True)
+        few = values[: np.searchsorted(values, _U(1 << 48))]  # counts of these lie in other packs, too
         low, high = np.searchsorted(short.keys, few << _U(8)), np.searchsorted(short.keys, (few + _U(1)) << _U(8))
         entry = ragged.ranges(low, high - low)
-        own = numbers[i] >= at + len(few)
-        byte = np.concatenate([short.keys[entry].astype(np.uint8), pack.byte[own]])
-        n = np.concatenate([short.n[entry], pack.n[own]])
-        number = np.concatenate([np.repeat(np.arange(len(few)) + at, high - low), numbers[i][own]])
-        for _, places, bit in bits(byte, number):
-            np.add.at(zeros, places, n * (1 - bit.astype(np.int64)))
-            np.add.at(ones, places, n * bit.astype(np.int64))
-        at += len(values)
-    return numbers, model._replace(zeros=zeros, ones=ones)
+        key = np.concatenate([(number << 8) | byte, (np.repeat(np.arange(len(few)), high - low) << 8) | short.keys[entry].astype(np.uint8)])
+        n = np.concatenate([np.where(number >= len(few), pack.n, 0), short.n[entry]])
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        back = back[here]
+        for k in range(8):
+            node = key >> (8 - k)
+            new = np.ones(len(node), bool)
+            new[1:] = node[1:] != node[:-1]
+            start = np.flatnonzero(new)
+            one = np.add.reduceat(n * ((key >> (7 - k)) & 1), start) if len(start) else start
+            zeros.append((np.add.reduceat(n, start) if len(start) else start) - one)
+            ones.append(one)
+            places[k, i] = (np.cumsum(new) - 1 + at)[back]
+            at += len(start)
+    return places, model._replace(zeros=np.concatenate(zeros).astype(np.float64), ones=np.concatenate(ones).astype(np.float64))
 
 
 def _numbered(values: np.ndarray) -> pa.RecordBatch:
@@ -458,10 +523,10 @@ def scored(docs: DataFrame, held_out, frequent: int = FREQUENT) -> DataFrame:
     learn = texts.where("NOT held_out").agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     counts = Counts(*numbers, *learn)
 
-    few = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    different = each.coalesce(few).mapInArrow(counted, "gram long, n long, f long").withColumn("near", F.expr(_NEAR)).repartition("near")
-    different = different.groupBy("near", "gram").agg(F.sum("n").alias("n"), F.sum("f").alias("f"))
-    events_ = stored(different.sortWithinPartitions("near").select("gram", "n", "f").mapInArrow(packs, "size int, part binary"), "events")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    sent = each.mapInArrow(boxed(max(4 * tasks, size // BUCKET)), "bucket int, size long, blob binary")
+    events_ = stored(dealt(sent, tasks).mapInArrow(joined, "size int, part binary"), "events")
     short = send(_short(events_))
     event_scores = stored(_scored_events(events_, short, fit(events_, short)), "event-scores")
 
