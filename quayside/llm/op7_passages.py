@@ -108,7 +108,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Spans of words to remove: id and alike of the document (see ``repeats.numbered``), start, end; they may overlap."""
+    """Spans of words to remove: id and alike of the document (see ``repeats.numbered``), starts, ends; those of several
+    rows may overlap."""
     texts = R.numbered(docs)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = R.hot_keys(texts, lambda buf, offs: _runs(buf, offs, width)[2].key)
@@ -119,7 +120,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     some = R.with_runs(texts, R.repeated_runs(texts, find, hot, ragged.SLICE))
     parts = some.mapInArrow(_sent(hot, 4 * n, width), "bucket int, size long, blob binary")
-    return R.dealt(parts, n).mapInArrow(_compared(width), R.SPANS)
+    return R.dealt(parts, n).mapInArrow(lambda batches: R.gathered(_compared(width)(batches)), R.SPANS)
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -169,7 +169,7 @@ def chosen(runs: Runs, first: np.ndarray, lists: pa.Array) -> tuple[Runs, np.nda
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """All rows of ``docs`` with the arrays ``starts`` and ``ends`` of their document's spans: doc_id, text, starts, ends."""
-    listed = spans.groupBy(F.col("id").alias("_id"), F.col("alike").alias("_alike")).agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    listed = spans.groupBy(F.col("id").alias("_id"), F.col("alike").alias("_alike")).agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
     rows = numbered(docs)
     none = F.array().cast("array<int>")
     both = rows.join(listed.hint("shuffle_hash"), (rows["id"] == listed["_id"]) & (rows["alike"] == listed["_alike"]), "left")
@@ -308,7 +308,36 @@ def spans_batch(id_: np.ndarray, alike: np.ndarray, start: np.ndarray, end: np.n
     return pa.RecordBatch.from_arrays([pa.array(id_), pa.array(alike), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["id", "alike", "start", "end"])
 
 
-SPANS = "id long, alike long, start int, end int"
+SPANS = "id long, alike long, starts array<int>, ends array<int>"
+
+
+def gathered(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Spans of a task by document, those that overlap or touch as one: a row for each document instead of each window."""
+
+    def rows(held: list) -> pa.RecordBatch:
+        id_, alike, start, end = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((alike, id_))
+        id_, alike = id_[order], alike[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (id_[1:] != id_[:-1]) | (alike[1:] != alike[:-1])
+        doc, first = (np.cumsum(new) - 1) << 32, np.flatnonzero(new)
+        # the document in the upper half keeps spans of two documents apart
+        starts, ends = merged(doc + start[order], doc + end[order])
+        of = starts >> 32
+        offsets = pa.array(np.searchsorted(of, np.arange(len(first) + 1)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array((x & 0xFFFFFFFF).astype(np.int32))) for x in (starts, ends)]
+        return pa.RecordBatch.from_arrays([pa.array(id_[first]), pa.array(alike[first]), *lists], names=["id", "alike", "starts", "ends"])
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append([batch.column(c).to_numpy() for c in ("id", "alike", "start", "end")])
+            size += batch.num_rows
+        if size >= limit:
+            yield rows(held)
+            held, size = [], 0
+    if held:
+        yield rows(held)
 
 
 def flagged(b: Bucket, rank: np.ndarray, string: np.ndarray, offset: np.ndarray, h1: np.ndarray, h2: np.ndarray, width: int, within: bool) -> Iterator[pa.RecordBatch]:
