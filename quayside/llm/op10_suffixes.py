@@ -199,8 +199,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Spans of bytes to remove: id and alike of the document (see ``repeats.numbered``), starts, ends; those of several
-    rows may overlap."""
+    """Spans of bytes to remove, a row per document: id and alike (see ``repeats.numbered``), starts, ends."""
     texts = R.numbered(docs)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = R.hot_keys(texts, lambda buf, offs: _runs(buf, offs, width)[2].key)
@@ -212,7 +211,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     some = R.with_runs(texts, R.repeated_runs(texts, find, hot, SLICE))
     parts = some.mapInArrow(_sent(hot, splitters, 4 * n, width), "bucket int, size long, blob binary")
-    return R.dealt(parts, n).mapInArrow(lambda batches: R.gathered(_compared(width)(batches)), R.SPANS)
+    return R.by_document(R.dealt(parts, n), _compared(width), n)
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:

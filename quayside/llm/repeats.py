@@ -168,8 +168,9 @@ def chosen(runs: Runs, first: np.ndarray, lists: pa.Array) -> tuple[Runs, np.nda
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """All rows of ``docs`` with the arrays ``starts`` and ``ends`` of their document's spans: doc_id, text, starts, ends."""
-    listed = spans.groupBy(F.col("id").alias("_id"), F.col("alike").alias("_alike")).agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
+    """All rows of ``docs`` with the arrays ``starts`` and ``ends`` of their document's spans (``spans`` has a row for each
+    document that has some): doc_id, text, starts, ends."""
+    listed = spans.toDF("_id", "_alike", "starts", "ends")
     rows = numbered(docs)
     none = F.array().cast("array<int>")
     both = rows.join(listed.hint("shuffle_hash"), (rows["id"] == listed["_id"]) & (rows["alike"] == listed["_alike"]), "left")
@@ -308,36 +309,68 @@ def spans_batch(id_: np.ndarray, alike: np.ndarray, start: np.ndarray, end: np.n
     return pa.RecordBatch.from_arrays([pa.array(id_), pa.array(alike), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["id", "alike", "start", "end"])
 
 
-SPANS = "id long, alike long, starts array<int>, ends array<int>"
+SPANS = "id long, alike long, start int, end int"
+LISTED = "id long, alike long, starts array<int>, ends array<int>"
 
 
-def gathered(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Spans of a task by document, those that overlap or touch as one: a row for each document instead of each window."""
+def listed(spans: DataFrame) -> DataFrame:
+    """Spans as rows to a row for each document."""
+    return spans.groupBy("id", "alike").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
 
-    def rows(held: list) -> pa.RecordBatch:
+
+def by_document(parts: DataFrame, compare: Callable, n: int) -> DataFrame:
+    """The same from the tasks that compare, which send their spans in one blob for each bucket of documents, those that
+    overlap or touch as one: no row for each window."""
+
+    def united(held: list) -> tuple[np.ndarray, ...]:
+        """id, alike, number of spans of each document, starts, ends."""
         id_, alike, start, end = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((alike, id_))
         id_, alike = id_[order], alike[order]
         new = np.ones(len(order), bool)
         new[1:] = (id_[1:] != id_[:-1]) | (alike[1:] != alike[:-1])
-        doc, first = (np.cumsum(new) - 1) << 32, np.flatnonzero(new)
+        first, doc = np.flatnonzero(new), (np.cumsum(new) - 1) << 32
         # the document in the upper half keeps spans of two documents apart
         starts, ends = merged(doc + start[order], doc + end[order])
-        of = starts >> 32
-        offsets = pa.array(np.searchsorted(of, np.arange(len(first) + 1)), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array((x & 0xFFFFFFFF).astype(np.int32))) for x in (starts, ends)]
-        return pa.RecordBatch.from_arrays([pa.array(id_[first]), pa.array(alike[first]), *lists], names=["id", "alike", "starts", "ends"])
+        counts = np.bincount(starts >> 32, minlength=len(first))
+        return id_[first], alike[first], counts.astype(np.int32), (starts & 0xFFFFFFFF).astype(np.int32), (ends & 0xFFFFFFFF).astype(np.int32)
 
-    held, size = [], 0
-    for batch in batches:
-        if batch.num_rows:
-            held.append([batch.column(c).to_numpy() for c in ("id", "alike", "start", "end")])
-            size += batch.num_rows
-        if size >= limit:
-            yield rows(held)
-            held, size = [], 0
-    if held:
-        yield rows(held)
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        id_, alike, counts, starts, ends = united(held)
+        bucket = (ragged.mix(id_.view(_U) ^ ragged.mix(alike.view(_U))) % _U(2 * n)).astype(np.int64)
+        begins = ragged.offsets(counts)[:-1]
+        for b in np.unique(bucket).tolist():
+            d = np.flatnonzero(bucket == b)
+            at = ragged.ranges(begins[d], counts[d])
+            arrays = [id_[d], alike[d], counts[d], starts[at], ends[at]]
+            size = 8 * len(arrays) + sum(x.nbytes for x in arrays)
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([size], pa.int64()), pa.array([ragged.packed(arrays)], pa.binary())], names=["bucket", "size", "blob"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in compare(batches):
+            if batch.num_rows:
+                held.append([batch.column(c).to_numpy() for c in ("id", "alike", "start", "end")])
+                size += batch.num_rows
+            if size >= 1 << 20:
+                yield from flush(held)
+                held, size = [], 0
+        if held:
+            yield from flush(held)
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blobs in by_bucket(batches):
+            held = []
+            for size, blob in blobs:
+                id_, alike, counts, starts, ends = ragged.unpacked(blob, size, [np.int64, np.int64, np.int32, np.int32, np.int32])
+                held.append([np.repeat(id_, counts), np.repeat(alike, counts), starts, ends])
+            id_, alike, counts, starts, ends = united(held)
+            offsets = pa.array(ragged.offsets(counts), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (starts, ends)]
+            yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(alike), *lists], names=["id", "alike", "starts", "ends"])
+
+    sent = parts.mapInArrow(send, "bucket int, size long, blob binary")
+    return dealt(sent, n).mapInArrow(collect, LISTED)
 
 
 def flagged(b: Bucket, rank: np.ndarray, string: np.ndarray, offset: np.ndarray, h1: np.ndarray, h2: np.ndarray, width: int, within: bool) -> Iterator[pa.RecordBatch]:
