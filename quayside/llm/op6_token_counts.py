@@ -4,21 +4,26 @@ A sentence-piece file of the byte-pair kind merges, again and again, the two nei
 rank, the leftmost of equals. Here the different pieces of a slice of texts are held as one array of symbols; each round
 finds every piece's best pair and joins all its places that do not overlap, for all pieces at the same time, until no
 pair of any piece is known. If joining a pair makes one of a better rank than the joined, only the leftmost place counts
-in that round, so the order of merges stays the library's. Then the symbols left are counted; a character without a
-symbol of its own counts as its bytes.
+in that round, so the order of merges stays the library's. Pieces that are not done after ``ROUNDS`` rounds (long runs
+without spaces) go on by rank: their symbols are linked arrays, the places of a rank wait in a bucket, and all places of
+the lowest rank are joined at a time, so that a round touches those places only and not all that is left. Then the symbols
+left are counted; a character without a symbol of its own counts as its bytes.
 
-No token of the file has its space mark after another character, so a text is cut before each run of spaces, and a piece
+No token of the file has its space mark after another character, so a text is cut before each run of spaces (the space
+mark in a text is a space for the file, too), and a piece
 that was seen before in the worker is not merged again. The file adds one space before a text that is not empty. What
 the file does to characters (none here) is asked of the library once; a file that changes them, or whose tokens cross
 those cuts, is refused.
 
-Defined results: a null or empty text has no bytes and no tokens.
+Defined results: a null or empty text has no bytes and no tokens. Rows that repeat a document are counted each. Long texts
+are one slice each, with or without spaces. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import heapq
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +36,8 @@ LIMIT = 4096
 #: Distinct pieces kept in a Python worker; beyond that it begins anew.
 KEPT = 1_000_000
 MARK = "▁"
+#: Rounds over all that is left, before what is not done yet goes on by rank.
+ROUNDS = 24
 
 _loaded: dict[str, Merges] = {}
 _NONE = np.iinfo(np.int64).max
@@ -91,7 +98,9 @@ class Merges:
     def merged(self, symbols: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """The symbols left of n pieces; ``of`` is each symbol's piece, ascending."""
         out: list[tuple[np.ndarray, np.ndarray]] = []
-        while len(symbols) > 1:
+        for _ in range(ROUNDS):
+            if len(symbols) < 2:
+                break
             rank, become = self._ranks(symbols[:-1], symbols[1:])
             rank[of[:-1] != of[1:]] = _NONE
             best = np.full(n, _NONE)
@@ -117,7 +126,7 @@ class Merges:
             nth = np.arange(len(place)) - np.repeat(start, np.diff(np.append(start, len(place))))
             place = place[nth % 2 == 0]
             symbols, of = self._joined(symbols, of, place, become, at_best)
-        out.append((symbols, of))
+        out.append(self._by_rank(symbols, of))
         return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
     def _joined(self, symbols: np.ndarray, of: np.ndarray, place: np.ndarray, become: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,11 +140,15 @@ class Merges:
         fresh = fresh[keep]
         beside = fresh[:-1] | fresh[1:]
         rank, _ = self._ranks(got[:-1], got[1:])
-        early = np.flatnonzero(beside & (got_of[:-1] == got_of[1:]) & (rank < best[keep][:-1]))
+        early = got_of[:-1][beside & (got_of[:-1] == got_of[1:]) & (rank < best[keep][:-1])]
+        # the same for a symbol that is joined itself only after this place
+        close = place[:-1][(place[1:] == place[:-1] + 2) & (of[place[1:]] == of[place[:-1]])]
+        rank, _ = self._ranks(become[close], symbols[close + 2])
+        early = np.concatenate([early, of[close[rank < best[close]]]])
         if not len(early):
             return got, got_of
         # those pieces join their leftmost place only
-        careful = np.unique(got_of[early])
+        careful = np.unique(early)
         first = np.ones(len(place), bool)
         first[1:] = of[place[1:]] != of[place[:-1]]
         place = place[first | ~np.isin(of[place], careful)]
@@ -145,6 +158,75 @@ class Merges:
         keep[place + 1] = False
         return new[keep], of[keep]
 
+    def _by_rank(self, symbols: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols left of pieces that may be long. Symbol ``n`` stands for no symbol; it has no rank with any other."""
+        n = len(symbols)
+        if n < 2:
+            return symbols, of
+        none = self.base + len(self.chars)  # beyond every character
+        sym = np.append(symbols, none)
+        last = np.append(of[:-1] != of[1:], True)
+        after = np.append(np.where(last, n, np.arange(1, n + 1)), n)
+        before = np.append(np.where(np.append(True, last[:-1]), n, np.arange(-1, n - 1)), n)
+        rank, become = self._ranks(sym, sym[after])
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < _NONE]
+            places = places[np.argsort(rank[places], kind="stable")]
+            of_place = rank[places]
+            begins = np.flatnonzero(np.append(True, of_place[1:] != of_place[:-1])) if len(places) else of_place
+            for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(places)], strict=False):
+                r = int(of_place[a])
+                if r not in waiting:
+                    heapq.heappush(ranks, r)
+                waiting.setdefault(r, []).append(places[a:b])
+
+        wait(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            groups = waiting.pop(r)
+            places = np.unique(np.concatenate(groups)) if len(groups) > 1 else groups[0]
+            places = places[rank[places] == r]
+            if not len(places):
+                continue
+            if len(places) > 1:
+                places = self._in_order(places, sym, before, after, become, of, r, wait)
+            gone = after[places]
+            behind = after[gone]
+            sym[places] = become[places]
+            after[places] = behind
+            before[behind] = places
+            sym[gone], rank[gone] = none, _NONE
+            left = before[places]
+            touched = np.unique(np.concatenate([places, left[left < n]]))
+            rank[touched], become[touched] = self._ranks(sym[touched], sym[after[touched]])
+            wait(touched)
+        live = sym[:n] != none
+        return sym[:n][live], of[live]
+
+    def _in_order(self, places: np.ndarray, sym: np.ndarray, before: np.ndarray, after: np.ndarray, become: np.ndarray, of: np.ndarray, r: int, wait: Callable[[np.ndarray], None]) -> np.ndarray:
+        """Of the places of a rank those that the library would join before any of a better rank comes up; the others wait."""
+        chain = np.append(True, after[places[:-1]] != places[1:])
+        start = np.flatnonzero(chain)
+        nth = np.arange(len(places)) - np.repeat(start, np.diff(np.append(start, len(places))))
+        taken = places[nth % 2 == 0]
+        # what stands beside a place when it is joined: to the left what earlier places made, to the right what is there now
+        left = sym[before[taken]]
+        made = np.append(False, after[taken[:-1]] == before[taken[1:]])
+        left[made] = become[taken[:-1]][made[1:]]
+        right = sym[after[after[taken]]]
+        new = become[taken]
+        early = np.flatnonzero((self._ranks(left, new)[0] < r) | (self._ranks(new, right)[0] < r))
+        if not len(early):
+            return taken
+        piece, at = np.unique(of[taken[early]], return_index=True)
+        until = np.full(int(of[places[-1]]) + 1, len(sym))
+        until[piece] = taken[early[at]]
+        wait(places[places > until[of[places]]])
+        return taken[taken <= until[of[taken]]]
+
     def count_new(self, pieces: list[bytes]) -> np.ndarray:
         """Tokens of each piece, a text in which a space is the space mark."""
         points = np.frombuffer("".join(texts := [p.decode("utf-8", "replace") for p in pieces]).replace(" ", MARK).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -165,14 +247,20 @@ class Merges:
         if len(self.counts) > KEPT:
             self.counts.clear()
         buf, offs = ragged.flat(texts)
-        sizes = np.diff(offs)
+        sizes = written = np.diff(offs)
+        # the space mark itself in a text is a space for the file
+        marks = np.flatnonzero((buf[:-2] == 0xE2) & (buf[1:-1] == 0x96) & (buf[2:] == 0x81)) if len(buf) > 2 else np.zeros(0, np.int64)
+        if len(marks):
+            shorter = np.ones(len(buf), bool)
+            shorter[marks + 1] = shorter[marks + 2] = False
+            buf = buf.copy()
+            buf[marks] = 0x20
+            buf, offs = buf[shorter], ragged.offsets(shorter)[offs]
+            sizes = np.diff(offs)
         # one space before each text that is not empty
         full = np.flatnonzero(sizes)
         buf, offs = np.insert(buf, offs[full], 0x20), offs + np.concatenate([[0], np.cumsum(sizes > 0)])
-        # the space mark itself in a text is a space for the file
         raw = buf.tobytes()
-        if MARK.encode() in raw:
-            return sizes, np.array([self._spelled(t) for t in texts.to_pylist()], np.int64)
         blank = buf == 0x20
         begins = blank.copy()
         begins[1:] &= ~blank[:-1]
@@ -188,10 +276,7 @@ class Merges:
             found[missing] = self.count_new(new)
             self.counts.update(zip(new, found[missing].tolist(), strict=True))
         total = np.concatenate([[0], np.cumsum(found[number])])
-        return sizes, np.diff(total[np.searchsorted(start, offs)])
-
-    def _spelled(self, text: str | None) -> int:
-        return int(self.count_new([f" {text.replace(MARK, ' ')}".encode()])[0]) if text else 0
+        return written, np.diff(total[np.searchsorted(start, offs)])
 
 
 def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against its plain form, on small tables with nulls, empty and long texts, ties and repeated rows."""
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -308,6 +309,31 @@ def test_token_counts_equal_the_library(docs_of, clashing, texts):
     assert plain_sort(got) == plain_sort(want)
 
 
+def test_long_pieces_equal_the_library(docs_of, texts):
+    import base64
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(16)
+    glued = "".join(t for _, t in texts if t).replace(" ", "")
+    long = [glued, "there" * 2000, "aab" * 3000, base64.b64encode(rng.randbytes(30_000)).decode(), "▁".join(glued[i : i + 900] for i in range(0, 9000, 900)), "\0" * 600 + glued[:500]]
+    long += ["".join(rng.choices(letters, k=3000)) for letters in ("the ni", "there", "aeinst", "ABCabc12", "=-_", "日本語のはab") for _ in range(4)]
+    rows = [*enumerate(long), *((1000 + i, t) for i, t in texts if i is not None)]
+    got = rows_of(op6.token_counts(docs_of(rows)))
+    assert plain_sort((r[0], r[2]) for r in got) == plain_sort((i, len(library.encode(t or ""))) for i, t in rows)
+    assert op6.token_counts(docs_of([])).count() == 0
+
+
+def test_a_megabyte_without_spaces_takes_seconds():
+    rng = random.Random(17)
+    syllables = [a + b for a in "bcdfghlmnprstvw" for b in "aeiou"]
+    text = "".join(rng.choices(syllables, k=500_000))
+    merges = op6.Merges.of(public_tokenizers.path("piece_bpe_32k.model"))
+    begin = time.process_time()
+    merges.count(pa.array([text]))
+    assert time.process_time() - begin < 60
+
+
 # --- passages
 
 
