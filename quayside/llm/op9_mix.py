@@ -2,11 +2,13 @@
 
 Sizes are numbers of words. The words of a source lie one after the other, by a hash of the document, and are packed into
 blocks of ``BLOCK`` words. A source's target asks for a number of draws; each draw goes to an output shard by a hash, so
-that a shard's counts by source are one multinomial draw given the totals, and fills a slot there. A source's n-th draw
-takes the block at place n of a permutation of its blocks (an affine map by a large prime, begun at a place that depends
-on the source), and begins anew after the last block. As a target is at most three times the source, no block is taken
-more often than that, and draws differ by one at most between the blocks of a source. Slots and blocks meet in a join on
-(source, block).
+that the counts of a shard by source are one multinomial draw given the totals. A shard's counts then become slots: the
+draws of a source are numbered shard by shard, and number i takes the block at place i of a pseudorandom permutation of
+the source's blocks (``permuted``), which begins anew, in another order, after the last block. As a target is at most three
+times the source, no block is taken more often than that, and draws differ by one at most between the blocks of a
+source. Inside a shard the sources are mixed by a permutation of the slots. Slots and blocks meet in a join on (source,
+block): ``packed`` is the mix block by block, ``mix_report`` what it takes of each document, ``mixed`` the same
+as documents.
 
 Targets: source i by code point (null last) weighs 1, 2, 3, 1, 2, 3, ... and gets its share of all words, at most three
 times its own; what is left over goes to the others by weight, which has the closed form used here (the first sources by
@@ -21,6 +23,8 @@ document are mixed as documents of their own; rows alike in id and text share th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +34,10 @@ BLOCK = 128
 SHARD = 4096
 MOST = 3
 WEIGHTS = 3
-_PRIME = 2147483647  # larger than any number of blocks of one source that a double counts here
+#: Rounds of the permutations. After r rounds a number is where it was with a probability of 2^-r.
+ROUNDS = 24
+#: Shards that are numbered in one window.
+GROUP = 1024
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -78,8 +85,20 @@ def _targets(rows: DataFrame) -> DataFrame:
     return level.select("key", "source_size", F.coalesce(F.least(most, F.col("level") * F.col("weight")), most).alias("target"))
 
 
-def _slots(targets: DataFrame) -> DataFrame:
-    """One row per slot of the mix: key, block, shard, slot. Draws are made in chunks, so no row unfolds to all of a source's."""
+def permuted(number: Column, n: Column, seed: Column) -> Column:
+    """A keyed bijection of 0 .. n - 1 for any n: each round mirrors the numbers at a point drawn for the round, and each
+    pair of mirror images changes places or stays by a bit drawn for the pair."""
+
+    def swapped(x: Column, turn: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(seed, turn), n) - x, n)
+        return F.when(F.xxhash64(turn, seed, F.greatest(x, other)).bitwiseAND(F.lit(1)) == 1, other).otherwise(x)
+
+    return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), number, swapped)
+
+
+def _counts(targets: DataFrame) -> DataFrame:
+    """Draws of each source for each shard: key, blocks (of the source), shard, n. Draws are made in chunks, so no row
+    unfolds to all of a source's."""
     blocks = F.ceil(F.col("source_size") / BLOCK).cast("long")
     draws = F.least(F.round(F.col("target") * blocks / F.col("source_size")).cast("long"), MOST * blocks)
     sources = targets.where("source_size > 0").select("key", blocks.alias("blocks"), draws.alias("draws"))
@@ -87,28 +106,85 @@ def _slots(targets: DataFrame) -> DataFrame:
     chunked = sources.withColumn("shards", shards).where("draws > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("draws") - 1) / SHARD).cast("long"))))
     last = F.least(F.col("draws"), (F.col("chunk") + 1) * SHARD) - 1
     each = chunked.repartition("key", "chunk").withColumn("draw", F.explode(F.sequence(F.col("chunk") * SHARD, last)))
-    turn = F.col("draw") % F.col("blocks")
-    block = (turn * _PRIME + F.pmod(F.xxhash64("key"), F.col("blocks"))) % F.col("blocks")
-    return each.select("key", block.alias("block"), F.pmod(F.xxhash64("key", "draw"), F.col("shards")).alias("shard"), F.xxhash64("draw", "key").alias("slot"))
+    return each.groupBy("key", "blocks", F.pmod(F.xxhash64("key", "draw"), F.col("shards")).alias("shard")).agg(F.count("*").alias("n"))
 
 
-def _taken(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row per document and block it has words in: the row's columns, from, to (words of the document), draws."""
+def _slots(targets: DataFrame) -> DataFrame:
+    """One row per slot of the mix: key, block, shard, slot. A shard's slots are numbered from 0."""
+    counts = _counts(targets).withColumn("group", (F.col("shard") / GROUP).cast("long"))
+    groups = counts.groupBy("key", "group").agg(F.sum("n").alias("sum"))
+    before = groups.select("key", "group", (F.sum("sum").over(Window.partitionBy("key").orderBy("group")) - F.col("sum")).alias("before"))
+    in_source = F.sum("n").over(Window.partitionBy("key", "group").orderBy("shard")) - F.col("n")
+    of_shard = Window.partitionBy("shard")
+    in_shard = F.sum("n").over(of_shard.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    counted = counts.withColumn("inner", in_source).join(before, ["key", "group"]).withColumn("first", F.col("before") + F.col("inner"))
+    counted = counted.withColumn("place", in_shard).withColumn("total", F.sum("n").over(of_shard))
+    each = counted.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).withColumn("draw", F.col("first") + F.col("i"))
+    lap = (F.col("draw") / F.col("blocks")).cast("long")
+    block = permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), F.xxhash64("key", lap))
+    return each.select("key", block.alias("block"), "shard", permuted(F.col("place") + F.col("i"), F.col("total"), F.xxhash64("shard")).alias("slot"))
+
+
+def _pieces(rows: DataFrame) -> DataFrame:
+    """One row per document and block it has words in: the row's columns, block, from, to (words of the document)."""
     first, last = (F.col("start") / BLOCK).cast("long"), ((F.col("start") + F.col("size") - 1) / BLOCK).cast("long")
     pieces = rows.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
     pieces = pieces.withColumn("from", F.greatest(F.col("block") * BLOCK - F.col("start"), F.lit(0)))
-    pieces = pieces.withColumn("to", F.least((F.col("block") + 1) * BLOCK - F.col("start"), F.col("size")))
-    drawn = _slots(targets).groupBy("key", "block").agg(F.count("*").alias("draws"))
-    return pieces.join(drawn, ["key", "block"], "left").withColumn("draws", F.coalesce("draws", F.lit(0)))
+    return pieces.withColumn("to", F.least((F.col("block") + 1) * BLOCK - F.col("start"), F.col("size")))
+
+
+def _taken(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """The pieces, with draws (slots that take the piece's block) and at (the first of them: shard, slot)."""
+    drawn = _slots(targets).groupBy("key", "block").agg(F.count("*").alias("draws"), F.min(F.struct("shard", "slot")).alias("at"))
+    return _pieces(rows).join(drawn, ["key", "block"], "left").withColumn("draws", F.coalesce("draws", F.lit(0)))
 
 
-def mix_report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
+def mix_report(docs: DataFrame, slots: bool = False) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken; with ``slots`` also n_slots (that hold words of it)
+    and first_shard, first_slot (null where it is not taken)."""
     rows = _placed(docs)
     targets = _targets(rows)
-    words = _taken(rows, targets).groupBy("key", "chunk", "n").agg(F.sum((F.col("to") - F.col("from")) * F.col("draws")).alias("taken"))
+    none = F.lit(0).cast("long")
+    words = _taken(rows, targets).groupBy("key", "chunk", "n").agg(F.sum((F.col("to") - F.col("from")) * F.col("draws")).alias("taken"), F.sum("draws").alias("n_slots"), F.min("at").alias("at"))
     found = rows.join(words, ["key", "chunk", "n"], "left").join(targets, "key")
-    return found.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    more = [F.coalesce("n_slots", none).alias("n_slots"), F.col("at.shard").alias("first_shard"), F.col("at.slot").alias("first_slot")] if slots else []
+    return found.select("doc_id", "size", "source_size", "target", F.coalesce("taken", none).alias("taken"), *more)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """One of the rows alike in id and text: id, hash, text, row (the other columns)."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), "text", others.alias("row")).dropDuplicates(["id", "hash"])
+
+
+def _cut(places: Column, made: Callable[[Column, Column], Column]) -> Column:
+    """``made(place, words of the place)`` for every place (from, to) of the text, which is split once for all of them."""
+    words = F.filter(F.split("text", _SPACE), lambda w: w != "")
+    some = lambda w, m: F.array_join(F.slice(w, (m["from"] + 1).cast("int"), (m["to"] - m["from"]).cast("int")), " ")
+    return F.flatten(F.transform(F.array(words), lambda w: F.transform(places, lambda m: made(m, some(w, m)))))
+
+
+def _same(a: str = "doc_id", b: str = "alike") -> Column:
+    return F.col("id").eqNullSafe(F.col(a)) & (F.col("hash") == F.col(b))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The mix, one row per slot: shard, slot, source, block, n_words, text (of the block, words joined by one space).
+    A block has ``BLOCK`` words, the last of a source may have fewer."""
+    rows = _placed(docs)
+    place = F.struct("block", (F.col("start") + F.col("from")).alias("at"), "from", "to")
+    plan = _pieces(rows).groupBy("key", "chunk", "n", "doc_id", "alike").agg(F.collect_list(place).alias("places"))
+    cut = _texts(docs).join(plan, _same())
+    parts = cut.select("key", F.explode(_cut(F.col("places"), lambda m, t: F.struct(m["block"].alias("block"), m["at"].alias("at"), (m["to"] - m["from"]).alias("n"), t.alias("text")))).alias("part"))
+    blocks = parts.groupBy("key", F.col("part.block").alias("block")).agg(F.sum("part.n").alias("n_words"), F.array_sort(F.collect_list(F.struct("part.at", "part.text"))).alias("parts"))
+    source = F.when(F.col("key") != "", F.expr("substring(key, 2)"))
+    found = _slots(_targets(rows)).join(blocks, ["key", "block"])
+    return found.select("shard", "slot", source.alias("source"), "block", "n_words", F.array_join(F.col("parts.text"), " ").alias("text"))
+
+
+def write_shards(docs: DataFrame, path: str) -> None:
+    """The mix as Parquet in ranges of shards, in the order of shard and slot."""
+    packed(docs).repartitionByRange("shard").sortWithinPartitions("shard", "slot").write.parquet(path)
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -118,21 +194,15 @@ def mixed(docs: DataFrame) -> DataFrame:
     rows = _placed(docs)
     every = F.min("draws").over(Window.partitionBy("key", "chunk", "n"))
     pieces = _taken(rows, _targets(rows)).withColumn("whole", every)
-    more = F.when(F.col("draws") > F.col("whole"), F.struct("from", "to", (F.col("draws") - F.col("whole")).alias("times")))
-    plan = pieces.groupBy("key", "chunk", "n", "doc_id", "alike").agg(F.first("whole").alias("whole"), F.array_sort(F.collect_list(more)).alias("more"))
-    plan = plan.where("whole > 0 OR size(more) > 0").groupBy("doc_id", "alike").agg(F.sum("whole").alias("whole"), F.flatten(F.collect_list("more")).alias("more"))
-    one = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    both = one.dropDuplicates(["id", "hash"]).join(plan, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("alike")))
-    place = lambda a, b: F.struct(a.alias("from"), b.alias("to"))
-    parts = F.flatten(F.transform("more", lambda m: F.array_repeat(place(m["from"], m["to"]), m["times"].cast("int"))))
-    none = F.lit(None).cast("long")
-    cut = both.withColumn("piece", F.explode(F.concat(F.array_repeat(place(none, none), F.col("whole").cast("int")), parts)))
-    spelled = F.filter(F.split("row.text", _SPACE), lambda w: w != "")
-    some = F.slice(spelled, (F.col("piece.from") + 1).cast("int"), (F.col("piece.to") - F.col("piece.from")).cast("int"))
-    cut = cut.withColumn("text", F.when(F.col("piece.from").isNull(), F.col("row.text")).otherwise(F.array_join(some, " ")))
+    more = F.when(F.col("draws") > F.col("whole"), F.struct("from", "to", (F.col("draws") - F.col("whole")).cast("int").alias("times")))
+    plan = pieces.groupBy("key", "chunk", "n", "doc_id", "alike").agg(F.first("whole").cast("int").alias("whole"), F.array_sort(F.collect_list(more)).alias("more"))
+    both = _texts(docs).join(plan.where("whole > 0 OR size(more) > 0"), _same())
+    parts = F.flatten(_cut(F.col("more"), lambda m, t: F.array_repeat(t, m["times"])))
+    pieces = F.concat(F.array_repeat(F.col("text"), F.col("whole")), parts)
+    cut = both.select("row", F.explode(pieces).alias("text"))
     changed = {"text": F.col("text")} | ({"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return cut.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mix_report(spark.read.parquet(f"{sf_dir}/documents.parquet"), slots=True)

@@ -4,9 +4,12 @@ import binascii
 import hashlib
 import math
 import re
+import struct
 import zlib
 from collections import Counter
 
+import xxhash
+
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -155,3 +158,67 @@ def targets(sizes):
         if not over:
             return found
         full |= over
+
+
+def spark_hash(*values):
+    """Unsigned; null leaves the hash as it is."""
+    h = 42
+    for v in values:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else v
+            h = xxhash.xxh64(data, seed=h).intdigest()
+    return h
+
+
+def _long(x):
+    return struct.pack("<q", x)
+
+
+def _signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def permuted(x, n, seed, rounds=24):
+    """``seed`` is a signed long."""
+    for i in range(rounds):
+        turn = struct.pack("<i", i)
+        other = (_signed(spark_hash(_long(seed), turn)) % n - x) % n
+        if spark_hash(turn, _long(seed), _long(max(x, other))) & 1:
+            x = other
+    return x
+
+
+def packed_mix(rows, block, shard_size, chunks):
+    """shard, slot, source, block, n_words, text of every slot."""
+    by_key, source_of = {}, {}
+    for i, t, s in rows:
+        key = "" if s is None else "=" + s
+        source_of[key] = s
+        alike = _signed(spark_hash(t))
+        chunk = _signed(spark_hash(None if i is None else _long(i), _long(alike))) % chunks
+        by_key.setdefault(key, []).append((chunk, i is not None, i or 0, alike, words_of(t)))
+    stream = {k: [w for d in sorted(v, key=lambda d: d[:4]) for w in d[4]] for k, v in by_key.items()}
+    want = targets({source_of[k]: len(v) for k, v in stream.items()})
+    draws, blocks = {}, {k: -(-len(v) // block) for k, v in stream.items()}
+    for k, v in stream.items():
+        if v:
+            draws[k] = min(math.floor(want[source_of[k]] * blocks[k] / len(v) + 0.5), 3 * blocks[k])
+    shards = -(-sum(draws.values()) // shard_size)
+    counts = {}
+    for k, n in draws.items():
+        for d in range(n):
+            at = _signed(spark_hash(k, _long(d))) % shards
+            counts.setdefault(at, {}).setdefault(k, 0)
+            counts[at][k] += 1
+    out, done = [], dict.fromkeys(draws, 0)
+    for shard in sorted(counts):
+        total, place = sum(counts[shard].values()), 0
+        for k in sorted(counts[shard]):
+            for _ in range(counts[shard][k]):
+                lap, turn = divmod(done[k], blocks[k])
+                b = permuted(turn, blocks[k], _signed(spark_hash(k, _long(lap))))
+                text = stream[k][b * block : (b + 1) * block]
+                out.append((shard, permuted(place, total, _signed(spark_hash(_long(shard)))), source_of[k], b, len(text), " ".join(text)))
+                done[k] += 1
+                place += 1
+    return out

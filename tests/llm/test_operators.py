@@ -447,8 +447,45 @@ def test_mixed_rows_hold_what_the_report_says(docs_of, clashing):
     assert got == {r[0]: r[4] for r in rows_of(op9.mix_report(docs)) if r[4]}
 
 
+def test_permutations_are_bijections(spark):
+    sizes = [*range(1, 60), 63, 64, 99, 126, 1000, 4097]
+    table = spark.createDataFrame([(n, seed) for n in sizes for seed in (1, 2)], "n long, seed long").withColumn("i", F.expr("explode(sequence(0L, n - 1))"))
+    rows = rows_of(table.select("n", "seed", "i", op9.permuted(F.col("i"), F.col("n"), F.col("seed")).alias("to")))
+    to = {}
+    for n, seed, i, x in rows:
+        to.setdefault((n, seed), {})[i] = x
+    for (n, seed), m in to.items():
+        assert sorted(m.values()) == list(range(n)) and m == {i: brute.permuted(i, n, seed) for i in range(n)}
+        if n > 20:  # no rotation, and no other for another seed's sake
+            assert len({(m[i] - i) % n for i in m}) > n // 3 and m != to[n, 3 - seed]
+
+
+def test_packed_mix_equals_brute_force(spark, docs_of, clashing, monkeypatch):
+    monkeypatch.setattr(op9, "SHARD", 16)
+    monkeypatch.setattr(op9, "GROUP", 2)
+    rng = random.Random(13)
+    rows = [(i, words(rng, rng.randrange(0, 900)), rng.choice(["b", "b", "b", "a", None, "Z"])) for i in range(90)]
+    rows += [(200, None, "a"), (201, " \n", "empty"), (202, " lead and\tend ", "tiny"), (None, words(rng, 300), "b"), (7, rows[7][1], rows[7][2]), (203, words(rng, 9000), "a")]
+    docs = clashing(docs_of(rows))
+    chunks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = brute.packed_mix(rows, op9.BLOCK, 16, chunks)
+    assert len({r[0] for r in want}) > 4
+    assert plain_sort(rows_of(op9.packed(docs))) == plain_sort(want)
+    # a shard's slots are numbered without gaps, and the report counts the same slots
+    for shard in {r[0] for r in want}:
+        mine = sorted(r[1] for r in want if r[0] == shard)
+        assert mine == list(range(len(mine)))
+    report = rows_of(op9.mix_report(docs, slots=True))
+    assert sum(r[4] for r in report) == sum(r[4] for r in want)
+    assert {r[6:] for r in report if r[4]} <= {(r[0], r[1]) for r in want} and all((r[5] > 0) == (r[4] > 0) == (r[6] is not None) for r in report)
+    path = f"{scratch_path(spark, 'shards')}"
+    op9.write_shards(docs, path)
+    assert spark.read.parquet(path).count() == len(want)
+    assert op9.packed(docs_of([])).count() == 0
+
+
 def test_mix_is_native(docs_of):
-    for frame in (op9.mix_report(docs_of([(1, "a b", "x")])), op9.mixed(docs_of([(1, "a b", "x")]))):
+    for frame in (op9.mix_report(docs_of([(1, "a b", "x")]), slots=True), op9.packed(docs_of([(1, "a b", "x")])), op9.mixed(docs_of([(1, "a b", "x")]))):
         plan = frame._jdf.queryExecution().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow")) and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
