@@ -182,6 +182,23 @@ def test_decontamination_offsets_and_stage(spark, docs_of):
     assert op3.marked(docs.where("false"), bench).count() == 0
 
 
+def test_a_window_of_many_items_is_cut_into_blocks(spark, docs_of):
+    items = [(f"i{i}", "same few words " + ("" if i % 2 else f"and{i}")) for i in range(400)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    blocks = list(op3._blocks(bench.repartition(3), 10, 8000))
+    assert len(blocks) > op3.STEPS and all(sum(map(len, b.values())) * op3.ID_BYTES < 8000 + op3.ID_BYTES for b in blocks)
+    docs = [(1, "here: same few words and2"), (2, "same few"), (3, None)]
+    got = rows_of(op3.marked(docs_of(docs), bench, block_bytes=8000).select("row.doc_id", "n_hit", F.size("item_ids")))
+    assert plain_sort(got) == [(1, 4, 201), (2, 0, 0), (3, 0, 0)]
+
+
+def test_spellings_match_whole_words_only():
+    for n in (1, 63, 64, 65, 5000):
+        spelled, other = op3.spelling([str(i).encode() for i in range(n)])
+        assert len(set(spelled.values())) == n and {len(x) for x in spelled.values()} == {len(other)}
+        assert not {x[0] for x in spelled.values()} & {c for x in [other, *spelled.values()] for c in [*x[1:], other[0]]}
+
+
 # --- scoring
 
 
