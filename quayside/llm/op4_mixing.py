@@ -47,7 +47,7 @@ STEPS = 33  # of the adaptive map, for each bit of a byte
 ROUNDS, RATE = 1, 0.1
 FREQUENT, EVENTS = 200_000, 16
 CHUNK = 1 << 13  # events at a time: a step of online learning
-MOST = 1 << 21  # different events that a task holds before it gives them on
+MOST = 1 << 20  # different events that a task holds before it gives them on
 BUCKET = 1 << 22  # bytes of all texts for each bucket of events
 ROWS = 1 << 16
 
@@ -84,6 +84,8 @@ class Spelling(NamedTuple):
     ones: np.ndarray
     weights: np.ndarray
     came_true: np.ndarray
+    logits: np.ndarray | None = None
+    seen: np.ndarray | None = None
 
     @classmethod
     def empty(cls) -> Spelling:
@@ -91,17 +93,24 @@ class Spelling(NamedTuple):
         size = PREDICTORS << 8
         return cls(np.zeros(size), np.zeros(size), np.full((GATES, PREDICTORS + 1), [*[1.5 / PREDICTORS] * PREDICTORS, 0.0]), np.zeros((2, 8, STEPS)))
 
+    def prepared(self, learning: bool) -> Spelling:
+        """With each node's logit and how much it has seen, as many events share a node. When learning, these are there twice:
+        with a 0 taken out of the counts, then with a 1 taken out."""
+        n0, n1 = self.zeros, self.ones
+        if learning:
+            n0, n1 = np.concatenate([np.maximum(n0 - 1, 0), n0]), np.concatenate([n1, np.maximum(n1 - 1, 0)])
+        return self._replace(logits=np.clip(np.log((n1 + 0.1) / (n0 + 0.1)), -9, 9), seen=np.minimum(np.log2(n0 + n1 + 1) / 2, 3).astype(np.int8))
+
     def mixed(self, places: np.ndarray, bit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, gate and probability of a 1. With ``bit``, each event is taken out of its own counts."""
-        n0, n1 = self.zeros[places], self.ones[places]
+        """Inputs, gate and logit of a 1. With ``bit``, each event is taken out of its own counts."""
+        now = self if self.logits is not None else self.prepared(bit is not None)
         if bit is not None:
-            n1, n0 = np.maximum(n1 - bit, 0), np.maximum(n0 - (1 - bit), 0)
+            places = places + bit * np.int64(len(self.zeros))
         inputs = np.empty((PREDICTORS + 1, places.shape[1]))
-        inputs[:-1] = np.clip(np.log((n1 + 0.1) / (n0 + 0.1)), -9, 9)
+        inputs[:-1] = now.logits[places]
         inputs[-1] = 0.3
-        seen = lambda i: np.minimum(np.log2(n0[i] + n1[i] + 1) / 2, 3).astype(np.int64)
-        gate = seen(-1) * 16 + seen(-2) * 4 + seen(2)
-        logit = np.clip((self.weights[gate].T * inputs).sum(axis=0), -14, 14)
+        gate = now.seen[places[-1]] * 16 + now.seen[places[-2]] * 4 + now.seen[places[2]]
+        logit = np.clip((np.take(self.weights.T, gate, axis=1) * inputs).sum(axis=0), -14, 14)
         return inputs, gate, logit
 
     def refined(self, logit: np.ndarray, k: int) -> np.ndarray:
@@ -173,6 +182,12 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ..
         first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]))
         return gram[first], *(np.add.reduceat(x[order], first).astype(np.uint32) for x in (n, f))
 
+    def different(gram: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, ...]:
+        key = np.sort((gram << _U(1)) | train)
+        gram = key >> _U(1)
+        first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]))
+        return gram[first], np.add.reduceat((key & _U(1)).astype(np.uint32), first), np.diff(first, append=len(key)).astype(np.uint32)
+
     kept: list[tuple[np.ndarray, ...]] = []
     size = least = 0
     for rows in ragged.slices(batches):
@@ -180,7 +195,7 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ..
         if not len(buf):
             continue
         train = np.repeat(~rows.column("held_out").to_numpy(zero_copy_only=False), np.diff(offs))
-        kept.append(merged([(grams(buf, offs), train.astype(np.uint32), np.ones(len(buf), np.uint32))]))
+        kept.append(different(grams(buf, offs), train))
         size += len(kept[-1][0])
         if size > least + MOST // 2:
             kept = [merged(kept)]
@@ -377,6 +392,7 @@ def _round(events: DataFrame, short, model: Spelling) -> np.ndarray:
         for pack in _packs(batches):
             pack = pack.train()
             numbers, now = known(pack, short.value, model)
+            now = now.prepared(learning=True)
             for k, places, bit in bits(pack.byte, numbers):
                 inputs, gate, logit = now._replace(weights=weights).mixed(places, bit)
                 error = (1 / (1 + np.exp(-logit)) - bit) * pack.n
@@ -401,6 +417,7 @@ def _map(events: DataFrame, short, model: Spelling) -> np.ndarray:
         for pack in _packs(batches):
             pack = pack.train()
             numbers, now = known(pack, short.value, model)
+            now = now.prepared(learning=True)
             for k, places, bit in bits(pack.byte, numbers):
                 step = np.rint((now.mixed(places, bit)[2] + 14) / 28 * (STEPS - 1)).astype(np.int64)
                 total[0, k] += np.bincount(step, pack.n, STEPS)
@@ -421,6 +438,7 @@ def _scored_events(events: DataFrame, short, model: Spelling) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack in _packs(batches):
             numbers, now = known(pack, short.value, model)
+            now = now.prepared(learning=False)
             total = np.zeros(len(pack.gram))
             for k, places, bit in bits(pack.byte, numbers):
                 p = now.refined(now.mixed(places)[2], k)
