@@ -96,6 +96,11 @@ def permuted(number: Column, n: Column, seed: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), number, swapped)
 
 
+def _spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows that unfold to many more, dealt over a fixed number of tasks: by their bytes they would be merged into a few."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _counts(targets: DataFrame) -> DataFrame:
     """Draws of each source for each shard: key, blocks (of the source), shard, n. Draws are made in chunks, so no row
     unfolds to all of a source's."""
@@ -105,7 +110,7 @@ def _counts(targets: DataFrame) -> DataFrame:
     shards = F.ceil(F.sum("draws").over(Window.partitionBy()) / SHARD).cast("long")
     chunked = sources.withColumn("shards", shards).where("draws > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("draws") - 1) / SHARD).cast("long"))))
     last = F.least(F.col("draws"), (F.col("chunk") + 1) * SHARD) - 1
-    each = chunked.repartition("key", "chunk").withColumn("draw", F.explode(F.sequence(F.col("chunk") * SHARD, last)))
+    each = _spread(chunked, "key", "chunk").withColumn("draw", F.explode(F.sequence(F.col("chunk") * SHARD, last)))
     return each.groupBy("key", "blocks", F.pmod(F.xxhash64("key", "draw"), F.col("shards")).alias("shard")).agg(F.count("*").alias("n"))
 
 
@@ -119,7 +124,7 @@ def _slots(targets: DataFrame) -> DataFrame:
     in_shard = F.sum("n").over(of_shard.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
     counted = counts.withColumn("inner", in_source).join(before, ["key", "group"]).withColumn("first", F.col("before") + F.col("inner"))
     counted = counted.withColumn("place", in_shard).withColumn("total", F.sum("n").over(of_shard))
-    each = counted.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).withColumn("draw", F.col("first") + F.col("i"))
+    each = _spread(counted, "key", "shard").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).withColumn("draw", F.col("first") + F.col("i"))
     lap = (F.col("draw") / F.col("blocks")).cast("long")
     block = permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), F.xxhash64("key", lap))
     return each.select("key", block.alias("block"), "shard", permuted(F.col("place") + F.col("i"), F.col("total"), F.xxhash64("shard")).alias("slot"))
