@@ -232,6 +232,29 @@ def test_spelling_adds_up_to_one():
     assert abs(mass - 1) < 1e-9
 
 
+def test_nodes_without_their_event():
+    """Prepared nodes give what each event gives by itself, taken out of its own counts."""
+    rng = np.random.default_rng(3)
+    zeros, ones = rng.integers(0, 4, (2, 50)).astype(float)
+    model = op4.Spelling.empty()._replace(zeros=zeros, ones=ones)
+    places, bit = rng.integers(0, 50, (op4.PREDICTORS, 200)), rng.integers(0, 2, 200).astype(np.uint8)
+    for one in (None, bit):
+        n0, n1 = zeros[places], ones[places]
+        if one is not None:
+            n0, n1 = np.maximum(n0 - (one == 0), 0), np.maximum(n1 - (one == 1), 0)
+        for now in (model, model.prepared(one is not None)):
+            inputs, gate, _ = now.mixed(places, one)
+            assert np.allclose(inputs[:-1], np.clip(np.log((n1 + 0.1) / (n0 + 0.1)), -9, 9))
+            assert gate.min() >= 0 and gate.max() < op4.GATES
+
+
+def test_draws_are_unfolded_by_many_tasks(spark, docs_of):
+    """Rows that unfold to draws or slots aren't merged by their bytes into a few tasks."""
+    docs = docs_of([(i, "a b c", "xyz"[i % 3]) for i in range(30)])
+    plan = op9.mix_report(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2
+
+
 def test_scores_learn(docs_of):
     """Held-out texts score better than by counted words alone."""
     rng = random.Random(2)
