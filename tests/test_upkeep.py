@@ -324,3 +324,21 @@ def test_unreadable_values(spark):
     frame = spark.createDataFrame([("1", "2024-01-01"), ("x", "2024-01-01"), ("1", "2024-13-01"), ("y", "z"), (None, None)], "n string, d string")
     got = responses.unreadable(frame, {"n": "decimal(20,2)", "d": "date"}).select("column_name", "value", "type")
     assert content(got) == [("d", "2024-13-01", "date"), ("n", "x", "decimal(20,2)"), ("n", "y", "decimal(20,2)")]
+
+
+def test_small_loads_do_not_rewrite_the_table_each_time(spark, tmp_path):
+    """Twenty loads into the same two partitions, the newest copies first: each row is written a few times at most."""
+    root, key = str(tmp_path), ["k", "p"]
+    for i in range(20):
+        some = rows(spark, *[(k, p, 100 - i) for k in (0, i + 1) for p in "ab"])
+        partitioned.upsert(spark, root, some, key, "p", newest="v")
+    found = sorted([(k, p, 100 - max(k - 1, 0)) for k in range(21) for p in "ab"], key=repr)
+    assert content(partitioned.read(spark, root)) == found
+    assert spark.read.parquet(f"{root}/data").count() <= 3 * 20 * 4
+    assert max(len(partitioned.version(spark, root).loads(f"p={p}")) for p in "ab") < partitioned.FAN
+    # layers meet a load that replaces rows, and a load by another rule
+    partitioned.upsert(spark, root, rows(spark, (0, "a", 1)), key, "p")
+    assert content(partitioned.read(spark, root)) == sorted([r for r in found if r[:2] != (0, "a")] + [(0, "a", 1)], key=repr)
+    partitioned.upsert(spark, root, rows(spark, (0, "b", 200, 1), schema="k int, p string, v int, w int"), key, "p", newest="w")
+    both = [r for r in found if r[:2] not in {(0, "a"), (0, "b")}] + [(0, "a", 1), (0, "b", 200)]
+    assert content(partitioned.read(spark, root).drop("w")) == sorted(both, key=repr)
