@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from quayside.functions.dates import month_from_text, month_of_period
 from quayside.functions.numbers import money
 from quayside.functions.text import char, varchar
-from quayside.operators.cleansing import latest_per_key, positive, resolve_name, sum_unknown
+from quayside.operators.cleansing import latest_per_key, positive, resolve_name, shares_unknown, sum_unknown
 from quayside.operators.incremental import newer_than
+from quayside.sources.tables import stored
 
 # Defaults for missing parts, and the region of states outside the list.
 NO_MEMBER, NO_HEADING, NO_REGION = "N/A", "0000", "Não se aplica"
@@ -61,7 +62,9 @@ def silver_trades(
     """
     placed = resolved_trades(bronze, cities, countries, flag, run_at, target, widths, since)
     if unknown == "sum":
-        placed = sum_unknown(placed, FACT_KEY, RECORD, UNKNOWN, ("fob_value", "net_weight"))
+        # both kinds of rows are read from one table, where only those with an unknown member need their names
+        placed = placed.withColumns({c: F.when(shares_unknown(UNKNOWN), F.col(c)) for c in RECORD})
+        placed = sum_unknown(stored(placed, "placed"), FACT_KEY, RECORD, UNKNOWN, ("fob_value", "net_weight"))
     return placed.select(*SILVER_COLUMNS)
 
 
