@@ -65,12 +65,15 @@ def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def build_gold(
     spark: SparkSession, root: str, bronze: Bronze, run_at: datetime, full_refresh: bool = False, unknown_member: bool = False, widths: silver.Widths = silver.WIDTHS
 ) -> None:
-    """The fact and its dimensions; ``unknown_member`` gives unmatched names a member to point to."""
+    """The fact and its dimensions; ``unknown_member`` gives unmatched names a member to point to.
+
+    Silver lies by month already, and the fact's rows keep that order: they are written as they are read.
+    """
     s = read_silver(spark, root)
     path = f"{root}/gold/fact_trades"
     since = None if full_refresh else partitioned.mark(spark, path)
     fact = gold.fact_trades(s["imports"], s["exports"], s["cpi"], run_at, since=since)
-    partitioned.upsert(spark, path, fact, gold.FACT_KEY, "trade_date", replace=full_refresh)
+    partitioned.upsert(spark, path, fact, gold.FACT_KEY, "trade_date", replace=full_refresh, gathered=True)
     for name, key, rows in (
         ("dim_cities", "city_id", gold.dim_cities(s["cities"], run_at)),
         ("dim_countries", "country_id", gold.dim_countries(s["countries"], run_at)),
