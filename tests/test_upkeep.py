@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import cleansing, quality
-from quayside.operators.incremental import DuplicateKeys
-from quayside.plans import build, rollup, silver, sketches
+from quayside.operators.incremental import DuplicateKeys, require_unique
+from quayside.plans import build, rollup, silver, sketches, table_bronze
 from quayside.plans import measures as M
 from quayside.plans.star import FilterContext, Star
+from quayside.plans.table_star import SCHEMAS as table_star_schemas
 from quayside.plans.table_star import table_star
 from quayside.sources import partitioned, responses
 
@@ -342,3 +343,48 @@ def test_small_loads_do_not_rewrite_the_table_each_time(spark, tmp_path):
     partitioned.upsert(spark, root, rows(spark, (0, "b", 200, 1), schema="k int, p string, v int, w int"), key, "p", newest="w")
     both = [r for r in found if r[:2] not in {(0, "a"), (0, "b")}] + [(0, "a", 1), (0, "b", 200)]
     assert content(partitioned.read(spark, root).drop("w")) == sorted(both, key=repr)
+
+
+def physical(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_known_rows_are_not_shuffled_for_the_unknown_ones(spark):
+    some = spark.range(50).selectExpr("id AS key", "CASE WHEN id % 9 = 0 THEN 'N/A' ELSE 'x' END AS member", "'n' AS name", "id AS v")
+    got = cleansing.sum_unknown(some.unionByName(some.filter("id < 2")), ["key", "member"], ["name"], {"member": "N/A"}, ["v"])
+    assert "Exchange" not in physical(got.filter("member = 'x'"))
+    assert got.filter("member = 'x'").count() == 45 and got.filter("member = 'N/A'").count() == 7
+
+
+def test_gathered_rows_are_written_as_they_come(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(partitioned, "sized", lambda *_: pytest.fail("shuffled"))
+    partitioned.upsert(spark, str(tmp_path), rows(spark, (1, "a", 1), (2, "b", 2)), ["k", "p"], "p", gathered=True)
+    assert content(partitioned.read(spark, str(tmp_path))) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_unique_keys_with_one_hash(spark):
+    """A missing part leaves a hash as it is: equal hashes alone are no fault, equal keys are."""
+    pairs = [("a", None), (None, "a")]
+    require_unique(spark.createDataFrame(pairs, "k string, p string"), ["k", "p"])
+    with pytest.raises(DuplicateKeys, match="occurs 2 times"):
+        require_unique(spark.createDataFrame([*pairs, ("a", None)], "k string, p string"), ["k", "p"])
+
+
+def test_nations_meet_orders_before_records_are_summed(spark, tmp_path):
+    """Customers that come twice, have no nation, or are missing give the records that a join after the sums gave."""
+    day = dt.datetime(1997, 3, 5)
+    tables = {
+        "customer": ([(1, "c", 3, 0.0, "m"), (1, "c", 4, 0.0, "m"), (2, "c", None, 0.0, "m")], table_star_schemas["customer"]),
+        "supplier": ([(7, "s", 2, 0.0)], table_star_schemas["supplier"]),
+        "part": ([(8, "p", "b", "TYPE", 1, 0.0)], table_star_schemas["part"]),
+        "orders": ([(i, c, "O", 0.0, day, "5-LOW") for i, c in ((10, 1), (11, 1), (12, 2), (13, 3), (14, None))], table_star_schemas["orders"]),
+        "lineitem": ([(i, 8, 7, 1, 2.0, 5.0, 0.0, 0.0, "N", "O", day) for i in range(10, 15)], table_star_schemas["lineitem"]),
+    }
+    for name, (some, schema) in tables.items():
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    trades = table_bronze.bronze_trades(spark, str(tmp_path), "exp")
+    text = physical(trades)
+    assert text.index("Aggregate") < text.index("Join")
+    found = [(r.noMunMinsgUf, r.state, r.metricFOB) for r in trades.collect()]
+    expected = [("CIDADE AAAAAAAAB - AD", "AD", "10.00"), ("CIDADE AAAAAAAAB - AE", "AE", "10.00"), (None, None, "5.00"), (None, None, "5.00"), (None, None, None)]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
