@@ -1,7 +1,9 @@
 """Each operator against its plain form, on small tables with nulls, empty and long texts, ties and repeated rows."""
 
+import math
 import random
 import time
+from types import SimpleNamespace
 
 import brute
 import numpy as np
@@ -20,7 +22,7 @@ from quayside.llm import op7_passages as op7
 from quayside.llm import op8_quality as op8
 from quayside.llm import op9_mix as op9
 from quayside.llm import op10_suffixes as op10
-from quayside.llm import repeats
+from quayside.llm import ragged, repeats
 from quayside.session import scratch_path
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -309,6 +311,39 @@ def test_event_counts_are_exact(spark, docs_of, monkeypatch):
     assert packs > 3
 
 
+def test_frequent_keys_are_found_without_order():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 300):
+        keys = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), np.arange(n, dtype=np.uint64), ~np.arange(n // 2, dtype=np.uint64)]))
+        table = op4.Frequent(keys, (), 1).opened()
+        asked = np.concatenate([rng.permutation(keys), rng.integers(0, 2**64, 50, np.uint64), np.array([0, 2**63, 2**64 - 1], np.uint64)])
+        at, hit = table.places(asked)
+        assert hit.tolist() == [k in set(keys.tolist()) for k in asked.tolist()]
+        assert (keys[at[hit]] == asked[hit]).all()
+
+
+def test_frequent_events_are_summed_without_sorting(monkeypatch):
+    """Only what the broadcast tables lack is put in order."""
+    texts = ["the same words, once more"] * 50 + ["", None, "rare"]
+    raw, offs = ragged.flat(pa.array(texts))
+    common = np.sort(ragged.mix(np.unique(op4.grams(raw, offs)[: offs[50]])))
+    events = op4.Frequent(common, (np.arange(len(common)) * -0.5,), 1)
+    words = op4.Frequent(np.zeros(0, np.uint64), (np.zeros(0), np.zeros(0)), 1)
+    n = len(texts)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(texts)], names=["id", "alike", "text"])
+    ordered, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *rest, **more: ordered.append(len(x)) or argsort(x, *rest, **more))
+    got = pa.Table.from_batches(op4._texts(SimpleNamespace(value=words), SimpleNamespace(value=events), op4.Counts(0, 0, 0, 0))(iter([rows]))).to_pylist()
+    assert sum(ordered) < len(raw) // 2
+    own = {r["id"]: r for r in got if r["rows"]}
+    key = {k: v for k, v in zip(common.tolist(), events.values[0].tolist(), strict=True)}
+    grams = ragged.mix(op4.grams(raw, offs)).tolist()
+    for i in range(n):
+        want = sum(key.get(g, 0) for g in grams[offs[i] : offs[i + 1]]) + (offs[i + 1] - offs[i] + 1) * math.log10(0.5)
+        assert abs(own[i]["score"] - want) < 1e-9
+        assert sum(r["n"] for r in got if r["id"] == i) == len((texts[i] or "").split()) + sum(g not in key for g in grams[offs[i] : offs[i + 1]])
+
+
 # --- tokens
 
 
