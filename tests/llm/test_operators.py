@@ -22,7 +22,7 @@ from quayside.llm import op7_passages as op7
 from quayside.llm import op8_quality as op8
 from quayside.llm import op9_mix as op9
 from quayside.llm import op10_suffixes as op10
-from quayside.llm import ragged, repeats
+from quayside.llm import ragged, repeats, tokens
 from quayside.session import scratch_path
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -347,6 +347,41 @@ def test_frequent_events_are_summed_without_sorting(monkeypatch):
 # --- tokens
 
 
+def test_pieces_met_again_stay_known(monkeypatch):
+    """When a worker holds too many pieces, frequent ones aren't encoded anew; ids stay those of the library."""
+    monkeypatch.setattr(tokens, "KEPT", 150)
+    rng = random.Random(9)
+    common = ["often", "these, words", "être", "12 again!", "\ttab "]
+    slices = [[" ".join([*common, *("".join(rng.choices("abcdé'9.", k=9)) for _ in range(20))]) for _ in range(4)] for _ in range(30)]
+    library = tokens.BytePieces(public_tokenizers.path("byte_bpe_50k.json"))
+    learned, learn = [], library._learn
+    monkeypatch.setattr(library, "_learn", lambda pieces, *rest: learned.extend(pieces) or learn(pieces, *rest))
+    sizes = []
+    for texts in slices:
+        ids, offs = library.encode(pa.array(texts))
+        for i, t in enumerate(texts):
+            assert ids[offs[i] : offs[i + 1]].tolist() == library.library.encode(t, add_special_tokens=False).ids
+        sizes.append(len(library.place))
+    assert learned.count(b" words") == learned.count(" être".encode()) == 1
+    assert len(learned) > 1000 and max(sizes) < 500
+    # beyond half of them, all are forgotten
+    library.again[: len(library.place)] = True
+    library._trim()
+    assert not library.place
+
+
+def test_new_words_are_encoded_as_one_text(monkeypatch):
+    """A text of many words gives each word's ids, and words that tokens go over are encoded alone."""
+    monkeypatch.setattr(tokens, "TOGETHER", 7)
+    library = tokens.BytePieces(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(10)
+    words = [(" " + "".join(rng.choices("theinrsé'9.,日\u0301", k=rng.randrange(1, 12)))).encode() for _ in range(300)]
+    for some in ([], words[:1], words, [b" a", b"b", b" c"], [b" th", b"e"]):
+        want = [library.library.encode(w.decode(), add_special_tokens=False).ids for w in some]
+        ids, lengths = library._together(some)
+        assert lengths.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
 def test_token_files_round_trip(spark, docs_of, clashing, texts):
     from tokenizers import Tokenizer
 
