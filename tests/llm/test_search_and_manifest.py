@@ -101,6 +101,21 @@ def test_search_of_empty_tables(spark, docs_of):
     assert plain_sort(rows_of(op11.ranked(docs_of([(1, "a")]), one))) == plain_sort(plain_search([(1, "a")], [(1, "a")]))
 
 
+def test_index_rows_are_some_bytes_a_posting(spark, docs_of):
+    """Spark holds a block's row several times over: terms and grid are compressed in it. Its terms come out in several batches."""
+    rng = random.Random(6)
+    docs = [(i, words(rng, 120, 30_000)) for i in range(400)]
+    postings, kinds = sum(len({*t.split()}) for _, t in docs), len({w for _, t in docs for w in t.split()})
+    path = scratch_path(spark, "test-treap")
+    documents = op11.write_index(docs_of(docs).coalesce(1), path)
+    rows = spark.read.parquet(path).toArrow()
+    assert rows.num_rows == 1 and kinds > op11._UNFOLDED
+    assert rows.nbytes < 8 * postings
+    items = [(i, words(rng, 8, 30_000)) for i in range(20)]
+    found = op11.search(spark, path, documents, spark.createDataFrame(items, "item_id long, text string"))
+    assert plain_sort(rows_of(found)) == plain_sort(plain_search(docs, items))
+
+
 def test_grid_visits_part_of_the_columns():
     """The queue drops ranges that can't reach the best: few of many columns are looked at."""
     rng = np.random.default_rng(5)
